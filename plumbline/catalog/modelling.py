@@ -87,8 +87,7 @@ def align_by_order(spark, folder):
 def _orders_split(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").cast("double").alias("x"),
                                                    F.col("o_totalprice").alias("y"))
-    fitted = split.fit_split(orders, "o_orderkey", 0.2, 42)
-    return fitted.train(orders), fitted.test(orders)
+    return split.train_test(orders, "o_orderkey", 0.2, 42)
 
 
 ORDER_SPLIT = f"""o AS (SELECT o_orderkey, o_custkey::DOUBLE AS x, o_totalprice AS y, row_number() OVER (ORDER BY {ORDER_HASH}, o_orderkey)
@@ -156,8 +155,7 @@ def _line_split(spark, folder):
     rows = lineitem(spark, folder).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice")).alias("row_key"),
         *NUMBERS, F.col("l_extendedprice").alias("price"))
-    fitted = split.fit_split(rows, "row_key", 0.2, 42)
-    return fitted.train(rows), fitted.test(rows)
+    return split.train_test(rows, "row_key", 0.2, 42)
 
 
 def _line_model(spark, folder, spec):
@@ -188,8 +186,7 @@ def _quality(spark, folder):
         F.size(F.split("text", " ")).cast("double").alias("n_words"),
         F.size(F.split("text", "\n")).cast("double").alias("n_lines"))
     rows = table(spark, folder, "labels").join(docs, "doc_id")
-    fitted = split.fit_split(rows, "doc_id", 0.2, 42, "quality")
-    return fitted.train(rows), fitted.test(rows), ["n_chars", "n_words", "n_lines"]
+    return *split.train_test(rows, "doc_id", 0.2, 42, "quality"), ["n_chars", "n_words", "n_lines"]
 
 
 def _quality_model(spark, folder, spec):

@@ -10,6 +10,7 @@ from plumbline.catalog.base import LINE_NUMBERS, lineitem, long_sql, query, roun
 from plumbline.catalog.cleaning import NULLED, nulled
 from plumbline.operators import correlation as corr
 from plumbline.operators import profile, scale
+from plumbline.operators.tables import small_table
 
 WIDTH = 64   # length of an embedding vector
 
@@ -289,7 +290,7 @@ SELECT name, name IN (SELECT column_j FROM d) AS dropped FROM (VALUES {', '.join
 def drop_high_corr(spark, folder):
     df = _linked(spark, folder)
     dropped = corr.redundant_columns(df, threshold=0.9)
-    return spark.createDataFrame([(c, c in dropped) for c in df.columns], "name string, dropped boolean")
+    return small_table(spark, [(c, c in dropped) for c in df.columns], "name string, dropped boolean")
 
 
 # --------------------------------------------------------------------- scaling

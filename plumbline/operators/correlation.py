@@ -15,8 +15,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.operators.ordering import attach_by_value, average_ranks, bucket_splits, ordered_counts
+from plumbline.operators.ordering import average_ranks, bucket_splits, look_up, ordered_counts
 from plumbline.operators.tables import as_doubles, numeric_columns
+from plumbline.session import materialised
 
 PAIRS_PER_AGGREGATE = 45   # above this the wide aggregate stops paying off
 
@@ -107,12 +108,14 @@ def _pearson_blocks(data: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def ranked(data: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each present cell replaced by the average rank of its value within its column."""
-    ranks = average_ranks(data, columns)
-    n = data.count()
+    ranks = materialised(average_ranks(data, columns))   # read once per column below
+    sizes = {r["column"]: (r["values"], r["rows"]) for r in ranks.groupBy("column").agg(
+        F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")).collect()}
     out = data
     for c in columns:
         table = ranks.filter(F.col("column") == c).select("value", "n", F.col("rank").alias(f"_rank_{c}"))
-        out = attach_by_value(out, c, table, [f"_rank_{c}"], n)
+        values, rows = sizes.get(c, (0, 0))
+        out = look_up(out, c, table, [f"_rank_{c}"], values, rows)
     return out.select(*[F.col(f"_rank_{c}").alias(c) for c in columns])
 
 
@@ -148,11 +151,10 @@ def kendall_pair(df: DataFrame, x: str, y: str) -> DataFrame:
     cuts = bucket_splits(data, ["x", "y"])
     per_x = cells.groupBy("x").agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("rows"))
     numbers = ordered_counts(per_x, ["x"], {"d": F.lit(1), "n": F.col("cells")}, {"x": cuts["x"]}).select(
-        "value", "n", F.col("d_before").alias("id"))
+        "value", "n", F.col("d_before").alias("id"))   # consecutive numbers in the order of x
     sizes = per_x.agg(F.count(F.lit(1)).alias("x"), F.coalesce(F.sum("cells"), F.lit(0)).alias("cells")).first()
     digits = max(1, (sizes["x"] - 1).bit_length())
-    # The looked-up table has one row per distinct x; heavy x values are spread.
-    placed = attach_by_value(cells, "x", numbers, ["id"], sizes["cells"])
+    placed = look_up(cells, "x", numbers, ["id"], sizes["x"], sizes["cells"])
     ranged = Bucketizer(inputCol="y", outputCol="range", splits=cuts["y"]).transform(placed)
     split = ranged.select("id", "y", "n", F.col("range").cast("int").alias("range"),
                           F.explode(F.sequence(F.lit(0), F.lit(digits - 1))).alias("digit")).select(

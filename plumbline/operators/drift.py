@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.operators.ordering import ordered_counts
-from plumbline.operators.profile import describe, histogram
-from plumbline.operators.tables import as_doubles, shared_numeric_columns
+from plumbline.operators.profile import bin_ranges, describe, histogram
+from plumbline.operators.tables import as_doubles, shared_numeric_columns, small_table
 
 STATS = ("mean", "sd", "min", "p50", "p95", "max")
 
@@ -62,30 +62,25 @@ def jensen_shannon(reference: DataFrame, current: DataFrame, columns: Sequence[s
     column with fewer than two values on a side has no distance.
     """
     columns = list(columns or shared_numeric_columns(reference, current))
-    from plumbline.operators.profile import bin_ranges
-
     a, b = bin_ranges(reference, columns), bin_ranges(current, columns)
     if shared_range:
         a = b = {c: (min(a[c][0], b[c][0]), max(a[c][1], b[c][1])) for c in a if c in b}
 
-    def density(df: DataFrame, ranges, name: str) -> DataFrame:
-        h = histogram(df, columns, bins, ranges)
-        total = h.groupBy("column").agg(F.sum("n").alias("total"))
-        d = h.join(F.broadcast(total), "column").select(
-            "column", "bin", "total",
-            F.when(F.col("n") > 0, F.try_divide(F.col("n").cast("double"), F.col("total") * (
-                F.lit(1.0) * (F.col("hi") - F.col("lo"))))).otherwise(F.lit(1e-12)).alias("d"))
-        mass = d.groupBy("column").agg(F.sum("d").alias("mass"))
-        return d.join(F.broadcast(mass), "column").select(
-            "column", "bin", (F.col("d") / F.col("mass")).alias(name), F.col("total").alias(f"{name}_total"))
-
-    joined = density(reference, a, "p").join(F.broadcast(density(current, b, "q")), ["column", "bin"])
+    def mass(df: DataFrame, ranges, name: str) -> DataFrame:
+        # Windows over the bins of one column: the histogram is computed once.
+        whole = Window.partitionBy("column")
+        n, total = F.col("n").cast("double"), F.sum("n").over(whole)
+        density = F.when(n > 0, F.try_divide(n, total * (F.col("hi") - F.col("lo")))).otherwise(F.lit(1e-12))
+        h = histogram(df, columns, bins, ranges).select("column", "bin", density.alias("d"), total.alias(f"n{name}"))
+        return h.select("column", "bin", f"n{name}", (F.col("d") / F.sum("d").over(whole)).alias(name))
+
+    joined = mass(reference, a, "p").join(F.broadcast(mass(current, b, "q")), ["column", "bin"])
     p, q = F.col("p"), F.col("q")
     m = (p + q) / 2.0
     inner = (F.sum(p * F.ln(p / m)) + F.sum(q * F.ln(q / m))) / 2.0
     found = joined.groupBy("column").agg(
-        F.sqrt(F.greatest(inner, F.lit(0.0))).alias("jsd"), F.min("p_total").alias("np"), F.min("q_total").alias("nq"))
-    names = reference.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+        F.sqrt(F.greatest(inner, F.lit(0.0))).alias("jsd"), F.min("np").alias("np"), F.min("nq").alias("nq"))
+    names = small_table(reference.sparkSession, [(c,) for c in columns], "column string")
     return names.join(F.broadcast(found), "column", "left").select(
         "column", F.when((F.col("np") >= 2) & (F.col("nq") >= 2), F.col("jsd")).alias("jsd"))
 

@@ -29,19 +29,21 @@ def keep_best(df: DataFrame, keys: Sequence[str], score: str | None = None,
     """One row per key: the highest score, a missing score losing to any other.
 
     ``ties`` decide between equal scores (greatest wins); without a score they
-    play the part of "last row". The best row is found by an aggregate with a
-    map-side combine, so a key that owns a large share of the rows sends one
-    row per task to the shuffle instead of its whole group to one task.
+    play the part of "last row". What is left equal is decided by the other
+    columns in their order, so the result does not depend on partitioning. The
+    best row is the maximum of one struct: an aggregate with a map-side
+    combine, so a key that owns a large share of the rows sends one row per
+    task to the shuffle instead of its whole group to one task.
     """
     ranking = ([score] if score else []) + list(ties)
     if not ranking:
         return df.dropDuplicates(list(keys))
-    others = [c for c in df.columns if c not in keys]
     types = dict(df.dtypes)
     # NaN is missing here; left alone it would beat every number.
-    ranked = [F.nanvl(F.col(c), F.lit(None).cast(types[c])).alias(c) if types[c] in ("double", "float")
-              else F.col(c) for c in ranking]
-    best = F.max_by(F.struct(*others), F.struct(*ranked)).alias("_best")
+    ranked = {c: F.nanvl(F.col(c), F.lit(None).cast(types[c])).alias(c) if types[c] in ("double", "float")
+              else F.col(c) for c in ranking}
+    rest = [F.col(c) for c in df.columns if c not in keys and c not in ranked]
+    best = F.max(F.struct(*ranked.values(), *rest)).alias("_best")
     return (df.groupBy(*keys).agg(best)
             .select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns]))
 

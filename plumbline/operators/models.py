@@ -22,6 +22,7 @@ from plumbline.functions.cells import target_forward, target_inverse
 from plumbline.operators.ordering import modes
 from plumbline.operators.scale import fit_standard
 from plumbline.operators.split import fit_folds
+from plumbline.session import materialised
 
 MAX_DEPTH = 30   # the deepest tree Spark builds: stands for "no depth limit"
 
@@ -180,16 +181,17 @@ def accuracy(df: DataFrame, truth: str = "y", prediction: str = "prediction") ->
 def out_of_fold(df: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, key: str,
                 k: int = 5, seed: int = 42) -> DataFrame:
     """A prediction for every row by the model fitted on the other folds."""
-    folded = df.withColumn("_fold", fit_folds(df, key, k, seed))
+    folded = materialised(df.withColumn("_fold", fit_folds(df, key, k, seed)))   # read once per fold and pass
+    return _fold_predictions(folded, spec, features, label, k).drop("_fold")
+
+
+def _fold_predictions(folded: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, k: int) -> DataFrame:
     parts = []
     for fold in range(1, k + 1):
         model = fit_model(folded.filter(F.col("_fold") != fold), spec, features, label)
         parts.append(model.transform(folded.filter(F.col("_fold") == fold))
-                     .select(*df.columns, F.col("prediction").cast("double").alias("prediction")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+                     .select(*folded.columns, F.col("prediction").cast("double").alias("prediction")))
+    return union_boards(parts)
 
 
 def train_and_evaluate(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
@@ -217,13 +219,16 @@ def leaderboard(train: DataFrame, test: DataFrame, features: Sequence[str], targ
     """
     label = "_label"
     with_label = train.withColumn(label, target_forward(F.col(target), target_transform))
+    if folds:
+        # Every model reads the same rows with the same folds, many times.
+        with_label = materialised(with_label.withColumn("_fold", fit_folds(train, key, folds, seed)))
     parts, models = [], {}
     for spec in specs:
         models[spec.name] = fit_model(with_label, spec, features, label)
         held_out = regression_metrics(predict(models[spec.name], test, target_transform), target)
         parts.append(_board_part(held_out, spec.name, "test", len(features)))
         if folds:
-            oof = out_of_fold(with_label, spec, features, label, key, folds, seed)
+            oof = _fold_predictions(with_label, spec, features, label, folds)
             oof = oof.withColumn("prediction", target_inverse(F.col("prediction"), target_transform))
             parts.append(_board_part(regression_metrics(oof, target), spec.name, "train", len(features)))
     board = union_boards(parts).groupBy("model").agg(F.max("features").alias("features"), *[

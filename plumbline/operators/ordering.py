@@ -11,7 +11,7 @@ map-side combine, so the rows themselves are never shuffled.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +26,7 @@ BLOCK_LIMIT = 1_000_000    # the same, over all columns of one job
 SKETCH_ACCURACY = 10_000
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4_096
+BROADCAST_VALUES = 200_000  # a looked-up table of a few megabytes
 
 
 # ---------------------------------------------------------------- quantiles
@@ -99,14 +100,24 @@ class _Bracket:
 
 
 def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]], counts: Mapping[str, int],
-                     row_limit: int = DISTINCT_LIMIT) -> dict[str, dict[int, float]]:
-    """The values at 0-based sorted positions of double columns, by narrowing brackets."""
+                     row_limit: int = DISTINCT_LIMIT,
+                     guess: Callable[[int, int], tuple[float, float]] | None = None) -> dict[str, dict[int, float]]:
+    """The values at 0-based sorted positions of double columns, by narrowing brackets.
+
+    ``guess(rank, rows)`` may propose the first bracket (for columns of a known
+    distribution); like a sketch it is only used once exact counts confirm it.
+    """
     brackets = [_Bracket(c, r, inside=counts[c]) for c, rs in ranks.items() for r in rs]
+    first = True
     while True:
         active = [b for b in brackets if not b.settled(row_limit)]
         if not active:
             break
-        _narrow(df, active)
+        if first and guess is not None:
+            _cut(df, active, [guess(b.rank, b.inside) for b in active])
+        else:
+            _cut(df, active, _sketched(df, active))
+        first = False
     values: dict[str, dict[int, float]] = {c: {} for c in ranks}
     last = [b for b in brackets if not (b.lo is not None and b.lo == b.hi)]
     for b in brackets:
@@ -124,16 +135,27 @@ def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]], counts:
     return values
 
 
-def _narrow(df: DataFrame, brackets: Sequence[_Bracket]) -> None:
-    sketched = df.select(*[b.cell().alias(f"v{i}") for i, b in enumerate(brackets)])
-    shares = []
-    for b in brackets:
-        at = (b.rank - b.below + 0.5) / b.inside
-        shares.append((max(0.0, at - b.slack), min(1.0, at + b.slack)))
-    row = sketched.agg(*[
-        F.percentile_approx(f"v{i}", F.array(F.lit(lo), F.lit(hi)), SKETCH_ACCURACY).alias(f"q{i}")
-        for i, (lo, hi) in enumerate(shares)]).first()
-    ends = [row[f"q{i}"] for i in range(len(brackets))]
+def _sketched(df: DataFrame, brackets: Sequence[_Bracket]) -> list[tuple[float, float]]:
+    """New bounds around each wanted rank; brackets over the same rows share one sketch."""
+    groups: dict[tuple, list[int]] = {}
+    for i, b in enumerate(brackets):
+        groups.setdefault((b.column, b.lo, b.hi), []).append(i)
+    cells, sketches, places = [], [], {}
+    for g, members in enumerate(groups.values()):
+        cells.append(brackets[members[0]].cell().alias(f"v{g}"))
+        shares = []
+        for i in members:
+            b = brackets[i]
+            at = (b.rank - b.below + 0.5) / b.inside
+            places[i] = (f"q{g}", len(shares))
+            shares += [max(0.0, at - b.slack), min(1.0, at + b.slack)]
+        sketches.append(F.percentile_approx(f"v{g}", F.array(*[F.lit(x) for x in shares]), SKETCH_ACCURACY).alias(f"q{g}"))
+    row = df.select(*cells).agg(*sketches).first()
+    return [(row[q][k], row[q][k + 1]) for q, k in (places[i] for i in range(len(brackets)))]
+
+
+def _cut(df: DataFrame, brackets: Sequence[_Bracket], ends: Sequence[tuple[float, float]]) -> None:
+    """Count the rows below and inside the proposed bounds; keep them only if they hold the rank."""
     exact = df.agg(*[
         F.count(F.when(F.col(b.column) < F.lit(lo), 1)).alias(f"b{i}") for i, (b, (lo, _)) in enumerate(zip(brackets, ends))
     ], *[
@@ -148,7 +170,7 @@ def _narrow(df: DataFrame, brackets: Sequence[_Bracket]) -> None:
             # Nothing was cut off: a few heavy values fill the bracket. Halve by value instead.
             _halve(df, b, ends[i])
         else:
-            b.slack *= 16.0   # the sketch missed; the counts say so, look wider
+            b.slack *= 16.0   # the bounds missed; the counts say so, look wider
 
 
 def _halve(df: DataFrame, b: _Bracket, ends: Sequence[float]) -> None:
@@ -241,15 +263,19 @@ def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.select("column", "value", "n", rank.alias("rank"))
 
 
-def attach_by_value(df: DataFrame, column: str, table: DataFrame, payload: Sequence[str], n_rows: int,
-                    heavy_share: float = 0.005) -> DataFrame:
+def look_up(df: DataFrame, column: str, table: DataFrame, payload: Sequence[str], n_values: int, n_rows: int,
+            heavy_share: float = 0.005) -> DataFrame:
     """Look up ``payload`` for each row's value in a per-value table with counts ``n``.
 
-    Values that own more than ``heavy_share`` of the rows (at most
+    A table of at most ``BROADCAST_VALUES`` values is broadcast. Beyond that,
+    values that own more than ``heavy_share`` of the rows (at most
     1/heavy_share of them) are looked up in a broadcast; the rest is an
     ordinary join on the value. Heavy rows get a missing join key with a
     spread second key, so they do not pile up in one shuffle partition.
     """
+    if n_values <= BROADCAST_VALUES:
+        small = table.select(F.col("value").alias("_v"), *payload)
+        return df.join(F.broadcast(small), F.col(column) == F.col("_v"), "left").select(*df.columns, *payload)
     threshold = max(int(n_rows * heavy_share), 1)
     heavy = table.filter(F.col("n") > threshold).select(
         F.col("value").alias("_hv"), *[F.col(p).alias(f"_h_{p}") for p in payload])

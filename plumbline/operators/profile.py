@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.ordering import quantiles
-from plumbline.operators.tables import as_doubles, numeric_columns, per_column, value_counts
+from plumbline.operators.tables import as_doubles, numeric_columns, per_column, small_table, value_counts
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -35,7 +35,7 @@ def missing_overview(df: DataFrame, over_pct: float = 5.0) -> DataFrame:
 def missing_by_family(df: DataFrame, families: Mapping[str, Sequence[str]], over_pct: float = 5.0) -> DataFrame:
     present = {f: [c for c in cols if c in df.columns] for f, cols in families.items()}
     pairs = [(f, c) for f, cols in present.items() for c in cols]
-    members = df.sparkSession.createDataFrame(pairs, "family string, column string")
+    members = small_table(df.sparkSession, pairs, "family string, column string")
     per = missing_by_column(df, list(dict.fromkeys(c for _, c in pairs)))
     # One row per family member: bounded by the number of columns.
     return (per.join(F.broadcast(members), "column").groupBy("family").agg(
@@ -99,7 +99,7 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
+    return small_table(df.sparkSession, df.dtypes, "column string, type string")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -128,7 +128,7 @@ def cardinality(df: DataFrame, columns: Sequence[str] | None = None, approximate
         report = per_column(df, columns, {"unique_values": F.approx_count_distinct})
     else:
         counted = value_counts(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("unique_values"))
-        names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+        names = small_table(df.sparkSession, [(c,) for c in columns], "column string")
         report = names.join(F.broadcast(counted), "column", "left").select(
             "column", F.coalesce("unique_values", F.lit(0)).alias("unique_values"))
     return report.orderBy(F.col("unique_values").desc(), "column")
@@ -197,7 +197,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30,
                .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n")))
     edges = [(c, b, ranges[c][0] + b * ((ranges[c][1] - ranges[c][0]) / bins),
               ranges[c][0] + (b + 1) * ((ranges[c][1] - ranges[c][0]) / bins)) for c in used for b in range(bins)]
-    grid = df.sparkSession.createDataFrame(edges, "column string, bin int, lo double, hi double")
+    grid = small_table(df.sparkSession, edges, "column string, bin int, lo double, hi double")
     # One row per column and bin.
     return grid.join(F.broadcast(counted), ["column", "bin"], "left").select(
         "column", "bin", "lo", "hi", F.coalesce("n", F.lit(0)).alias("n"))
@@ -251,7 +251,7 @@ def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     s = data.agg(F.count("v").alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"),
                  F.max("v").alias("hi")).first()
     if not s["n"] or not s["sd"]:
-        return df.sparkSession.createDataFrame([], "x double, density double")
+        return small_table(df.sparkSession, [], "x double, density double")
     width = s["sd"] * s["n"] ** (-0.2)
     step = (s["hi"] - s["lo"]) / (points - 1)
     scale = 1.0 / (s["n"] * width * (2.0 * 3.141592653589793) ** 0.5)

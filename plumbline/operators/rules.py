@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import cells, rows
+from plumbline.operators.tables import small_table
 
 _KINDS: dict[str, type] = {}
 
@@ -262,6 +263,6 @@ def rules_report(df: DataFrame, rules: Sequence[Rule], stage: str) -> DataFrame:
                     parts.append(F.col(label).alias(change))
                 structs.append(F.struct(*parts))
     if not structs:
-        return df.sparkSession.createDataFrame(
-            [], "stage string, rule string, column string, nulled bigint, changed bigint, filled bigint")
+        return small_table(
+            df.sparkSession, [], "stage string, rule string, column string, nulled bigint, changed bigint, filled bigint")
     return frame.agg(*aggregates).select(F.inline(F.array(*structs)))

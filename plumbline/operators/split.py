@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.ordering import order_statistics
+from plumbline.session import materialised
 
 HEX_DIGITS = 13   # 52 bits: every prefix is an exact double
 STRATA_LIMIT = 1_000
@@ -41,37 +42,37 @@ def hash_cuts(df: DataFrame, key: str, seed: int, sizes: Mapping[object, int],
 
     frame = df.select(*[F.when(of(s), _prefix(h)).alias(name) for name, s in names.items()])
     ranks = {name: sorted({p - 1 for p in positions[s] if p > 0}) for name, s in names.items()}
-    values = order_statistics(frame, ranks, {name: sizes[s] for name, s in names.items()})
-    wanted = [(s, p, values[name][p - 1]) for name, s in names.items() for p in positions[s] if p > 0]
-    # Hashes that share the 52-bit prefix of a cut: a handful, settled on the full md5.
-    hashed = df.select(h.alias("h"), *([F.col(stratum).alias("s")] if stratum else [F.lit(None).alias("s")]))
+    values = order_statistics(frame, ranks, {name: sizes[s] for name, s in names.items()}, guess=_uniform_bracket)
+    wanted = {(s, p): values[name][p - 1] for name, s in names.items() for p in positions[s] if p > 0}
+    # The full hashes behind each cut prefix: one, or a handful that share 52 bits.
     at_cut = F.lit(False)
-    for s, _, v in wanted:
-        same = F.lit(True) if stratum is None else F.col("s").eqNullSafe(F.lit(s))
-        at_cut = at_cut | (same & (_prefix(F.col("h")) == v))
-    ties = hashed.filter(at_cut).groupBy("s", "h").agg(F.count(F.lit(1)).alias("n")).orderBy("h").collect()
-    below = frame.agg(*[F.count(F.when(F.col(name) < values[name][p - 1], 1)).alias(f"{name}_{p}")
-                        for name, s in names.items() for p in positions[s] if p > 0]).first()
-    cuts: dict[object, list[str]] = {}
-    for name, s in names.items():
-        cuts[s] = []
-        for p in positions[s]:
-            if p <= 0:
-                cuts[s].append("")
-                continue
-            passed, chosen = below[f"{name}_{p}"], ""
-            for r in ties:
-                if (stratum is None or r["s"] == s) and int(r["h"][:HEX_DIGITS], 16) == values[name][p - 1]:
-                    passed += r["n"]
-                    chosen = r["h"]
-                    if passed >= p:
-                        break
-            cuts[s].append(chosen)
-    for s in positions:
-        cuts.setdefault(s, ["" for _ in positions[s]])
+    for (s, _), v in wanted.items():
+        at_cut = at_cut | (of(s) & (_prefix(h) == F.lit(v)))
+    stratum_value = F.col(stratum) if stratum else F.lit(None).cast("string")
+    ties = (df.filter(at_cut).groupBy(stratum_value.alias("s"), h.alias("h"))
+            .agg(F.count(F.lit(1)).alias("n")).orderBy("h").collect())
+    cuts: dict[object, list[str]] = {s: [""] * len(positions[s]) for s in positions}
+    for (s, p), v in wanted.items():
+        sharing = [r for r in ties if (stratum is None or r["s"] == s) and int(r["h"][:HEX_DIGITS], 16) == v]
+        passed = 0
+        if len(sharing) > 1:
+            passed = df.filter(of(s) & (_prefix(h) < F.lit(v))).count()
+        for r in sharing:
+            passed += r["n"]
+            if passed >= p or len(sharing) == 1:
+                cuts[s][list(positions[s]).index(p)] = r["h"]
+                break
     return cuts
 
 
+def _uniform_bracket(rank: int, rows: int) -> tuple[float, float]:
+    """Hash values are uniform: the wanted one lies within some deviations of its share."""
+    at = (rank + 0.5) / rows
+    reach = 8.0 * math.sqrt(at * (1.0 - at) / rows) + 8.0 / rows
+    top = float(16 ** HEX_DIGITS)
+    return max(0.0, at - reach) * top, min(1.0, at + reach) * top
+
+
 @dataclass(frozen=True)
 class Split:
     """A fitted split: ``is_test`` is a row-local expression."""
@@ -130,6 +131,13 @@ def fit_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42, s
     return Split(key, seed, stratum, {s: c[0] for s, c in cuts.items()})
 
 
+def train_test(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,
+               stratum: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides, with the rows and their side computed once for the passes that follow."""
+    marked = materialised(df.withColumn("_test", fit_split(df, key, test_size, seed, stratum).is_test()))
+    return marked.filter(~F.col("_test")).drop("_test"), marked.filter("_test").drop("_test")
+
+
 def fit_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42) -> Column:
     """Fold number 1..k per row; the first n mod k folds hold one row more."""
     n = df.count()

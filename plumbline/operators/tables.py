@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -55,6 +57,14 @@ def as_doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A driver-made table of report size, as a local relation (no Python rows in the plan)."""
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    arrays = [pa.array(list(values), to_arrow_type(f.dataType)) for values, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.table(arrays, names=fields.names), fields)
+
+
 def preview(df: DataFrame, k: int = 5) -> DataFrame:
     return df.limit(k)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from plumbline.operators.correlation import redundant_columns
 from plumbline.operators.models import (
     ModelSpec, baseline_specs, best_model, boosting_specs, fit_model, leaderboard, predict, regression_metrics)
-from plumbline.operators.split import fit_split
+from plumbline.operators.split import train_test
 from plumbline.operators.tables import drop_columns, model_rows, numeric_columns, select_features
 from plumbline.session import materialised
 from plumbline.sources import files, runs
@@ -38,11 +38,11 @@ def train_eval(df: DataFrame, config: TrainConfig, model_dir: str | None = None,
     if config.model not in SIMPLE_MODELS:
         raise ValueError(f"model must be one of {sorted(SIMPLE_MODELS)}")
     spark = df.sparkSession
-    rows = materialised(model_rows(df, config.target, [config.key]))
+    rows = model_rows(df, config.target, [config.key])
     features = [c for c in rows.columns if c not in (config.key, config.target)]
-    split = fit_split(rows, config.key, config.test_size, config.seed)
-    model = fit_model(split.train(rows), SIMPLE_MODELS[config.model], features, config.target)
-    metrics = regression_metrics(predict(model, split.test(rows)), config.target).select("r2", "rmse")
+    train, test = train_test(rows, config.key, config.test_size, config.seed)
+    model = fit_model(train, SIMPLE_MODELS[config.model], features, config.target)
+    metrics = regression_metrics(predict(model, test), config.target).select("r2", "rmse")
     if model_dir:
         runs.save_model(model, model_dir, config.model)
     if metrics_dir:
@@ -105,9 +105,8 @@ def run_experiment(df: DataFrame, config: ExperimentConfig, output: str | None =
     spark = df.sparkSession
     pruned = drop_columns(df, config.drop)
     candidates = numeric_columns(pruned, [config.key, config.target])
-    rows = materialised(pruned.select(config.key, *candidates, config.target).na.drop())
-    split = fit_split(rows, config.key, config.test_size, config.seed, config.target if config.stratify else None)
-    train, test = split.train(rows), split.test(rows)
+    rows = pruned.select(config.key, *candidates, config.target).na.drop()
+    train, test = train_test(rows, config.key, config.test_size, config.seed, config.target if config.stratify else None)
     redundant = redundant_columns(train, candidates, config.corr_threshold) if len(candidates) > 1 else []
     features = [c for c in candidates if c not in redundant]
     train = select_features(train, features, [config.key, config.target])

@@ -44,8 +44,13 @@ def materialised(df: DataFrame) -> DataFrame:
 
     With a checkpoint folder the rows are written there, so a lost executor
     costs a re-read and not the shuffles behind it. Without one the rows are
-    persisted, which recomputes lost blocks from lineage.
+    persisted, which recomputes lost blocks from lineage. Rows that sit in
+    fewer partitions than there are cores (one small file) are spread first.
     """
-    if checkpoint_dir(df.sparkSession) is not None:
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if checkpoint_dir(df.sparkSession) is None:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    written = df.checkpoint(eager=True)
+    if written.rdd.getNumPartitions() * 2 > cores:
+        return written
+    return written.repartition(cores).checkpoint(eager=True)
