@@ -586,7 +586,7 @@ k AS (SELECT l_orderkey, l_linenumber, greatest(zq.m - zq.s, least(zq.m + zq.s,
   round(CASE WHEN d + t > 0 THEN t / (d + t) ELSE t END, 6) + 0.0 AS l_tax FROM k""")
 def clean_table(spark, folder):
     ref, _ = reference_and_current(spark, folder)
-    clean, _, _ = JOB.run(lineitem(spark, folder), ref)
+    clean = JOB.run(lineitem(spark, folder), ref).table
     return clean.select("l_orderkey", "l_linenumber", rounded(F.col("l_quantity"), 5).alias("l_quantity"),
                         rounded(F.col("l_extendedprice"), 3).alias("l_extendedprice"),
                         rounded(F.col("l_discount")).alias("l_discount"), rounded(F.col("l_tax")).alias("l_tax"))
@@ -610,7 +610,7 @@ UNION ALL SELECT 'calibration', 'simplex_renormalised:changed', 'l_tax',
 SELECT * FROM a WHERE n > 0""")
 def clean_audit(spark, folder):
     ref, _ = reference_and_current(spark, folder)
-    return JOB.run(lineitem(spark, folder), ref)[1].filter("n > 0")
+    return JOB.run(lineitem(spark, folder), ref).audit.filter("n > 0")
 
 
 # ---------------------------------------------------------------------- checks

@@ -153,7 +153,7 @@ NUMBERS = ["l_quantity", "l_discount", "l_tax"]
 
 def _line_split(spark, folder):
     rows = lineitem(spark, folder).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice")).alias("row_key"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_key"),
         *NUMBERS, F.col("l_extendedprice").alias("price"))
     return split.train_test(rows, "row_key", 0.2, 42)
 
@@ -260,6 +260,13 @@ def leaderboard(spark, folder):
     return board
 
 
+@query()
+def leaderboard_knn(spark, folder):
+    tr, te = _orders_split(spark, folder)
+    return models.leaderboard(tr, te, ["x"], "y", "o_orderkey", [ModelSpec("dummy", "mean"), ModelSpec("knn", "knn", {"k": 15})],
+                              folds=0)[0]
+
+
 @query()
 def leaderboard_sweep(spark, folder):
     tr, te = _line_split(spark, folder)
@@ -287,7 +294,7 @@ def train_eval(spark, folder):
 @query()
 def experiment(spark, folder):
     rows = lineitem(spark, folder).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice")).alias("row_key"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_key"),
         *NUMBERS, (F.col("l_quantity") * 2 + F.col("l_tax")).alias("doubled"), "l_linestatus", "l_extendedprice")
     config = train.ExperimentConfig("row_key", "l_extendedprice", baselines=("linear",), rounds=3, depth=3, folds=0,
                                     target_transform="log1p")

@@ -11,7 +11,7 @@ map-side combine, so the rows themselves are never shuffled.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -100,24 +100,17 @@ class _Bracket:
 
 
 def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]], counts: Mapping[str, int],
-                     row_limit: int = DISTINCT_LIMIT,
-                     guess: Callable[[int, int], tuple[float, float]] | None = None) -> dict[str, dict[int, float]]:
+                     row_limit: int = DISTINCT_LIMIT) -> dict[str, dict[int, float]]:
     """The values at 0-based sorted positions of double columns, by narrowing brackets.
 
-    ``guess(rank, rows)`` may propose the first bracket (for columns of a known
-    distribution); like a sketch it is only used once exact counts confirm it.
+    A sketch proposes each bracket; it is used only once exact counts confirm it.
     """
     brackets = [_Bracket(c, r, inside=counts[c]) for c, rs in ranks.items() for r in rs]
-    first = True
     while True:
         active = [b for b in brackets if not b.settled(row_limit)]
         if not active:
             break
-        if first and guess is not None:
-            _cut(df, active, [guess(b.rank, b.inside) for b in active])
-        else:
-            _cut(df, active, _sketched(df, active))
-        first = False
+        _cut(df, active, _sketched(df, active))
     values: dict[str, dict[int, float]] = {c: {} for c in ranks}
     last = [b for b in brackets if not (b.lo is not None and b.lo == b.hi)]
     for b in brackets:

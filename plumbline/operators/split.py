@@ -2,8 +2,8 @@
 
 Rows are ordered by the md5 of seed and key. Instead of ranking (and so
 shuffling) the whole table, the md5 values at the cut positions are found by
-exact order statistics; the split is then a row-local comparison, so the same
-row always lands on the same side.
+exact counts around the place where a uniform hash must have them; the split
+is then a row-local comparison, so the same row always lands on the same side.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.ordering import order_statistics
 from plumbline.session import materialised
 
-HEX_DIGITS = 13   # 52 bits: every prefix is an exact double
+HASHES = 16 ** 32
+CANDIDATES = 10_000     # hashes around a cut that are looked at one by one
 STRATA_LIMIT = 1_000
 
 
@@ -26,51 +26,91 @@ def row_hash(seed: int, key: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
 
 
-def _prefix(h: Column) -> Column:
-    return F.conv(F.substring(h, 1, HEX_DIGITS), 16, 10).cast("double")
+def _hex(value: int) -> str:
+    return f"{min(max(value, 0), HASHES - 1):032x}"
+
+
+@dataclass
+class _Cut:
+    """A wanted position among the ordered hashes of one stratum, and the range it lies in."""
+
+    stratum: object
+    position: int              # from 1
+    inside: int                # rows in the range
+    lo: int = 0
+    hi: int = HASHES - 1
+    below: int = 0
+    slack: float = 8.0         # standard deviations
+
+    def settled(self) -> bool:
+        return self.inside <= CANDIDATES or self.lo == self.hi
+
+    def proposal(self) -> tuple[int, int]:
+        """Where a uniform hash has this position; the middle once that has failed."""
+        if self.slack > 1e6:
+            middle = (self.lo + self.hi) // 2
+            return self.lo, middle
+        at = (self.position - self.below - 0.5) / self.inside
+        reach = self.slack * math.sqrt(at * (1.0 - at) / self.inside) + self.slack / self.inside
+        width = self.hi - self.lo
+        lo = self.lo + int(width * max(0.0, at - reach))
+        hi = self.lo + int(width * min(1.0, at + reach))
+        return lo, max(lo, min(hi, self.hi))
+
+    def learn(self, lo: int, hi: int, below: int, within: int) -> None:
+        inside_now = below < self.position <= below + within
+        if self.slack > 1e6:
+            if inside_now:
+                self.hi, self.inside = hi, within
+            else:
+                self.lo, self.below, self.inside = hi + 1, below + within, self.inside - within
+        elif inside_now and within < self.inside:
+            self.lo, self.hi, self.below, self.inside = lo, hi, below, within
+        else:
+            # Repeated keys are not uniform: look wider, and halve the range in the end.
+            self.slack *= 100.0
 
 
 def hash_cuts(df: DataFrame, key: str, seed: int, sizes: Mapping[object, int],
               positions: Mapping[object, Sequence[int]], stratum: str | None = None) -> dict[object, list[str]]:
     """Per stratum, the largest hash among the first ``position`` rows, for each position."""
-    strata = [s for s in positions if any(p > 0 for p in positions[s])]
-    names = {f"s{i}": s for i, s in enumerate(strata)}
-    h = row_hash(seed, key)
-
-    def of(s) -> Column:
-        return F.lit(True) if stratum is None else F.col(stratum).eqNullSafe(F.lit(s))
-
-    frame = df.select(*[F.when(of(s), _prefix(h)).alias(name) for name, s in names.items()])
-    ranks = {name: sorted({p - 1 for p in positions[s] if p > 0}) for name, s in names.items()}
-    values = order_statistics(frame, ranks, {name: sizes[s] for name, s in names.items()}, guess=_uniform_bracket)
-    wanted = {(s, p): values[name][p - 1] for name, s in names.items() for p in positions[s] if p > 0}
-    # The full hashes behind each cut prefix: one, or a handful that share 52 bits.
-    at_cut = F.lit(False)
-    for (s, _), v in wanted.items():
-        at_cut = at_cut | (of(s) & (_prefix(h) == F.lit(v)))
-    stratum_value = F.col(stratum) if stratum else F.lit(None).cast("string")
-    ties = (df.filter(at_cut).groupBy(stratum_value.alias("s"), h.alias("h"))
-            .agg(F.count(F.lit(1)).alias("n")).orderBy("h").collect())
-    cuts: dict[object, list[str]] = {s: [""] * len(positions[s]) for s in positions}
-    for (s, p), v in wanted.items():
-        sharing = [r for r in ties if (stratum is None or r["s"] == s) and int(r["h"][:HEX_DIGITS], 16) == v]
-        passed = 0
-        if len(sharing) > 1:
-            passed = df.filter(of(s) & (_prefix(h) < F.lit(v))).count()
-        for r in sharing:
-            passed += r["n"]
-            if passed >= p or len(sharing) == 1:
-                cuts[s][list(positions[s]).index(p)] = r["h"]
-                break
-    return cuts
-
-
-def _uniform_bracket(rank: int, rows: int) -> tuple[float, float]:
-    """Hash values are uniform: the wanted one lies within some deviations of its share."""
-    at = (rank + 0.5) / rows
-    reach = 8.0 * math.sqrt(at * (1.0 - at) / rows) + 8.0 / rows
-    top = float(16 ** HEX_DIGITS)
-    return max(0.0, at - reach) * top, min(1.0, at + reach) * top
+    cuts = [_Cut(s, p, sizes[s]) for s in positions for p in positions[s] if p > 0]
+    hashed = df.select(row_hash(seed, key).alias("h"),
+                       (F.col(stratum) if stratum else F.lit(None).cast("string")).alias("s"))
+
+    def of(cut: _Cut) -> Column:
+        return F.lit(True) if stratum is None else F.col("s").eqNullSafe(F.lit(cut.stratum))
+
+    h = F.col("h")
+    while True:
+        active = [c for c in cuts if not c.settled()]
+        if not active:
+            break
+        ends = [c.proposal() for c in active]
+        row = hashed.agg(
+            *[F.count(F.when(of(c) & (h < F.lit(_hex(lo))), 1)).alias(f"b{i}")
+              for i, (c, (lo, _)) in enumerate(zip(active, ends))],
+            *[F.count(F.when(of(c) & h.between(_hex(lo), _hex(hi)), 1)).alias(f"w{i}")
+              for i, (c, (lo, hi)) in enumerate(zip(active, ends))]).first()
+        for i, c in enumerate(active):
+            c.learn(*ends[i], row[f"b{i}"], row[f"w{i}"])
+    near = F.lit(False)
+    for c in cuts:
+        near = near | (of(c) & h.between(_hex(c.lo), _hex(c.hi)))
+    # At most CANDIDATES hashes per cut: ranges were narrowed until that held.
+    # As a projection the hash is computed once per row; in a filter it would be once per comparison.
+    found = (hashed.select("s", F.when(near, h).alias("h")).groupBy("s", "h").agg(F.count(F.lit(1)).alias("n"))
+             .filter(F.col("h").isNotNull()).orderBy("h").collect())
+    chosen = {}
+    for c in cuts:
+        passed, lo, hi = c.below, _hex(c.lo), _hex(c.hi)
+        for r in found:
+            if lo <= r["h"] <= hi and (stratum is None or r["s"] == c.stratum):
+                passed += r["n"]
+                if passed >= c.position:
+                    chosen[(c.stratum, c.position)] = r["h"]
+                    break
+    return {s: [chosen.get((s, p), "") for p in positions[s]] for s in positions}
 
 
 @dataclass(frozen=True)

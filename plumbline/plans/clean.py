@@ -15,6 +15,7 @@ from plumbline.operators.keys import HTTP_PREFIXES, clean_keys, keep_best, key_r
 from plumbline.operators.profile import drop_sparse_rows
 from plumbline.operators.rules import Rule, apply_rules, rules_from_json, rules_report, rules_to_json
 from plumbline.session import materialised
+from plumbline.sources.files import write_audit, write_table
 
 
 @dataclass(frozen=True)
@@ -108,8 +109,8 @@ class CleanJob:
                                  self.config.calibration) if reference is not None else []
         return CleanModel(rules, tuple(filled), tuple(bounds))
 
-    def run(self, raw: DataFrame, reference: DataFrame | None = None) -> tuple[DataFrame, DataFrame, CleanModel]:
-        """The clean table, the audit report and the fitted rules.
+    def run(self, raw: DataFrame, reference: DataFrame | None = None) -> CleanResult:
+        """Fit and apply all stages.
 
         The deduplicated rows are computed once: fitting, cleaning and the
         report all read them.
@@ -117,8 +118,7 @@ class CleanJob:
         typed = materialised(self.typed_rows(raw))
         if self.config.max_missing_pct is not None:
             typed = self._without_sparse(typed)
-        model = self.fit(typed, reference)
-        return model.transform(typed), self.audit(raw, typed, model), model
+        return CleanResult(self, raw, typed, self.fit(typed, reference))
 
     def audit(self, raw: DataFrame, typed: DataFrame, model: CleanModel) -> DataFrame:
         """``stage, rule, column, n`` over all stages."""
@@ -151,3 +151,24 @@ class CleanJob:
         checked = apply_rules(kept, rules)
         dense = drop_sparse_rows(checked, self.config.max_missing_pct, typed.columns)
         return dense.select(*[F.col(f"_raw_{c}").alias(c) for c in typed.columns])
+
+
+@dataclass(frozen=True)
+class CleanResult:
+    job: CleanJob
+    raw: DataFrame
+    typed: DataFrame
+    model: CleanModel
+
+    @property
+    def table(self) -> DataFrame:
+        return self.model.transform(self.typed)
+
+    @property
+    def audit(self) -> DataFrame:
+        return self.job.audit(self.raw, self.typed, self.model)
+
+    def write(self, path: str, fmt: str = "infer") -> None:
+        """The clean table, with its audit as JSON beside it."""
+        write_table(self.table, path, fmt)
+        write_audit(self.audit, path)

@@ -90,7 +90,7 @@ class ExperimentConfig:
 class Experiment:
     features: Sequence[str]
     board: DataFrame
-    models: dict[str, PipelineModel]
+    models: dict[str, PipelineModel | None]
 
     def best(self) -> str:
         return best_model(self.board)
@@ -129,7 +129,8 @@ def _store(spark, output: str, config: ExperimentConfig, features, board: DataFr
         "corr_threshold": config.corr_threshold, "folds": config.folds, "rounds": config.rounds},
         tags={"phase": "training"})
     for row in board.collect():   # one row per model
-        runs.save_model(models[row["model"]], f"{base}/models", row["model"])
+        if models[row["model"]] is not None:
+            runs.save_model(models[row["model"]], f"{base}/models", row["model"])
         runs.log_run(spark, f"{base}/runs", row["model"], metrics={
             "rmse": row["rmse_test"], "mae": row["mae_test"], "r2": row["r2_test"]},
             tags={"model_name": row["model"]}, parent=parent)
