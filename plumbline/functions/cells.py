@@ -110,7 +110,8 @@ def repaired_abs(target: Column, source: Column) -> Column:
 
 def six_digits(c: Column) -> Column:
     """Six significant digits, as a number (so that trailing zeros are not padded)."""
-    return F.format_string("%.5e", c).cast("double")
+    # A missing cell would be printed as the word null.
+    return F.when(c.isNotNull(), F.format_string("%.5e", c).try_cast("double"))
 
 
 def target_forward(c: Column, method: str) -> Column:
