@@ -26,22 +26,33 @@ class CalibrationConfig:
     rescue_first: bool = False
 
 
-def z_bounds(reference: DataFrame, columns: Sequence[str], k: float) -> dict[str, tuple[float, float]]:
-    """Mean ± k sample sd; the 1st and 99th percentile where the sd is 0 or missing."""
+def reference_spread(reference: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Centre and reach per column: (mean, sample sd), from one pass for all columns.
+
+    A column whose sd is 0 or missing has no reach; ``z_bounds`` takes its
+    percentiles instead.
+    """
     columns = [c for c in dict.fromkeys(columns) if c in reference.columns]
     if not columns:
         return {}
     row = as_doubles(reference, columns).agg(
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
         *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
-    bounds = {}
-    flat = []
-    for i, c in enumerate(columns):
-        mean, sd = row[f"m{i}"], row[f"s{i}"]
+    return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}
+
+
+def z_bounds(reference: DataFrame, columns: Sequence[str], k: float) -> dict[str, tuple[float, float]]:
+    """Mean ± k sample sd; the 1st and 99th percentile where the sd is 0 or missing."""
+    return _z_bounds_each(reference, {c: k for c in columns})
+
+
+def _z_bounds_each(reference: DataFrame, widths: dict[str, float]) -> dict[str, tuple[float, float]]:
+    bounds, flat = {}, []
+    for c, (mean, sd) in reference_spread(reference, list(widths)).items():
         if sd is None or math.isnan(sd) or sd == 0.0:
             flat.append(c)
         else:
-            bounds[c] = (mean - k * sd, mean + k * sd)
+            bounds[c] = (mean - widths[c] * sd, mean + widths[c] * sd)
     for c, (lo, hi) in quantiles(reference, flat, [0.01, 0.99]).items():
         bounds[c] = (lo, hi)
     return bounds
@@ -70,8 +81,14 @@ def sanitised_reference(reference: DataFrame, domains: Sequence[tuple[float, flo
 
 
 def fit_calibration(reference: DataFrame, config: CalibrationConfig) -> list[Rule]:
-    zclips: list[Rule] = [
-        ClipEach(name, tuple(columns), z_bounds(reference, columns, k)) for name, columns, k in config.zclip]
+    # Rules on different columns share one pass over the reference.
+    repeated = len({c for _, cs, _ in config.zclip for c in cs}) < sum(len(cs) for _, cs, _ in config.zclip)
+    if repeated:
+        each = [z_bounds(reference, columns, k) for _, columns, k in config.zclip]
+    else:
+        bounds = _z_bounds_each(reference, {c: k for _, columns, k in config.zclip for c in columns})
+        each = [{c: bounds[c] for c in columns if c in bounds} for _, columns, _ in config.zclip]
+    zclips: list[Rule] = [ClipEach(name, tuple(columns), b) for (name, columns, _), b in zip(config.zclip, each)]
     ranges: list[Rule] = [RescueProportion("proportion_rescue", config.rescue)] if config.rescue else []
     ranges += [Clip(name, tuple(columns), lo, hi) for name, lo, hi, columns in config.clips]
     rules = ranges + zclips if config.rescue_first else zclips + ranges

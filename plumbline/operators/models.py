@@ -150,7 +150,9 @@ def fit_model(df: DataFrame, spec: ModelSpec, features: Sequence[str], label: st
         stages.append(SQLTransformer(statement=fit_standard(df, columns=features).sql("_z_")))
         inputs = [f"_z_{c}" for c in features]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="error"))
-    n, sd = df.agg(F.count(F.lit(1)), F.stddev_pop(F.col(label).cast("double"))).first()
+    n = sd = None
+    if spec.kind in ("ridge", "logistic"):   # their penalties depend on the rows
+        n, sd = df.agg(F.count(F.lit(1)), F.stddev_pop(F.col(label).cast("double"))).first()
     stages.append(_BUILDERS[spec.kind](spec.params, n, sd, label))
     return Pipeline(stages=stages).fit(df)
 

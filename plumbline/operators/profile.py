@@ -111,14 +111,21 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str] | None = None,
              probs: Mapping[str, float] | None = None) -> DataFrame:
     """count, mean, sample sd, min, exact quantiles, max: one row per numeric column."""
+    probs = dict(probs or QUARTILES)
+    return _described(df, columns, probs).select("column", "n", "mean", "sd", "min", *probs, "max")
+
+
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+
+def _described(df: DataFrame, columns: Sequence[str] | None, probs: Mapping[str, float]) -> DataFrame:
     columns = list(columns or numeric_columns(df))
-    probs = dict(probs or {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     found = quantiles(df, columns, list(probs.values()))
     constants = {c: dict(zip(probs, found[c])) for c in columns}
-    report = per_column(as_doubles(df, columns), columns, {
+    return per_column(as_doubles(df, columns), columns, {
         "n": F.count, "mean": F.avg, "sd": F.stddev_samp, "min": F.min, "max": F.max,
+        "n_rows": lambda c: F.count(F.lit(1)),
     }, constants, {p: "double" for p in probs})
-    return report.select("column", "n", "mean", "sd", "min", *probs, "max")
 
 
 def cardinality(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
@@ -137,9 +144,11 @@ def cardinality(df: DataFrame, columns: Sequence[str] | None = None, approximate
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """``describe`` with the missing share and the distinct count."""
     columns = list(columns or numeric_columns(df))
-    missing = missing_by_column(as_doubles(df, columns), columns).select("column", "missing_pct")
-    return (describe(df, columns).join(F.broadcast(missing), "column")
-            .join(F.broadcast(cardinality(df, columns, approximate)), "column"))
+    described = _described(df, columns, QUARTILES).withColumn(
+        "missing_pct", _percent(F.col("n_rows") - F.col("n"), F.col("n_rows")))
+    # One row per column on both sides.
+    return described.join(F.broadcast(cardinality(df, columns, approximate)), "column").select(
+        "column", "n", "mean", "sd", "min", *QUARTILES, "max", "missing_pct", "unique_values")
 
 
 def categorical_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

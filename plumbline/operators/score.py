@@ -18,15 +18,26 @@ def _require_unique(df: DataFrame, key: str, name: str) -> None:
 
 def align_by_key(truth: DataFrame, predictions: DataFrame, key: str, target: str = "target",
                  prediction: str = "prediction") -> DataFrame:
-    """One-to-one inner join on a key; an error for repeated keys or an empty result."""
-    for df, columns, name in ((truth, [key, target], "truth"), (predictions, [key, prediction], "predictions")):
-        require_columns(df, columns)
-        _require_unique(df, key, name)
-    joined = truth.select(key, F.col(target).alias("y")).join(
-        predictions.select(key, F.col(prediction).alias("prediction")), key, "inner")
-    if joined.isEmpty():
+    """One-to-one inner join on a key; an error for repeated keys or an empty result.
+
+    Both sides meet in one aggregate by key, which also counts the repeats:
+    one shuffle, and a repeated key is merged before it.
+    """
+    require_columns(truth, [key, target])
+    require_columns(predictions, [key, prediction])
+    both = truth.select(key, F.col(target).alias("y"), F.lit(1).alias("t"), F.lit(0).alias("p")).unionByName(
+        predictions.select(key, F.col(prediction).alias("prediction"), F.lit(0).alias("t"), F.lit(1).alias("p")),
+        allowMissingColumns=True).filter(F.col(key).isNotNull())
+    met = both.groupBy(key).agg(F.max("y").alias("y"), F.max("prediction").alias("prediction"),
+                                F.sum("t").alias("t"), F.sum("p").alias("p"))
+    pairs = (F.col("t") > 0) & (F.col("p") > 0)
+    found = met.agg(F.max("t").alias("t"), F.max("p").alias("p"), F.count(F.when(pairs, 1)).alias("n")).first()
+    for side, name in (("t", "truth"), ("p", "predictions")):
+        if (found[side] or 0) > 1:
+            raise ValueError(f"{key} is not unique in {name}")
+    if not found["n"]:
         raise ValueError("the join produced no rows: check the key column")
-    return joined
+    return met.filter(pairs).select(key, "y", "prediction")
 
 
 def align_by_order(truth: DataFrame, predictions: DataFrame, order: str, target: str = "target",

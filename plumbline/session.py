@@ -22,6 +22,7 @@ def build_session(master: str = "local[*]", app: str = "plumbline", shuffle_part
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Without this every column expression records its Python call site.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
