@@ -147,7 +147,7 @@ def kendall_pair(df: DataFrame, x: str, y: str) -> DataFrame:
     are cut into value ranges of y so that no task holds one alone.
     """
     data = as_doubles(df, [x, y]).toDF("x", "y").na.drop()
-    cells = data.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    cells = materialised(data.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))   # read by every part below
     cuts = bucket_splits(data, ["x", "y"])
     per_x = cells.groupBy("x").agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("rows"))
     numbers = ordered_counts(per_x, ["x"], {"d": F.lit(1), "n": F.col("cells")}, {"x": cuts["x"]}).select(
@@ -162,7 +162,7 @@ def kendall_pair(df: DataFrame, x: str, y: str) -> DataFrame:
         F.when(F.expr("shiftright(id, digit) % 2 = 0"), F.col("n")).otherwise(0).alias("lower"),
         F.when(F.expr("shiftright(id, digit) % 2 = 1"), F.col("n")).otherwise(0).alias("upper"))
     by_y = split.groupBy("digit", "part", "range", "y").agg(F.sum("lower").alias("lower"), F.sum("upper").alias("upper"))
-    by_range = split.groupBy("digit", "part", "range").agg(F.sum("lower").alias("lower"), F.sum("upper").alias("upper"))
+    by_range = by_y.groupBy("digit", "part", "range").agg(F.sum("lower").alias("lower"), F.sum("upper").alias("upper"))
     inside = Window.partitionBy("digit", "part", "range").orderBy("y").rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy("digit", "part").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
 

@@ -231,12 +231,14 @@ def ordered_counts(df: DataFrame, columns: Sequence[str], weights: Mapping[str,
         splits = bucket_splits(data, columns)
     bucketed = Bucketizer(inputCols=columns, outputCols=[f"_b_{c}" for c in columns],
                           splitsArray=[list(splits[c]) for c in columns], handleInvalid="keep").transform(data)
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_b_{c}").cast("int").alias("bucket"),
+    # Never null, so that both readers of the counts below keep the same filters and share one shuffle.
+    bucket = {c: F.coalesce(F.col(f"_b_{c}").cast("int"), F.lit(-1)) for c in columns}
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), bucket[c].alias("bucket"),
                                (F.col(c) + F.lit(0.0)).alias("value")) for c in columns])
     long = (bucketed.select(F.inline(cells), *[F.col(f"_w_{m}") for m in weights])
             .filter(F.col("value").isNotNull()))
     counted = long.groupBy("column", "bucket", "value").agg(*[F.sum(f"_w_{m}").alias(m) for m in weights])
-    totals = long.groupBy("column", "bucket").agg(*[F.sum(f"_w_{m}").alias(m) for m in weights])
+    totals = counted.groupBy("column", "bucket").agg(*[F.sum(m).alias(m) for m in weights])
     earlier = Window.partitionBy("column").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("column", "bucket", *[
         F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_o_{m}") for m in weights])
