@@ -347,6 +347,12 @@ def model_rows(spark, folder):
         "log_price": log, "price_back": rounded(cells.target_inverse(log, "log1p"), 4)}))
 
 
+@query("SELECT o_orderkey, o_custkey FROM orders")
+def select_numeric(spark, folder):
+    orders = tables.drop_columns(table(spark, folder, "orders"), ["o_totalprice", "not_there"])
+    return tables.select_features(orders, tables.numeric_columns(orders))
+
+
 @query("""SELECT c_custkey, c_name FROM customer
 ORDER BY md5('7|' || c_custkey::VARCHAR), c_custkey LIMIT 50""")
 def sample_rows(spark, folder):

@@ -260,6 +260,26 @@ def leaderboard(spark, folder):
     return board
 
 
+def _test_scores(name, prediction):
+    return f"""SELECT '{name}' AS model, round(avg(abs(y - p)), 2) AS mae_test, round(sqrt(avg(pow(y - p, 2))), 2) AS rmse_test,
+  round(1 - avg(pow(y - p, 2)) / var_pop(y), 4) + 0.0 AS r2_test FROM (SELECT y, {prediction} AS p FROM te, f)"""
+
+
+@query(f"""WITH {ORDER_SPLIT}, f AS (SELECT avg(ln(1 + y)) AS m, regr_slope(ln(1 + y), x) AS b, regr_intercept(ln(1 + y), x) AS a FROM tr)
+{_test_scores('dummy', 'exp(m) - 1')} UNION ALL {_test_scores('linear', 'exp(a + b * x) - 1')}""")
+def train_family(spark, folder):
+    tr, te = _orders_split(spark, folder)
+    done = train.train_model(tr, te, ["x"], "y", "o_orderkey", "baseline", log_target=True, names=["dummy", "linear"])
+    return done.board.select("model", "mae_test", "rmse_test", "r2_test")
+
+
+@query()
+def classification_scores(spark, folder):
+    tr, te, features = _quality(spark, folder)
+    specs = models.baseline_specs("classification", ["dummy", "logistic"])
+    return models.train_and_evaluate(tr, te, features, "quality", specs, "classification")
+
+
 @query()
 def leaderboard_knn(spark, folder):
     tr, te = _orders_split(spark, folder)

@@ -60,6 +60,11 @@ def row_missing_dist(spark, folder):
     return round_all(profile.missing_per_row(nulled(spark, folder), LINE_NUMBERS))
 
 
+@query(f"""WITH {NULLED} SELECT count(*) FILTER (({ROW_MISSING}) * 100.0 > 20.0 * 4) AS sparse_rows, count(*) AS n_rows FROM n""")
+def sparse_rows(spark, folder):
+    return profile.sparse_rows(nulled(spark, folder), 20.0, LINE_NUMBERS)
+
+
 @query(f"WITH {NULLED} SELECT " + " || ".join(f"CASE WHEN {c} IS NULL THEN '1' ELSE '0' END" for c in LINE_NUMBERS)
        + " AS pattern, count(*) AS n FROM n GROUP BY 1")
 def null_patterns(spark, folder):

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.rows import missing_cells, null_pattern
 from plumbline.operators.ordering import quantiles
 from plumbline.operators.tables import as_doubles, numeric_columns, per_column, small_table, value_counts
 
@@ -47,8 +48,6 @@ def missing_by_family(df: DataFrame, families: Mapping[str, Sequence[str]], over
 
 def missing_per_row(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distribution of the missing cells per row; a row count can take few values only."""
-    from plumbline.functions.rows import missing_cells
-
     m = F.col("m")
     row = df.select(missing_cells(list(columns or df.columns)).alias("m")).agg(
         F.count(m).alias("n_rows"), F.avg(m).alias("mean"), F.stddev_samp(m).alias("sd"), F.min(m).alias("min"),
@@ -58,16 +57,19 @@ def missing_per_row(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def drop_sparse_rows(df: DataFrame, max_missing_pct: float, columns: Sequence[str] | None = None) -> DataFrame:
-    from plumbline.functions.rows import missing_cells
-
     used = list(columns or df.columns)
     return df.filter(missing_cells(used) * 100.0 <= F.lit(max_missing_pct * len(used)))
 
 
+def sparse_rows(df: DataFrame, max_missing_pct: float, columns: Sequence[str] | None = None) -> DataFrame:
+    """How many rows ``drop_sparse_rows`` would drop."""
+    used = list(columns or df.columns)
+    over = missing_cells(used) * 100.0 > F.lit(max_missing_pct * len(used))
+    return df.agg(F.count(F.when(over, 1)).alias("sparse_rows"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def null_patterns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows per combination of missing columns (1 = missing, in column order)."""
-    from plumbline.functions.rows import null_pattern
-
     return df.groupBy(null_pattern(list(columns or df.columns)).alias("pattern")).agg(
         F.count(F.lit(1)).alias("n"))
 

@@ -136,6 +136,20 @@ def _store(spark, output: str, config: ExperimentConfig, features, board: DataFr
             tags={"model_name": row["model"]}, parent=parent)
 
 
+MODEL_FAMILIES = {"baseline": baseline_specs, "boosted": boosting_specs}
+
+
+def train_model(train: DataFrame, test: DataFrame, features: Sequence[str], target: str, key: str,
+                family: str = "baseline", log_target: bool = False, names: Sequence[str] = (), seed: int = 42,
+                **settings) -> Experiment:
+    """Train one family of regressors by name, on the target or its log, and rank them on the hold-out."""
+    if family not in MODEL_FAMILIES:
+        raise ValueError(f"family must be one of {sorted(MODEL_FAMILIES)}")
+    specs = MODEL_FAMILIES[family]("regression", names, seed, **settings)
+    board, models = leaderboard(train, test, features, target, key, specs, "log1p" if log_target else "none", 0, seed)
+    return Experiment(list(features), board, models)
+
+
 def score_table(df: DataFrame, model: PipelineModel, features: Sequence[str], keep: Sequence[str] = (),
                 target_transform: str = "none") -> DataFrame:
     """``keep`` columns and ``prediction`` for every row, by a stored model."""
