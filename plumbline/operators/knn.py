@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from plumbline.session import materialised
 
 BLOCK_ROWS = 2_048
-ROWS_PER_CELL = 20_000
-MAX_CELLS = 512
+ROWS_PER_CELL = 4_096
+MAX_CELLS = 1_024
+CENTRE_ROWS = 200_000
 
 
 def knn_join(queries: DataFrame, train: DataFrame, features: Sequence[str], query_id: str, train_id: str,
@@ -39,13 +40,24 @@ def knn_join(queries: DataFrame, train: DataFrame, features: Sequence[str], quer
         cells = int(min(max(n // ROWS_PER_CELL, 8), MAX_CELLS))
     vectors = VectorAssembler(inputCols=features, outputCol="_v").transform(
         train.select(F.col(train_id).alias("tid"), *[F.col(c).cast("double").alias(c) for c in features]))
-    model = KMeans(k=max(2, min(cells, n)), featuresCol="_v", predictionCol="cell", seed=seed, maxIter=5).fit(vectors)
+    # The centres only steer the search, so a sample is enough to find them; every row gets a cell.
+    seen = vectors if n <= CENTRE_ROWS else vectors.sample(CENTRE_ROWS / n, seed)
+    model = KMeans(k=max(2, min(cells, n)), featuresCol="_v", predictionCol="cell", seed=seed, maxIter=5).fit(seen)
     centres = np.array(model.clusterCenters())
     placed = model.transform(vectors).select("tid", vector_to_array("_v").alias("tx"), "cell")
-    # Radius and size per cell: at most MAX_CELLS rows.
-    centre_of = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres])[F.col("cell")]
-    gap = F.sqrt(F.aggregate(F.zip_with("tx", centre_of, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
-    summary = placed.groupBy("cell").agg(F.max(gap).alias("radius"), F.count(F.lit(1)).alias("n")).collect()
+
+    def extents(batches):
+        """Size and radius of the cells in a batch."""
+        for pdf in batches:
+            if len(pdf):
+                cell = pdf["cell"].to_numpy()
+                gap = np.linalg.norm(np.stack(pdf["tx"].to_numpy()) - centres[cell], axis=1)
+                yield pd.DataFrame({"cell": cell, "gap": gap}).groupby("cell")["gap"].agg(
+                    radius="max", n="count").reset_index()
+
+    # One row per cell: at most MAX_CELLS.
+    summary = placed.select("cell", "tx").mapInPandas(extents, "cell int, radius double, n bigint").groupBy("cell").agg(
+        F.max("radius").alias("radius"), F.sum("n").alias("n")).collect()
     sizes = np.zeros(len(centres))
     radii = np.zeros(len(centres))
     for r in summary:
