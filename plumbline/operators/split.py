@@ -19,6 +19,7 @@ from plumbline.session import materialised
 
 HASHES = 16 ** 32
 CANDIDATES = 10_000     # hashes around a cut that are looked at one by one
+WAYS = 32               # pieces of a range per look where hashes are not uniform
 STRATA_LIMIT = 1_000
 
 
@@ -38,37 +39,34 @@ class _Cut:
     position: int              # from 1
     inside: int                # rows in the range
     lo: int = 0
-    hi: int = HASHES - 1
+    end: int = HASHES          # exclusive
     below: int = 0
-    slack: float = 8.0         # standard deviations
+    uniform: bool = True       # until repeated keys have shown otherwise
+    few: bool = False          # the range holds few distinct hashes, however many rows
 
     def settled(self) -> bool:
-        return self.inside <= CANDIDATES or self.lo == self.hi
-
-    def proposal(self) -> tuple[int, int]:
-        """Where a uniform hash has this position; the middle once that has failed."""
-        if self.slack > 1e6:
-            middle = (self.lo + self.hi) // 2
-            return self.lo, middle
-        at = (self.position - self.below - 0.5) / self.inside
-        reach = self.slack * math.sqrt(at * (1.0 - at) / self.inside) + self.slack / self.inside
-        width = self.hi - self.lo
-        lo = self.lo + int(width * max(0.0, at - reach))
-        hi = self.lo + int(width * min(1.0, at + reach))
-        return lo, max(lo, min(hi, self.hi))
-
-    def learn(self, lo: int, hi: int, below: int, within: int) -> None:
-        inside_now = below < self.position <= below + within
-        if self.slack > 1e6:
-            if inside_now:
-                self.hi, self.inside = hi, within
-            else:
-                self.lo, self.below, self.inside = hi + 1, below + within, self.inside - within
-        elif inside_now and within < self.inside:
-            self.lo, self.hi, self.below, self.inside = lo, hi, below, within
+        return self.few or self.inside <= CANDIDATES or self.end - self.lo <= 1
+
+    def edges(self) -> list[int]:
+        """Inner edges of the next look: around the place a uniform hash must have, or evenly spread."""
+        width = self.end - self.lo
+        if self.uniform:
+            at = (self.position - self.below - 0.5) / self.inside
+            reach = 8.0 * math.sqrt(at * (1.0 - at) / self.inside) + 8.0 / self.inside
+            inner = [self.lo + int(width * max(0.0, at - reach)), self.lo + int(width * min(1.0, at + reach)) + 1]
         else:
-            # Repeated keys are not uniform: look wider, and halve the range in the end.
-            self.slack *= 100.0
+            inner = [self.lo + width * k // WAYS for k in range(1, WAYS)]
+        return sorted({e for e in inner if self.lo < e < self.end})
+
+    def learn(self, edges: Sequence[int], below: Sequence[int]) -> None:
+        """Keep the piece that holds the position; it always exists, so every look makes progress."""
+        ends = [self.lo, *edges, self.end]
+        counts = [self.below, *below, self.below + self.inside]
+        piece = next(k for k in range(len(ends) - 1) if counts[k] < self.position <= counts[k + 1])
+        before = self.inside
+        self.lo, self.end = ends[piece], ends[piece + 1]
+        self.below, self.inside = counts[piece], counts[piece + 1] - counts[piece]
+        self.uniform = self.uniform and self.inside * 4 < before
 
 
 def hash_cuts(df: DataFrame, key: str, seed: int, sizes: Mapping[object, int],
@@ -82,28 +80,36 @@ def hash_cuts(df: DataFrame, key: str, seed: int, sizes: Mapping[object, int],
         return F.lit(True) if stratum is None else F.col("s").eqNullSafe(F.lit(cut.stratum))
 
     h = F.col("h")
+
+    def within(cut: _Cut) -> Column:
+        return of(cut) & h.between(_hex(cut.lo), _hex(cut.end - 1))
+
     while True:
         active = [c for c in cuts if not c.settled()]
         if not active:
             break
-        ends = [c.proposal() for c in active]
-        row = hashed.agg(
-            *[F.count(F.when(of(c) & (h < F.lit(_hex(lo))), 1)).alias(f"b{i}")
-              for i, (c, (lo, _)) in enumerate(zip(active, ends))],
-            *[F.count(F.when(of(c) & h.between(_hex(lo), _hex(hi)), 1)).alias(f"w{i}")
-              for i, (c, (lo, hi)) in enumerate(zip(active, ends))]).first()
+        edges = [c.edges() for c in active]
+        row = hashed.agg(*[F.count(F.when(of(c) & (h < F.lit(_hex(e))), 1)).alias(f"b{i}_{k}")
+                           for i, c in enumerate(active) for k, e in enumerate(edges[i])]).first()
         for i, c in enumerate(active):
-            c.learn(*ends[i], row[f"b{i}"], row[f"w{i}"])
+            c.learn(edges[i], [row[f"b{i}_{k}"] for k in range(len(edges[i]))])
+        # A key with very many rows fills its range however narrow; it is one hash all the same.
+        heavy = [c for c in active if not c.uniform and not c.settled()]
+        if heavy:
+            seen = hashed.agg(*[F.approx_count_distinct(F.when(within(c), h)).alias(f"d{i}")
+                                for i, c in enumerate(heavy)]).first()
+            for i, c in enumerate(heavy):
+                c.few = seen[f"d{i}"] <= CANDIDATES // 2
     near = F.lit(False)
     for c in cuts:
-        near = near | (of(c) & h.between(_hex(c.lo), _hex(c.hi)))
-    # At most CANDIDATES hashes per cut: ranges were narrowed until that held.
+        near = near | within(c)
+    # About CANDIDATES distinct hashes per cut at most: ranges were narrowed until that held.
     # As a projection the hash is computed once per row; in a filter it would be once per comparison.
     found = (hashed.select("s", F.when(near, h).alias("h")).groupBy("s", "h").agg(F.count(F.lit(1)).alias("n"))
              .filter(F.col("h").isNotNull()).orderBy("h").collect())
     chosen = {}
     for c in cuts:
-        passed, lo, hi = c.below, _hex(c.lo), _hex(c.hi)
+        passed, lo, hi = c.below, _hex(c.lo), _hex(c.end - 1)
         for r in found:
             if lo <= r["h"] <= hi and (stratum is None or r["s"] == c.stratum):
                 passed += r["n"]
