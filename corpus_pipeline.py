@@ -7,17 +7,29 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm.common import table
+from plumbline.llm.decontaminate import without_leaks
 from plumbline.llm.mixing import mixed_documents
 from plumbline.llm.near import one_of_each
 from plumbline.llm.sharding import sharded
+from plumbline.llm.toxicity import without_toxic
 from plumbline.session import checkpoint_dir
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the network predicts toxic go."""
+    return without_toxic(docs, table(spark, folder, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return one_of_each(docs, percent=80)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents with a passage within the edit limit of a benchmark item go."""
+    return without_leaks(docs, table(spark, folder, "benchmark"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents, and parts of them, as often as the target weights of their sources ask for."""
     return mixed_documents(docs)
@@ -28,7 +40,7 @@ def sharding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return sharded(docs)
 
 
-STAGES = [("near_duplicates", near_duplicates), ("mixing", mixing), ("sharding", sharding)]
+STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("mixing", mixing), ("sharding", sharding)]
 
 #: Hash-based draws and trained models are beyond SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None

@@ -9,12 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from plumbline.llm.common import table
 
 
+def op1_cgk_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.decontaminate import leaks
+
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_minhash_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.near import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_toxicity_bigru(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.toxicity import fitted, scored
+
+    docs = table(spark, folder, "documents")
+    return scored(docs, fitted(docs, table(spark, folder, "labels")))
+
+
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.mixing import Mix
 
@@ -28,6 +41,6 @@ def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_minhash_odd_sketch, op9_mix_sources, op10_feistel_shards)}
+    f.__name__: f for f in (op1_cgk_decontamination, op3_minhash_odd_sketch, op7_toxicity_bigru, op9_mix_sources, op10_feistel_shards)}
 
 SQL: dict[str, str] = {}
