@@ -28,6 +28,12 @@ def op7_toxicity_bigru(spark: SparkSession, folder: str) -> DataFrame:
     return scored(docs, fitted(docs, table(spark, folder, "labels")))
 
 
+def op8_iblt_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.fingerprint import compared
+
+    return compared(table(spark, folder, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.mixing import Mix
 
@@ -41,6 +47,6 @@ def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_cgk_decontamination, op3_minhash_odd_sketch, op7_toxicity_bigru, op9_mix_sources, op10_feistel_shards)}
+    f.__name__: f for f in (op1_cgk_decontamination, op3_minhash_odd_sketch, op7_toxicity_bigru, op8_iblt_fingerprint, op9_mix_sources, op10_feistel_shards)}
 
 SQL: dict[str, str] = {}
