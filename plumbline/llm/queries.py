@@ -15,6 +15,12 @@ def op1_cgk_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op2_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.language import scored
+
+    return scored(table(spark, folder, "documents"))
+
+
 def op3_minhash_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.near import near_duplicates
 
@@ -47,6 +53,6 @@ def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_cgk_decontamination, op3_minhash_odd_sketch, op7_toxicity_bigru, op8_iblt_fingerprint, op9_mix_sources, op10_feistel_shards)}
+    f.__name__: f for f in (op1_cgk_decontamination, op2_deleted_interpolation, op3_minhash_odd_sketch, op7_toxicity_bigru, op8_iblt_fingerprint, op9_mix_sources, op10_feistel_shards)}
 
 SQL: dict[str, str] = {}
