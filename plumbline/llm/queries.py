@@ -27,6 +27,12 @@ def op3_minhash_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_column_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.repeats import without_repeats
+
+    return without_repeats(table(spark, folder, "documents"))
+
+
 def op7_toxicity_bigru(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.toxicity import fitted, scored
 
@@ -53,6 +59,6 @@ def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_cgk_decontamination, op2_deleted_interpolation, op3_minhash_odd_sketch, op7_toxicity_bigru, op8_iblt_fingerprint, op9_mix_sources, op10_feistel_shards)}
+    f.__name__: f for f in (op1_cgk_decontamination, op2_deleted_interpolation, op3_minhash_odd_sketch, op4_column_suffix_dedup, op7_toxicity_bigru, op8_iblt_fingerprint, op9_mix_sources, op10_feistel_shards)}
 
 SQL: dict[str, str] = {}
