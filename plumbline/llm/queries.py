@@ -33,6 +33,13 @@ def op4_column_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(table(spark, folder, "documents"))
 
 
+def op5_boosted_private_data(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.private import fitted, found
+
+    docs = table(spark, folder, "documents")
+    return found(docs, fitted(docs))
+
+
 def op7_toxicity_bigru(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.toxicity import fitted, scored
 
@@ -59,6 +66,6 @@ def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_cgk_decontamination, op2_deleted_interpolation, op3_minhash_odd_sketch, op4_column_suffix_dedup, op7_toxicity_bigru, op8_iblt_fingerprint, op9_mix_sources, op10_feistel_shards)}
+    f.__name__: f for f in (op1_cgk_decontamination, op2_deleted_interpolation, op3_minhash_odd_sketch, op4_column_suffix_dedup, op5_boosted_private_data, op7_toxicity_bigru, op8_iblt_fingerprint, op9_mix_sources, op10_feistel_shards)}
 
 SQL: dict[str, str] = {}
