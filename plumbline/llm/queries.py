@@ -40,6 +40,12 @@ def op5_boosted_private_data(spark: SparkSession, folder: str) -> DataFrame:
     return found(docs, fitted(docs))
 
 
+def op6_site_templates(spark: SparkSession, folder: str) -> DataFrame:
+    from plumbline.llm.pages import extracted
+
+    return extracted(table(spark, folder, "pages"))
+
+
 def op7_toxicity_bigru(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.toxicity import fitted, scored
 
@@ -66,6 +72,6 @@ def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_cgk_decontamination, op2_deleted_interpolation, op3_minhash_odd_sketch, op4_column_suffix_dedup, op5_boosted_private_data, op7_toxicity_bigru, op8_iblt_fingerprint, op9_mix_sources, op10_feistel_shards)}
+    f.__name__: f for f in (op1_cgk_decontamination, op2_deleted_interpolation, op3_minhash_odd_sketch, op4_column_suffix_dedup, op5_boosted_private_data, op6_site_templates, op7_toxicity_bigru, op8_iblt_fingerprint, op9_mix_sources, op10_feistel_shards)}
 
 SQL: dict[str, str] = {}
