@@ -31,6 +31,7 @@ EPOCHS, BATCH, RATE = 10, 128, 0.01
 HARD_SHARE = 0.2          # of the clean windows, those that an epoch looks through for hard ones
 THRESHOLD = 0.7
 WINDOWS_AT_ONCE = 1_024
+WORDS_AT_ONCE = 1 << 15
 
 LETTER = np.zeros(256, bool)
 LETTER[ord("a"):ord("z") + 1] = True
@@ -124,21 +125,32 @@ class Network:
         return cls(words, parts, p)
 
     def inputs(self, t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Per distinct word: known word, and (owner, piece, share) of its pieces."""
+        """Per distinct word: known word, (owner, number) of its known pieces in the owners' order, and one piece's share."""
         owner, h = pieces(t)
         part = find(self.parts, h)
         share = (1 / np.maximum(np.bincount(owner, minlength=len(t.hashes)), 1)).astype(np.float32)
-        return find(self.words, t.hashes), owner, part, share
+        known = np.flatnonzero(part)
+        known = known[np.argsort(owner[known], kind="stable")]
+        return find(self.words, t.hashes), owner[known], part[known], share
 
     def vectors(self, word: np.ndarray, owner: np.ndarray, part: np.ndarray, share: np.ndarray) -> np.ndarray:
         x = self.p["word"][word].copy()
         if len(owner):
-            order = np.argsort(owner, kind="stable")
-            held = np.bincount(owner, minlength=len(word))
-            rows = np.add.reduceat(self.p["part"][part[order]], np.cumsum(held) - held, axis=0)
-            x += rows * share[:, None] * 3
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            own = owner[first]
+            x[own] += np.add.reduceat(self.p["part"][part], first, axis=0) * share[own][:, None] * 3
         return x
 
+    def projected(self, word: np.ndarray, owner: np.ndarray, part: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Inputs of both readings per distinct word, [2, words, 3H], made some words at a time."""
+        out = np.empty((2, max(1, len(word)), 3 * HIDDEN), np.float32)
+        out[:] = self.p["bx"]
+        for i in range(0, len(word), WORDS_AT_ONCE):
+            low, high = np.searchsorted(owner, (i, i + WORDS_AT_ONCE))
+            block = slice(i, i + WORDS_AT_ONCE)
+            out[:, block] += self.vectors(word[block], owner[low:high] - i, part[low:high], share[block]) @ self.p["wx"]
+        return out
+
     def forward(self, xs: np.ndarray, at: np.ndarray, mask: np.ndarray, keep: bool = False):
         """Logits of windows. xs: projected inputs of distinct words [2, words, 3H]; at, mask: [windows, WINDOW]."""
         p, (b, steps), h = self.p, at.shape, HIDDEN
@@ -204,8 +216,7 @@ class Network:
         t = tokens(texts)
         text, start = windows(t.first)
         out = np.full(len(texts), -np.inf)
-        xs = self.vectors(*self.inputs(t)) @ self.p["wx"] + self.p["bx"] if len(t.hashes) else \
-            np.zeros((2, 1, 3 * HIDDEN), np.float32)
+        xs = self.projected(*self.inputs(t))
         for i in range(0, len(text), WINDOWS_AT_ONCE):
             own, at = text[i:i + WINDOWS_AT_ONCE], start[i:i + WINDOWS_AT_ONCE]
             np.maximum.at(out, own, self.forward(xs, *places(t, own, at)))
@@ -215,7 +226,7 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(texts) + self.shift, -40, 40)))
 
 
-def places(t: Tokens, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def places(t: Tokens | Corpus, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct words of windows, and which places hold a word."""
     where = start[:, None] + np.arange(WINDOW)
     mask = where < t.first[text + 1][:, None]
@@ -224,15 +235,79 @@ def places(t: Tokens, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray,
     return t.at[np.minimum(where, len(t.at) - 1)], mask
 
 
-def _telling(t: Tokens, owner: np.ndarray, toxic: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys that enough texts hold, and their log odds of standing in toxic texts. owner, keys: text and key of each use."""
-    pair = np.unique(np.rec.fromarrays((keys, owner), names="k,t"))
-    values, at = np.unique(pair.k, return_inverse=True)
-    yes = np.bincount(at, toxic[pair.t].astype(float), len(values))
-    every = np.bincount(at, minlength=len(values))
-    use = every >= LEAST_TEXTS
-    odds = np.log((yes + 0.2) / (toxic.sum() + 1)) - np.log((every - yes + 0.5) / ((~toxic).sum() + 1))
-    return values[use], odds[use]
+def _parts_of(texts: list[bytes], most: int = 1 << 20):
+    """Runs of texts of at most ``most`` bytes, or a single one: what is turned into arrays at once."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > most:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
+def _telling(texts: list[bytes], toxic: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For words and for pieces: the keys that enough texts hold, and their log odds of standing in toxic texts."""
+    seen: list[list[tuple]] = [[], []]
+    done = 0
+    for part in _parts_of(texts):
+        t = tokens(part)
+        pair = np.unique(t.at.astype(np.int64) + len(t.hashes) * np.repeat(np.arange(len(part)), np.diff(t.first)))
+        word, text = (pair % len(t.hashes), pair // len(t.hashes)) if len(t.hashes) else (pair, pair)
+        owner, h = pieces(t)
+        order = np.argsort(owner, kind="stable")
+        n = np.bincount(owner, minlength=len(t.hashes))
+        begin = np.cumsum(n) - n
+        flat = np.repeat(begin[word] - (np.cumsum(n[word]) - n[word]), n[word]) + np.arange(n[word].sum())
+        values, at = np.unique(h[order], return_inverse=True)
+        held = np.unique(at[flat] + len(values) * np.repeat(text, n[word])) if len(values) else np.zeros(0, np.int64)
+        for kind, keys, use, own in ((0, t.hashes, word, text), (1, values, held % max(len(values), 1), held // max(len(values), 1))):
+            yes = np.bincount(use, toxic[done + own].astype(float), len(keys))
+            seen[kind].append((keys, yes, np.bincount(use, minlength=len(keys))))
+        done += len(part)
+    out = []
+    for kind in seen:
+        keys, at = np.unique(np.concatenate([k for k, _, _ in kind]), return_inverse=True)
+        yes = np.bincount(at, np.concatenate([y for _, y, _ in kind]), len(keys))
+        every = np.bincount(at, np.concatenate([e for _, _, e in kind]), len(keys))
+        odds = np.log((yes + 0.2) / (toxic.sum() + 1)) - np.log((every - yes + 0.5) / ((~toxic).sum() + 1))
+        out.append((keys[every >= LEAST_TEXTS], odds[every >= LEAST_TEXTS]))
+    return out
+
+
+@dataclass
+class Corpus:
+    """The fitting texts as inputs of their distinct words, and the word at every place."""
+
+    word: np.ndarray
+    owner: np.ndarray
+    part: np.ndarray
+    share: np.ndarray
+    at: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, net: Network, texts: list[bytes]) -> Corpus:
+        known: dict[int, int] = {}
+        rows, places_ = [], 0
+        for run in _parts_of(texts):
+            t = tokens(run)
+            numbers = np.array([known.setdefault(h, len(known)) for h in t.hashes.tolist()], np.int32)
+            fresh = np.flatnonzero(numbers >= len(known) - (new := len(known) - (rows[-1][-1] if rows else 0)))
+            word, owner, part, share = net.inputs(t)
+            order = np.argsort(numbers[fresh])
+            fresh = fresh[order]
+            rank = np.full(len(word), -1, np.int64)
+            rank[fresh] = len(known) - new + np.arange(len(fresh))
+            mine = np.flatnonzero(rank[owner] >= 0)
+            mine = mine[np.argsort(rank[owner[mine]], kind="stable")]
+            rows.append((word[fresh].astype(np.int32), rank[owner[mine]].astype(np.int32), part[mine].astype(np.int32),
+                         share[fresh], numbers[t.at] if len(t.at) else np.zeros(0, np.int32), t.first[:-1] + places_, len(known)))
+            places_ += len(t.at)
+        columns = [np.concatenate(c) for c in list(zip(*rows, strict=True))[:6]]
+        return cls(*columns[:5], np.append(columns[5], places_))
 
 
 def fit(texts: list[bytes], labels: list[int], seed: int = 5) -> Network:
@@ -243,18 +318,10 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 5) -> Network:
         net.scale, net.shift = 0.0, -8.0
         return net
     r = np.random.default_rng(seed)
-    t = tokens(texts)
-    text_of_word = np.repeat(np.arange(len(texts)), np.diff(t.first))
-    words, odds = _telling(t, text_of_word, toxic, t.hashes[t.at])
-    owner, h = pieces(t)
-    uses = np.unique(np.rec.fromarrays((t.at, text_of_word), names="w,t"))
-    order = np.argsort(owner, kind="stable")
-    begin = np.searchsorted(owner[order], uses.w)
-    n = np.searchsorted(owner[order], uses.w, "right") - begin
-    flat = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    parts, part_odds = _telling(t, np.repeat(uses.t, n), toxic, h[order][flat])
+    (words, odds), (parts, part_odds) = _telling(texts, toxic)
     net = Network.fresh(words, parts, seed)
-    word, owner, part, share = net.inputs(t)
+    t = Corpus.of(net, texts)
+    word, owner, part, share = t.word, t.owner, t.part, t.share
     telling = np.maximum(np.append(-9.0, odds)[word], 0)
     np.maximum.at(telling, owner, np.append(0.0, part_odds)[part] * 0.8)
     text, start = windows(t.first)
@@ -269,7 +336,7 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 5) -> Network:
     for epoch in range(EPOCHS):
         look = r.choice(clean, max(1, int(HARD_SHARE * len(clean))), replace=False)
         if epoch >= 2:
-            xs = net.vectors(word, owner, part, share) @ net.p["wx"] + net.p["bx"]
+            xs = net.projected(word, owner, part, share)
             due = np.concatenate((np.flatnonzero(toxic[text]), look))
             for i in range(0, len(due), WINDOWS_AT_ONCE):
                 s = due[i:i + WINDOWS_AT_ONCE]
@@ -287,7 +354,7 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 5) -> Network:
         for part_of in np.array_split(r.permutation(len(use)), max(1, len(use) // BATCH)):
             at, mask = places(t, text[use[part_of]], start[use[part_of]])
             seen, local = np.unique(at, return_inverse=True)
-            held = np.zeros(len(t.hashes), np.int64)
+            held = np.zeros(len(word), np.int64)
             held[seen] = np.arange(len(seen)) + 1
             mine = held[owner] > 0
             o, q = held[owner[mine]] - 1, part[mine]
@@ -303,7 +370,7 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 5) -> Network:
                 m += 0.1 * (v - m)
                 s += 0.001 * (v * v - s)
                 net.p[k] -= (RATE * (m / (1 - 0.9 ** count)) / (np.sqrt(s / (1 - 0.999 ** count)) + 1e-8)).astype(np.float32)
-    xs = net.vectors(word, owner, part, share) @ net.p["wx"] + net.p["bx"]
+    xs = net.projected(word, owner, part, share)
     top = np.full(len(texts), -np.inf)
     for i in range(0, len(text), WINDOWS_AT_ONCE):
         s = slice(i, i + WINDOWS_AT_ONCE)
