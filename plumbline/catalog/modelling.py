@@ -19,7 +19,7 @@ ORDER_HASH = "md5('42|' || o_orderkey::VARCHAR)"
   <= ceil((SELECT count(*) FROM orders) * 0.2::DOUBLE) AS is_test FROM orders""")
 def split_train_test(spark, folder):
     orders = table(spark, folder, "orders")
-    return orders.select("o_orderkey", split.fit_split(orders, "o_orderkey", 0.2, 42).is_test().alias("is_test"))
+    return split.fit_split(orders, "o_orderkey", 0.2, 42).marked(orders).select("o_orderkey", "is_test")
 
 
 @query("""
@@ -33,7 +33,20 @@ FROM labels l JOIN z ON l.quality = z.quality""")
 def split_stratified(spark, folder):
     labels = table(spark, folder, "labels")
     fitted = split.fit_split(labels, "doc_id", 0.2, 42, "quality")
-    return labels.select("doc_id", "quality", fitted.is_test().alias("is_test"))
+    return fitted.marked(labels).select("doc_id", "quality", "is_test")
+
+
+@query("""
+WITH s AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey),
+t AS (SELECT (sum(n) - ceil(sum(n) * 0.2::DOUBLE))::HUGEINT AS want, sum(n)::HUGEINT AS total FROM s),
+x AS (SELECT o_custkey, n, (n * want) // total AS given, (n * want) % total AS rest, want FROM s, t),
+y AS (SELECT *, row_number() OVER (ORDER BY rest DESC, o_custkey::VARCHAR) AS r FROM x),
+z AS (SELECT o_custkey, n - given - (r <= want - (SELECT sum(given) FROM y))::INT AS tests FROM y)
+SELECT o_orderkey, row_number() OVER (PARTITION BY o.o_custkey ORDER BY md5('42|' || o_orderkey::VARCHAR), o_orderkey) <= tests AS is_test
+FROM orders o JOIN z ON o.o_custkey = z.o_custkey""")
+def split_many_strata(spark, folder):
+    orders = table(spark, folder, "orders")
+    return split.fit_split(orders, "o_orderkey", 0.2, 42, "o_custkey").marked(orders).select("o_orderkey", "is_test")
 
 
 @query(f"SELECT o_orderkey, ntile(5) OVER (ORDER BY {ORDER_HASH}, o_orderkey)::INT AS fold FROM orders")
@@ -82,6 +95,16 @@ def align_by_order(spark, folder):
     return score.align_by_order(orders, predictions, "o_orderkey", "o_totalprice")
 
 
+@query("""
+WITH t AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS position, o_totalprice AS y FROM orders),
+p AS (SELECT row_number() OVER (ORDER BY o_orderkey DESC) - 1 AS position, o_custkey::DOUBLE AS prediction FROM orders)
+SELECT position, y, prediction FROM t JOIN p USING (position)""")
+def align_by_large_order(spark, folder):
+    orders = table(spark, folder, "orders").withColumn("o_orderkey", F.col("o_orderkey") + F.lit(1 << 60))
+    predictions = orders.select((-F.col("o_orderkey")).alias("o_orderkey"), F.col("o_custkey").cast("double").alias("prediction"))
+    return score.align_by_order(orders, predictions, "o_orderkey", "o_totalprice")
+
+
 # ---------------------------------------------------------------------- models
 
 def _orders_split(spark, folder):

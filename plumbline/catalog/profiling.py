@@ -73,7 +73,7 @@ def null_patterns(spark, folder):
 
 @query(f"WITH {NULLED}, p AS (" + " UNION ALL ".join(
     f"SELECT '{a}' AS column_i, '{b}' AS column_j, count(*) FILTER ({a} IS NULL AND {b} IS NULL) AS n FROM n"
-    for a, b in itertools.combinations(LINE_NUMBERS, 2)) + ") SELECT * FROM p WHERE n > 0")
+    for a, b in itertools.combinations(LINE_NUMBERS, 2)) + ") SELECT * FROM p")
 def co_missing(spark, folder):
     return profile.co_missing(nulled(spark, folder), LINE_NUMBERS)
 
@@ -227,6 +227,47 @@ def corr_wide(spark, folder):
     return round_all(corr.correlation(embeddings(spark, folder), [f"e{i}" for i in range(WIDTH)]))
 
 
+#: Two constants among continuous columns, and gaps that differ from column to column.
+GAPPED = {f"g{k}": (f"CASE WHEN l_orderkey % {k + 7} = 0 THEN NULL ELSE {c} * {k + 1} + l_partkey % {k + 2} END::DOUBLE")
+          for k, c in enumerate(LINE_NUMBERS * 2)} | {"third": "(2.0::DOUBLE / 3)", "zero": "0.0::DOUBLE"}
+
+
+def gapped(spark, folder):
+    return lineitem(spark, folder).selectExpr(*[
+        f"cast({sql.replace('::DOUBLE', '')} as double) AS {c}" if c != "third" else "2.0D / 3 AS third" for c, sql in GAPPED.items()])
+
+
+GAPPED_SQL = "g AS (SELECT " + ", ".join(f"{sql} AS {c}" for c, sql in GAPPED.items()) + " FROM lineitem)"
+
+
+def _gapped_pairs(value):
+    return " UNION ALL ".join(
+        f"SELECT '{a}' AS column_i, '{b}' AS column_j, CASE WHEN min(x) < max(x) AND min(y) < max(y) THEN round(corr(x, y), 6) + 0.0 END AS r "
+        f"FROM (SELECT {value('x')} AS x, {value('y')} AS y FROM (SELECT {a} AS x, {b} AS y FROM g WHERE {a} IS NOT NULL AND {b} IS NOT NULL))"
+        for a, b in itertools.combinations(GAPPED, 2))
+
+
+@query(f"WITH {GAPPED_SQL} {_gapped_pairs(lambda c: c)}")
+def corr_with_constants(spark, folder):
+    return round_all(corr.correlation(gapped(spark, folder), list(GAPPED)))
+
+
+@query(f"WITH {GAPPED_SQL} {_gapped_pairs(lambda c: f'rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE')}")
+def corr_spearman_gaps(spark, folder):
+    return round_all(corr.correlation(gapped(spark, folder), list(GAPPED), "spearman"))
+
+
+@query("""WITH n AS (SELECT l_quantity, l_discount, l_orderkey FROM lineitem)
+SELECT 'q' AS "column", count(*) FILTER (l_orderkey % 5 = 0) AS missing,
+  round(100.0::DOUBLE * count(*) FILTER (l_orderkey % 5 = 0) / count(*), 6) + 0.0 AS missing_pct FROM n
+UNION ALL SELECT 'd', count(*) FILTER (l_orderkey % 7 = 0), round(100.0::DOUBLE * count(*) FILTER (l_orderkey % 7 = 0) / count(*), 6) + 0.0 FROM n""")
+def missing_nan(spark, folder):
+    """NaN and infinity in a table that was handed in."""
+    rows = lineitem(spark, folder).selectExpr(
+        "if(l_orderkey % 5 = 0, double('NaN'), l_quantity) AS q", "if(l_orderkey % 7 = 0, double('Infinity'), l_discount) AS d")
+    return round_all(profile.missing_by_column(rows))
+
+
 def _rank(c):
     return f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE"
 

@@ -46,6 +46,27 @@ def json_round_trip(spark, folder):
     return files.read_table(spark, path).select("event_id", "event_type", "value")
 
 
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def json_records_round_trip(spark, folder):
+    """Several part files of one record per line, under the plain suffix."""
+    path = f"{scratch(spark)}/orders.json"
+    files.write_table(table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice").repartition(4, "o_orderkey"), path)
+    return files.read_table(spark, path).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+@query("""SELECT doc_id AS id, text FROM documents UNION ALL SELECT page_id, html FROM pages
+UNION ALL SELECT doc_id, '  "' || source || '", \\' || chr(10) || lang || ' ' FROM documents""")
+def csv_text_round_trip(spark, folder):
+    """Quotes, backslashes, line breaks and padding."""
+    path = f"{scratch(spark)}/texts.csv"
+    docs = table(spark, folder, "documents")
+    odd = F.concat(F.lit('  "'), "source", F.lit('", \\\n'), "lang", F.lit(" "))
+    rows = (docs.select(F.col("doc_id").alias("id"), "text").unionAll(table(spark, folder, "pages").select("page_id", "html"))
+            .unionAll(docs.select("doc_id", odd)))
+    files.write_table(rows, path)
+    return files.read_table(spark, path, missing=()).select(F.col("id").cast("bigint").alias("id"), "text")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem")
 def parquet_round_trip(spark, folder):
     path = f"{scratch(spark)}/lines.parquet"
@@ -74,7 +95,7 @@ def stored_model_predictions(spark, folder):
     loaded = runs.load_model(f"{base}/models", name)
     scored = models.predict(loaded, te.select("o_orderkey", *files.read_features(spark, f"{base}/features")))
     files.write_predictions(scored, f"{base}/predictions.json", ("o_orderkey",))
-    return spark.read.json(f"{base}/predictions.json").select("o_orderkey", rounded(F.col("prediction"), 3).alias("prediction"))
+    return files.read_table(spark, f"{base}/predictions.json").select("o_orderkey", rounded(F.col("prediction"), 3).alias("prediction"))
 
 
 @query("""SELECT 'fit' AS name, 'orders' AS source, count(*)::DOUBLE AS n, true AS nested FROM orders

@@ -19,8 +19,6 @@ from plumbline.operators.ordering import average_ranks, bucket_splits, look_up,
 from plumbline.operators.tables import as_doubles, numeric_columns
 from plumbline.session import materialised
 
-PAIRS_PER_AGGREGATE = 45   # above this the wide aggregate stops paying off
-
 
 def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:
     columns = list(columns or numeric_columns(df))
@@ -44,29 +42,11 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 # ------------------------------------------------------------------- pearson
 
 def _pearson(data: DataFrame, columns: Sequence[str]) -> DataFrame:
-    pairs = list(itertools.combinations(columns, 2))
-    if len(pairs) <= PAIRS_PER_AGGREGATE:
-        return _pearson_aggregate(data, pairs)
-    return _pearson_blocks(data, columns)
-
-
-def _pearson_aggregate(data: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    aggregates, structs = [], []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a), F.col(b)
-        aggregates += [F.covar_pop(x, y).alias(f"c{i}"),
-                       F.var_pop(F.when(y.isNotNull(), x)).alias(f"x{i}"),
-                       F.var_pop(F.when(x.isNotNull(), y)).alias(f"y{i}")]
-        r = F.try_divide(F.col(f"c{i}"), F.sqrt(F.col(f"x{i}")) * F.sqrt(F.col(f"y{i}")))
-        structs.append(F.struct(F.lit(a).alias("column_i"), F.lit(b).alias("column_j"), r.alias("r")))
-    return data.agg(*aggregates).select(F.inline(F.array(*structs)))
-
-
-def _pearson_blocks(data: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Wide tables: each task multiplies its Arrow batches into pair sums.
+    """Each task multiplies its Arrow batches into pair sums, for tables of any width.
 
     A task emits one row per pair, whatever its number of rows; the sums are
     taken around a common shift (the column means), so they do not cancel.
+    Each side's least and greatest value tell exactly whether it is constant.
     """
     k = len(columns)
     means = data.agg(*[F.avg(c) for c in columns]).first()
@@ -75,10 +55,13 @@ def _pearson_blocks(data: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, sx, sy, sxx, syy, sxy = (np.zeros((k, k)) for _ in range(6))
+        low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)       # of column i where column j is present
         for batch in batches:
             x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(k)])
             here = ~np.isnan(x)
             mask = here.astype(float)
+            if len(x):
+                _extremes(x, here, low, high)
             x = np.where(here, x - shift, 0.0)
             n += mask.T @ mask
             sx += x.T @ mask
@@ -86,22 +69,47 @@ def _pearson_blocks(data: DataFrame, columns: Sequence[str]) -> DataFrame:
             sxy += x.T @ x
         sy[:], syy[:] = sx.T, sxx.T
         if n.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(upper_i.astype(np.int32)), pa.array(upper_j.astype(np.int32))]
-                + [pa.array(m[upper_i, upper_j]) for m in (n, sx, sy, sxx, syy, sxy)],
-                names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
-
-    partial = data.mapInArrow(
-        sums, "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
-    total = partial.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+            yield _pair_rows(upper_i, upper_j, (n, sx, sy, sxx, syy, sxy, low, high, low.T, high.T))
+
+    return _coefficients(data.mapInArrow(sums, PAIR_SUMS), columns)
+
+
+PAIR_SUMS = ("i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double, "
+             "lx double, hx double, ly double, hy double")
+
+
+def _pair_rows(i: np.ndarray, j: np.ndarray, matrices: Sequence[np.ndarray]) -> pa.RecordBatch:
+    names = [field.split()[0] for field in PAIR_SUMS.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)),
+                                       *[pa.array(m[i, j]) for m in matrices]], names=names)
+
+
+def _coefficients(partial: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The pair sums of all tasks as coefficients; null where either side is constant."""
+    total = partial.groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")],
+        *[F.min(c).alias(c) for c in ("lx", "ly")], *[F.max(c).alias(c) for c in ("hx", "hy")])
     n = F.col("n")
     cov = F.try_divide(F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n), n)
     var_x = F.try_divide(F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n), n)
     var_y = F.try_divide(F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n), n)
     names = F.array(*[F.lit(c) for c in columns])
-    positive = (var_x > 1e-300) & (var_y > 1e-300)
+    varies = (F.col("lx") < F.col("hx")) & (F.col("ly") < F.col("hy"))
     return total.select(names[F.col("i")].alias("column_i"), names[F.col("j")].alias("column_j"),
-                        F.when(positive, F.try_divide(cov, F.sqrt(var_x) * F.sqrt(var_y))).alias("r"))
+                        F.when(varies, F.try_divide(cov, F.sqrt(var_x) * F.sqrt(var_y))).alias("r"))
+
+
+def _extremes(x: np.ndarray, here: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+    """Take a batch into the least and greatest value of every column i over the rows that have column j."""
+    least, most = np.where(here, x, np.inf), np.where(here, x, -np.inf)
+    whole = here.all(axis=0)
+    np.minimum(low, least.min(axis=0)[:, None], out=low, where=whole[None, :])
+    np.maximum(high, most.max(axis=0)[:, None], out=high, where=whole[None, :])
+    for j in np.flatnonzero(~whole):
+        rows = here[:, j]
+        if rows.any():
+            low[:, j] = np.minimum(low[:, j], least[rows].min(axis=0))
+            high[:, j] = np.maximum(high[:, j], most[rows].max(axis=0))
 
 
 # ------------------------------------------------------------------ spearman
@@ -121,17 +129,57 @@ def ranked(data: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _spearman(data: DataFrame, columns: Sequence[str]) -> DataFrame:
     missing = data.agg(*[F.count(F.when(F.col(c).isNull(), 1)) for c in columns]).first()
-    gaps = {c for i, c in enumerate(columns) if missing[i]}
-    whole = [c for c in columns if c not in gaps]
-    parts = []
-    if len(whole) > 1:
-        parts.append(_pearson(ranked(data, whole), whole))
-    # A pair with gaps is ranked over its own complete rows.
-    for a, b in itertools.combinations(columns, 2):
-        if a in gaps or b in gaps:
-            complete = data.select(a, b).na.drop()
-            parts.append(_pearson_aggregate(ranked(complete, [a, b]), [(a, b)]))
-    return _union(parts)
+    if not any(missing):
+        return _pearson(ranked(data, columns), columns)
+    return _spearman_with_gaps(data, columns)
+
+
+def _spearman_with_gaps(data: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A pair with gaps is ranked over its own complete rows.
+
+    One count per value and partner (the rows that have the partner, too) gives a column's ranks under every partner at
+    once, so the number of jobs does not grow with the number of pairs. A row then looks up one array of ranks per column.
+    """
+    k = len(columns)
+    counts = materialised(ordered_counts(data, columns, {f"w{j}": F.col(c).isNotNull().cast("long") for j, c in enumerate(columns)}))
+    sizes = {r["column"]: r for r in counts.groupBy("column").agg(
+        F.count(F.lit(1)).alias("values"), *[F.sum(f"w{j}").alias(f"w{j}") for j in range(k)]).collect()}
+    shift = np.array([[(sizes[a][f"w{j}"] + 1) / 2 if a in sizes else 0.0 for j in range(k)] for a in columns])
+    out = data
+    for i, c in enumerate(columns):
+        ranks = F.array(*[F.col(f"w{j}_before") + (F.col(f"w{j}") + 1) / 2.0 for j in range(k)])
+        table = counts.filter(F.col("column") == c).select("value", F.col(f"w{i}").alias("n"), ranks.alias(f"_rank_{i}"))
+        values, rows = (sizes[c]["values"], sizes[c][f"w{i}"]) if c in sizes else (0, 0)
+        out = look_up(out, c, table, [f"_rank_{i}"], values, rows)
+    upper_i, upper_j = np.triu_indices(k, 1)
+    step = max(1, 1_000_000 // (k * k))
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sx, sy, sxx, syy, sxy = (np.zeros((k, k)) for _ in range(6))
+        low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                x = np.full((batch.num_rows, k, k), np.nan)
+                for i in range(k):
+                    here = np.asarray(batch.column(i).is_valid())
+                    flat = batch.column(i).flatten().to_numpy(zero_copy_only=False)
+                    x[here, i] = flat.reshape(-1, k)
+                here = ~np.isnan(x[:, :, 0])
+                both = here[:, :, None] & here[:, None, :]
+                x = np.where(both, x - shift, 0.0)
+                y = x.transpose(0, 2, 1)
+                n += both.sum(axis=0)
+                sx += x.sum(axis=0)
+                sxx += (x * x).sum(axis=0)
+                sxy += (x * y).sum(axis=0)
+                np.minimum(low, np.where(both, x, np.inf).min(axis=0), out=low)
+                np.maximum(high, np.where(both, x, -np.inf).max(axis=0), out=high)
+        sy[:], syy[:] = sx.T, sxx.T
+        if n.any():
+            yield _pair_rows(upper_i, upper_j, (n, sx, sy, sxx, syy, sxy, low, high, low.T, high.T))
+
+    return _coefficients(out.select(*[f"_rank_{i}" for i in range(k)]).mapInArrow(sums, PAIR_SUMS), columns)
 
 
 # ------------------------------------------------------------------- kendall
@@ -195,11 +243,7 @@ def target_correlation(df: DataFrame, target: str, columns: Sequence[str] | None
     """Correlation of each numeric column with the target, strongest positive first."""
     columns = [c for c in (columns or numeric_columns(df)) if c != target]
     if method == "pearson":
-        data = as_doubles(df, [*columns, target])
-        pairs = [(c, target) for c in columns]
-        parts = [_pearson_aggregate(data, pairs[i:i + PAIRS_PER_AGGREGATE])
-                 for i in range(0, len(pairs), PAIRS_PER_AGGREGATE)]
-        found = _union(parts)
+        found = _pearson(as_doubles(df, [*columns, target]), [*columns, target]).filter(F.col("column_j") == target)
     else:
         found = _union([correlation(df, [c, target], method) for c in columns])
     return found.select(F.col("column_i").alias("column"), "r").orderBy(F.col("r").desc_nulls_last(), "column")

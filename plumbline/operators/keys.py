@@ -36,13 +36,13 @@ def keep_best(df: DataFrame, keys: Sequence[str], score: str | None = None,
     task to the shuffle instead of its whole group to one task.
     """
     ranking = ([score] if score else []) + list(ties)
-    if not ranking:
-        return df.dropDuplicates(list(keys))
     types = dict(df.dtypes)
     # NaN is missing here; left alone it would beat every number.
     ranked = {c: F.nanvl(F.col(c), F.lit(None).cast(types[c])).alias(c) if types[c] in ("double", "float")
               else F.col(c) for c in ranking}
     rest = [F.col(c) for c in df.columns if c not in keys and c not in ranked]
+    if not ranked and not rest:
+        return df.distinct()
     best = F.max(F.struct(*ranked.values(), *rest)).alias("_best")
     return (df.groupBy(*keys).agg(best)
             .select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns]))

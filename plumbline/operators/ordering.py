@@ -16,16 +16,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pyspark.ml.feature import Bucketizer
 
-from plumbline.operators.tables import as_doubles
+from plumbline.operators.tables import as_doubles, finite
 
 DISTINCT_LIMIT = 100_000   # value map one aggregate buffer may hold
 BLOCK_LIMIT = 1_000_000    # the same, over all columns of one job
 SKETCH_ACCURACY = 10_000
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4_096
 BROADCAST_VALUES = 200_000  # a looked-up table of a few megabytes
 
 
@@ -169,7 +169,7 @@ def _cut(df: DataFrame, brackets: Sequence[_Bracket], ends: Sequence[tuple[float
 def _halve(df: DataFrame, b: _Bracket, ends: Sequence[float]) -> None:
     """Split a bracket of heavy values in two at a value and keep the right part."""
     lo, hi = ends
-    middle = lo + (hi - lo) / 2.0
+    middle = lo / 2.0 + hi / 2.0
     c = F.col(b.column)
     part = df.filter(c.between(F.lit(lo), F.lit(hi))).agg(
         F.count(F.when(c <= F.lit(middle), 1)).alias("left"),
@@ -206,7 +206,7 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, float | str | None
 def bucket_splits(df: DataFrame, columns: Sequence[str]) -> dict[str, list[float]]:
     """Range boundaries per column with about ``ROWS_PER_BUCKET`` rows between them."""
     n = df.count()
-    buckets = int(min(max(n // ROWS_PER_BUCKET, 8), MAX_BUCKETS))
+    buckets = int(max(n // ROWS_PER_BUCKET, 8))
     probs = [i / buckets for i in range(1, buckets)]
     found = df.approxQuantile(list(columns), probs, 0.25 / buckets)
     return {c: [-math.inf, *sorted(set(inner)), math.inf] if inner else [-math.inf, 0.0, math.inf]
@@ -225,7 +225,7 @@ def ordered_counts(df: DataFrame, columns: Sequence[str], weights: Mapping[str,
     """
     columns = list(columns)
     weights = dict(weights or {"n": F.lit(1)})
-    data = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns],
+    data = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in columns],
                      *[w.alias(f"_w_{m}") for m, w in weights.items()])
     if splits is None:
         splits = bucket_splits(data, columns)
@@ -245,12 +245,38 @@ def ordered_counts(df: DataFrame, columns: Sequence[str], weights: Mapping[str,
     inside = Window.partitionBy("column", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     running = counted.select("column", "bucket", "value", *weights, *[
         F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"_r_{m}") for m in weights])
-    # One row per value range: at most MAX_BUCKETS per column.
-    return (running.join(F.broadcast(offsets), ["column", "bucket"])
+    # One row per ROWS_PER_BUCKET rows and column: Spark broadcasts it while it is small.
+    return (running.join(offsets, ["column", "bucket"])
             .select("column", "bucket", "value", *weights,
                     *[(F.col(f"_r_{m}") + F.col(f"_o_{m}")).alias(f"{m}_before") for m in weights]))
 
 
+def ordered_positions(df: DataFrame, order: str) -> DataFrame:
+    """The rows with ``position`` from 0 by a unique column, compared in its own type.
+
+    Only the ranges are cut by the value as a double, which keeps the order but may merge neighbours; inside a range the
+    column itself decides. Types without an order that a double keeps are refused, as are missing values.
+    """
+    kind = df.schema[order].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise TypeError(f"{order} is {kind.simpleString()}: rows are ordered by a number or a date")
+    place = (F.datediff(F.col(order), F.lit("1970-01-01")) if isinstance(kind, (T.DateType, T.TimestampNTZType))
+             else F.col(order)).cast("double")
+    keyed = df.withColumn("_at", place)
+    absent = keyed.filter(F.col("_at").isNull() | F.isnan("_at")).limit(1).count()
+    if absent:
+        raise ValueError(f"{order} has missing values: they have no position")
+    splits = bucket_splits(keyed.select("_at"), ["_at"])["_at"]
+    ranged = Bucketizer(inputCol="_at", outputCol="_range", splits=splits, handleInvalid="keep").transform(keyed)
+    inside = Window.partitionBy("_range").orderBy(order)
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per value range.
+    offsets = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    return (ranged.withColumn("_row", F.row_number().over(inside) - 1).join(F.broadcast(offsets), "_range")
+            .select(*df.columns, (F.col("_offset") + F.col("_row")).alias("position")))
+
+
 def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, value, n, rank``: the average 1-based rank of each distinct value."""
     counted = ordered_counts(df, columns)
@@ -280,7 +306,7 @@ def look_up(df: DataFrame, column: str, table: DataFrame, payload: Sequence[str]
     skip = F.col("_hv").isNotNull() | F.col(column).isNull()
     keyed = marked.withColumns({
         "_k": F.when(~skip, F.col(column)),
-        "_s": F.when(skip, 1 + F.pmod(F.xxhash64(*df.columns), F.lit(1024))).otherwise(F.lit(0)).cast("int")})
+        "_s": F.when(skip, 1 + F.pmod(F.monotonically_increasing_id(), F.lit(1024))).otherwise(F.lit(0)).cast("int")})
     joined = keyed.join(light, (F.col("_k") == F.col("_lv")) & (F.col("_s") == F.col("_ls")), "left")
     return joined.select(*df.columns, *[
         F.coalesce(F.col(f"_h_{p}"), F.col(f"_l_{p}")).alias(p) for p in payload])

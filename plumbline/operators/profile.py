@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.rows import missing_cells, null_pattern
 from plumbline.operators.ordering import quantiles
-from plumbline.operators.tables import as_doubles, numeric_columns, per_column, small_table, value_counts
+from plumbline.operators.tables import as_doubles, numeric_columns, per_column, small_table, value_counts, without_nan
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -19,7 +21,7 @@ def _percent(part: Column, whole: Column) -> Column:
 # ---------------------------------------------------------------- missing cells
 
 def missing_by_column(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    report = per_column(df, list(columns or df.columns), {
+    report = per_column(without_nan(df), list(columns or df.columns), {
         "missing": lambda c: F.count(F.when(c.isNull(), 1)), "n_rows": lambda c: F.count(F.lit(1))})
     return (report.select("column", "missing", _percent(F.col("missing"), F.col("n_rows")).alias("missing_pct"))
             .orderBy(F.col("missing").desc(), "column"))
@@ -49,7 +51,7 @@ def missing_by_family(df: DataFrame, families: Mapping[str, Sequence[str]], over
 def missing_per_row(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distribution of the missing cells per row; a row count can take few values only."""
     m = F.col("m")
-    row = df.select(missing_cells(list(columns or df.columns)).alias("m")).agg(
+    row = without_nan(df).select(missing_cells(list(columns or df.columns)).alias("m")).agg(
         F.count(m).alias("n_rows"), F.avg(m).alias("mean"), F.stddev_samp(m).alias("sd"), F.min(m).alias("min"),
         F.percentile(m, F.array(*[F.lit(p) for p in (0.5, 0.9, 0.95, 0.99)])).alias("p"), F.max(m).alias("max"))
     return row.select("n_rows", "mean", "sd", "min", *[
@@ -58,24 +60,24 @@ def missing_per_row(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 def drop_sparse_rows(df: DataFrame, max_missing_pct: float, columns: Sequence[str] | None = None) -> DataFrame:
     used = list(columns or df.columns)
-    return df.filter(missing_cells(used) * 100.0 <= F.lit(max_missing_pct * len(used)))
+    return without_nan(df).filter(missing_cells(used) * 100.0 <= F.lit(max_missing_pct * len(used)))
 
 
 def sparse_rows(df: DataFrame, max_missing_pct: float, columns: Sequence[str] | None = None) -> DataFrame:
     """How many rows ``drop_sparse_rows`` would drop."""
     used = list(columns or df.columns)
     over = missing_cells(used) * 100.0 > F.lit(max_missing_pct * len(used))
-    return df.agg(F.count(F.when(over, 1)).alias("sparse_rows"), F.count(F.lit(1)).alias("n_rows"))
+    return without_nan(df).agg(F.count(F.when(over, 1)).alias("sparse_rows"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def null_patterns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows per combination of missing columns (1 = missing, in column order)."""
-    return df.groupBy(null_pattern(list(columns or df.columns)).alias("pattern")).agg(
+    return without_nan(df).groupBy(null_pattern(list(columns or df.columns)).alias("pattern")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
 def co_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``column_i, column_j, n``: rows in which both columns are missing (i before j)."""
+    """``column_i, column_j, n``: rows in which both columns are missing, for every pair (i before j)."""
     columns = list(columns or df.columns)
     position = F.array(*[F.lit(c) for c in columns])
     bits = null_patterns(df, columns).select("n", F.filter(
@@ -83,13 +85,18 @@ def co_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     # Expanded per pattern, not per row.
     pairs = (bits.select("n", "hit", F.explode("hit").alias("i")).select("n", "i", F.explode("hit").alias("j"))
              .filter("i < j"))
-    return pairs.groupBy("i", "j").agg(F.sum("n").alias("n")).select(
-        position[F.col("i") - 1].alias("column_i"), position[F.col("j") - 1].alias("column_j"), "n")
+    every = small_table(df.sparkSession, [(i + 1, j + 1) for i in range(len(columns)) for j in range(i + 1, len(columns))],
+                        "i int, j int")
+    # One row per pair of columns on either side.
+    return every.join(pairs.groupBy("i", "j").agg(F.sum("n").alias("n")), ["i", "j"], "left").select(
+        position[F.col("i") - 1].alias("column_i"), position[F.col("j") - 1].alias("column_j"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 # ------------------------------------------------------------------- profiles
 
 def table_shape(df: DataFrame) -> DataFrame:
+    df = without_nan(df)
     nulls = F.lit(0)
     for c in df.columns:
         nulls = nulls + F.col(c).isNull().cast("int")
@@ -133,6 +140,7 @@ def _described(df: DataFrame, columns: Sequence[str] | None, probs: Mapping[str,
 def cardinality(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """Distinct values per column, most varied first."""
     columns = list(columns or df.columns)
+    df = without_nan(df)
     if approximate:
         report = per_column(df, columns, {"unique_values": F.approx_count_distinct})
     else:
@@ -255,8 +263,8 @@ def box_plot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     """Gaussian density estimate on an even grid from minimum to maximum: ``x, density``.
 
-    The bandwidth is sd * n^(-1/5). Each row adds to a fixed number of grid
-    points and is summed on the map side, so only the grid is shuffled.
+    The bandwidth is sd * n^(-1/5). A task adds its rows up on the grid and
+    emits one grid, so only grids are shuffled.
     """
     data = as_doubles(df, [column]).select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
     s = data.agg(F.count("v").alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"),
@@ -266,8 +274,16 @@ def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     width = s["sd"] * s["n"] ** (-0.2)
     step = (s["hi"] - s["lo"]) / (points - 1)
     scale = 1.0 / (s["n"] * width * (2.0 * 3.141592653589793) ** 0.5)
-    # Equal values are merged where they meet; the grid is then summed per partition.
-    spread = data.select("v", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("g"))
-    z = (F.lit(s["lo"]) + F.col("g") * F.lit(step) - F.col("v")) / F.lit(width)
-    return (spread.groupBy("g").agg((F.sum(F.exp(-0.5 * z * z)) * F.lit(scale)).alias("density"))
+    grid = s["lo"] + step * np.arange(points)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(points)
+        for batch in batches:
+            values, n = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_counts=True)
+            for at in range(0, len(values), 4096):
+                z = (grid[:, None] - values[at:at + 4096]) / width
+                total += np.exp(-0.5 * z * z) @ n[at:at + 4096]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(points, dtype=np.int32)), pa.array(total)], names=["g", "t"])
+
+    return (data.mapInArrow(sums, "g int, t double").groupBy("g").agg((F.sum("t") * F.lit(scale)).alias("density"))
             .select((F.lit(s["lo"]) + F.col("g") * F.lit(step)).alias("x"), "density"))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.models import regression_metrics
-from plumbline.operators.ordering import bucket_splits, ordered_counts
+from plumbline.operators.ordering import ordered_positions
 from plumbline.operators.tables import require_columns
+from plumbline.session import materialised
 
 
 def _require_unique(df: DataFrame, key: str, name: str) -> None:
@@ -28,8 +29,8 @@ def align_by_key(truth: DataFrame, predictions: DataFrame, key: str, target: str
     both = truth.select(key, F.col(target).alias("y"), F.lit(1).alias("t"), F.lit(0).alias("p")).unionByName(
         predictions.select(key, F.col(prediction).alias("prediction"), F.lit(0).alias("t"), F.lit(1).alias("p")),
         allowMissingColumns=True).filter(F.col(key).isNotNull())
-    met = both.groupBy(key).agg(F.max("y").alias("y"), F.max("prediction").alias("prediction"),
-                                F.sum("t").alias("t"), F.sum("p").alias("p"))
+    met = materialised(both.groupBy(key).agg(F.max("y").alias("y"), F.max("prediction").alias("prediction"),
+                                             F.sum("t").alias("t"), F.sum("p").alias("p")))
     pairs = (F.col("t") > 0) & (F.col("p") > 0)
     found = met.agg(F.max("t").alias("t"), F.max("p").alias("p"), F.count(F.when(pairs, 1)).alias("n")).first()
     for side, name in (("t", "truth"), ("p", "predictions")):
@@ -42,10 +43,10 @@ def align_by_key(truth: DataFrame, predictions: DataFrame, key: str, target: str
 
 def align_by_order(truth: DataFrame, predictions: DataFrame, order: str, target: str = "target",
                    prediction: str = "prediction") -> DataFrame:
-    """Row i of one table against row i of the other, by a declared numeric order column.
+    """Row i of one table against row i of the other, by a declared number or date column in its own type.
 
     Positions are counted per value range and shifted, not by one global
-    window. The order column must be unique in each table.
+    window. The order column must be unique and present in each row.
     """
     sizes = truth.count(), predictions.count()
     if sizes[0] != sizes[1]:
@@ -54,11 +55,7 @@ def align_by_order(truth: DataFrame, predictions: DataFrame, order: str, target:
         _require_unique(df, order, name)
 
     def placed(df: DataFrame, value: str, alias: str) -> DataFrame:
-        positions = ordered_counts(df, [order], splits=bucket_splits(
-            df.select(F.col(order).cast("double").alias(order)), [order])).select(
-            F.col("value").alias("_at"), F.col("n_before").alias("position"))
-        rows = df.select(F.col(order).cast("double").alias("_at"), F.col(value).alias(alias))
-        return rows.join(positions, "_at").select("position", alias)
+        return ordered_positions(df.select(order, F.col(value).alias(alias)), order).select("position", alias)
 
     return placed(truth, target, "y").join(placed(predictions, prediction, "prediction"), "position")
 

@@ -1,158 +1,91 @@
 """Seeded train/test splits and folds that do not depend on partitioning.
 
-Rows are ordered by the md5 of seed and key. Instead of ranking (and so
-shuffling) the whole table, the md5 values at the cut positions are found by
-exact counts around the place where a uniform hash must have them; the split
-is then a row-local comparison, so the same row always lands on the same side.
+Rows are ordered by the md5 of seed and key, inside each stratum if one is named. The hashes at the wanted positions are
+found without ranking the table: counts per stratum and hash prefix give the prefix that holds a position, and only the
+rows of such prefixes are looked at hash by hash. Cuts are a table with one row per stratum; a split is then a comparison
+per row, so the same row always lands on the same side.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.session import materialised
 
-HASHES = 16 ** 32
-CANDIDATES = 10_000     # hashes around a cut that are looked at one by one
-WAYS = 32               # pieces of a range per look where hashes are not uniform
-STRATA_LIMIT = 1_000
+PREFIX = 4      # leading hex digits of a hash: 65,536 ranges per stratum
 
 
 def row_hash(seed: int, key: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
 
 
-def _hex(value: int) -> str:
-    return f"{min(max(value, 0), HASHES - 1):032x}"
-
-
-@dataclass
-class _Cut:
-    """A wanted position among the ordered hashes of one stratum, and the range it lies in."""
-
-    stratum: object
-    position: int              # from 1
-    inside: int                # rows in the range
-    lo: int = 0
-    end: int = HASHES          # exclusive
-    below: int = 0
-    uniform: bool = True       # until repeated keys have shown otherwise
-    few: bool = False          # the range holds few distinct hashes, however many rows
-
-    def settled(self) -> bool:
-        return self.few or self.inside <= CANDIDATES or self.end - self.lo <= 1
-
-    def edges(self) -> list[int]:
-        """Inner edges of the next look: around the place a uniform hash must have, or evenly spread."""
-        width = self.end - self.lo
-        if self.uniform:
-            at = (self.position - self.below - 0.5) / self.inside
-            reach = 8.0 * math.sqrt(at * (1.0 - at) / self.inside) + 8.0 / self.inside
-            inner = [self.lo + int(width * max(0.0, at - reach)), self.lo + int(width * min(1.0, at + reach)) + 1]
-        else:
-            inner = [self.lo + width * k // WAYS for k in range(1, WAYS)]
-        return sorted({e for e in inner if self.lo < e < self.end})
-
-    def learn(self, edges: Sequence[int], below: Sequence[int]) -> None:
-        """Keep the piece that holds the position; it always exists, so every look makes progress."""
-        ends = [self.lo, *edges, self.end]
-        counts = [self.below, *below, self.below + self.inside]
-        piece = next(k for k in range(len(ends) - 1) if counts[k] < self.position <= counts[k + 1])
-        before = self.inside
-        self.lo, self.end = ends[piece], ends[piece + 1]
-        self.below, self.inside = counts[piece], counts[piece + 1] - counts[piece]
-        self.uniform = self.uniform and self.inside * 4 < before
-
-
-def hash_cuts(df: DataFrame, key: str, seed: int, sizes: Mapping[object, int],
-              positions: Mapping[object, Sequence[int]], stratum: str | None = None) -> dict[object, list[str]]:
-    """Per stratum, the largest hash among the first ``position`` rows, for each position."""
-    cuts = [_Cut(s, p, sizes[s]) for s in positions for p in positions[s] if p > 0]
-    hashed = df.select(row_hash(seed, key).alias("h"),
-                       (F.col(stratum) if stratum else F.lit(None).cast("string")).alias("s"))
-
-    def of(cut: _Cut) -> Column:
-        return F.lit(True) if stratum is None else F.col("s").eqNullSafe(F.lit(cut.stratum))
-
-    h = F.col("h")
-
-    def within(cut: _Cut) -> Column:
-        return of(cut) & h.between(_hex(cut.lo), _hex(cut.end - 1))
-
-    while True:
-        active = [c for c in cuts if not c.settled()]
-        if not active:
-            break
-        edges = [c.edges() for c in active]
-        row = hashed.agg(*[F.count(F.when(of(c) & (h < F.lit(_hex(e))), 1)).alias(f"b{i}_{k}")
-                           for i, c in enumerate(active) for k, e in enumerate(edges[i])]).first()
-        for i, c in enumerate(active):
-            c.learn(edges[i], [row[f"b{i}_{k}"] for k in range(len(edges[i]))])
-        # A key with very many rows fills its range however narrow; it is one hash all the same.
-        heavy = [c for c in active if not c.uniform and not c.settled()]
-        if heavy:
-            seen = hashed.agg(*[F.approx_count_distinct(F.when(within(c), h)).alias(f"d{i}")
-                                for i, c in enumerate(heavy)]).first()
-            for i, c in enumerate(heavy):
-                c.few = seen[f"d{i}"] <= CANDIDATES // 2
-    near = F.lit(False)
-    for c in cuts:
-        near = near | within(c)
-    # About CANDIDATES distinct hashes per cut at most: ranges were narrowed until that held.
-    # As a projection the hash is computed once per row; in a filter it would be once per comparison.
-    found = (hashed.select("s", F.when(near, h).alias("h")).groupBy("s", "h").agg(F.count(F.lit(1)).alias("n"))
-             .filter(F.col("h").isNotNull()).orderBy("h").collect())
-    chosen = {}
-    for c in cuts:
-        passed, lo, hi = c.below, _hex(c.lo), _hex(c.end - 1)
-        for r in found:
-            if lo <= r["h"] <= hi and (stratum is None or r["s"] == c.stratum):
-                passed += r["n"]
-                if passed >= c.position:
-                    chosen[(c.stratum, c.position)] = r["h"]
-                    break
-    return {s: [chosen.get((s, p), "") for p in positions[s]] for s in positions}
+def hash_cuts(df: DataFrame, key: str, seed: int, wanted: DataFrame, stratum: str | None = None) -> DataFrame:
+    """``wanted`` (s, position) with ``cut``: the largest hash among the first ``position`` rows of the stratum.
+
+    Equal hashes are merged before they meet, so a key with very many rows is one row here.
+    """
+    hashed = df.select(row_hash(seed, key).alias("h"), (F.col(stratum) if stratum else F.lit(None).cast("string")).alias("s"))
+    prefix = F.substring("h", 1, PREFIX)
+    ranges = hashed.groupBy("s", prefix.alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("s").orderBy("p")
+    ranges = ranges.withColumn("end", F.sum("n").over(upto)).withColumn("before", F.col("end") - F.col("n"))
+    want = wanted.filter("position > 0").withColumnRenamed("s", "ws")
+    held = materialised(ranges.join(want, F.col("s").eqNullSafe(F.col("ws")) & (F.col("before") < F.col("position"))
+                                    & (F.col("position") <= F.col("end"))).select("s", "p", "before", "position"))
+    spots = held.select(F.col("s").alias("hs"), F.col("p").alias("hp"), "before").distinct()
+    near = hashed.join(spots, F.col("s").eqNullSafe(F.col("hs")) & (prefix == F.col("hp")), "left_semi")
+    counted = near.groupBy("s", prefix.alias("p"), "h").agg(F.count(F.lit(1)).alias("n"))
+    reached = counted.withColumn("reach", F.sum("n").over(Window.partitionBy("s", "p").orderBy("h")))
+    spot = held.select(F.col("s").alias("hs"), F.col("p").alias("hp"), "before", "position")
+    return (reached.join(spot, F.col("s").eqNullSafe(F.col("hs")) & (F.col("p") == F.col("hp")))
+            .filter(F.col("before") + F.col("reach") >= F.col("position"))
+            .groupBy("s", "position").agg(F.min("h").alias("cut")))
 
 
 @dataclass(frozen=True)
 class Split:
-    """A fitted split: ``is_test`` is a row-local expression."""
+    """A fitted split. ``cut`` is the single cut of an unstratified one, ``cuts`` the table (s, cut) of a stratified one."""
 
     key: str
     seed: int
     stratum: str | None
-    cuts: dict
+    cut: str = ""
+    cuts: DataFrame | None = None
 
-    def is_test(self) -> Column:
+    def marked(self, df: DataFrame, name: str = "is_test") -> DataFrame:
+        """``df`` with a boolean column that tells the test rows."""
         h = row_hash(self.seed, self.key)
         if self.stratum is None:
-            return h <= F.lit(self.cuts[None])
-        test = F.lit(False)
-        for s, cut in self.cuts.items():
-            test = test | (F.col(self.stratum).eqNullSafe(F.lit(s)) & (h <= F.lit(cut)))
-        return test
+            return df.withColumn(name, h <= F.lit(self.cut))
+        cuts = self.cuts.select(F.col("s").alias("__stratum"), F.col("cut").alias("__cut"))
+        joined = df.join(cuts, F.col(self.stratum).eqNullSafe(F.col("__stratum")), "left")
+        return joined.select(*df.columns, F.coalesce(h <= F.col("__cut"), F.lit(False)).alias(name))
 
     def train(self, df: DataFrame) -> DataFrame:
-        return df.filter(~self.is_test())
+        return self.marked(df, "__test").filter(~F.col("__test")).drop("__test")
 
     def test(self, df: DataFrame) -> DataFrame:
-        return df.filter(self.is_test())
+        return self.marked(df, "__test").filter("__test").drop("__test")
+
 
+def _test_sizes(sizes: DataFrame, test_size: float) -> DataFrame:
+    """``sizes`` (s, n) to (s, position): test rows per stratum.
 
-def _largest_remainders(sizes: Mapping[object, int], wanted: int) -> dict[object, int]:
-    """``wanted`` units shared in proportion to ``sizes``; leftovers by largest remainder, then order."""
-    total = sum(sizes.values())
-    exact = {s: n * wanted / total for s, n in sizes.items()}
-    given = {s: math.floor(v) for s, v in exact.items()}
-    order = sorted(sizes, key=lambda s: (-(exact[s] - given[s]), str(s)))
-    for s in order[: wanted - sum(given.values())]:
-        given[s] += 1
-    return given
+    Training rows are shared in proportion to ``n``; leftovers go by largest remainder, then order. Remainders are exact
+    integers. The order of strata is one window over a table with one row per stratum.
+    """
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    train = total - math.ceil(total * test_size)
+    shared = sizes.withColumn("given", F.expr(f"cast(n as decimal(19,0)) * {train} div {max(total, 1)}").cast("long"))
+    rest = F.expr(f"cast(n as decimal(19,0)) * {train} - cast(given as decimal(19,0)) * {max(total, 1)}")
+    order = Window.partitionBy(F.lit(0)).orderBy(rest.desc(), F.col("s").cast("string").asc_nulls_first())
+    left = F.lit(train) - F.sum("given").over(Window.partitionBy(F.lit(0)))
+    return shared.select("s", (F.col("n") - F.col("given") - (F.row_number().over(order) <= left).cast("int")).alias("position"))
 
 
 def fit_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42, stratum: str | None = None) -> Split:
@@ -163,24 +96,23 @@ def fit_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42, s
     if not 0.0 < test_size < 1.0:
         raise ValueError("test_size must be between 0 and 1")
     if stratum is None:
-        sizes = {None: df.count()}
-        takes = {None: math.ceil(sizes[None] * test_size)}
-    else:
-        found = df.groupBy(stratum).count().limit(STRATA_LIMIT + 1).collect()
-        if len(found) > STRATA_LIMIT:
-            raise ValueError(f"{stratum} has more than {STRATA_LIMIT} values: not a stratum")
-        sizes = {r[0]: r[1] for r in found}
-        n = sum(sizes.values())
-        train = _largest_remainders(sizes, n - math.ceil(n * test_size))
-        takes = {s: sizes[s] - train[s] for s in sizes}
-    cuts = hash_cuts(df, key, seed, sizes, {s: [t] for s, t in takes.items()}, stratum)
-    return Split(key, seed, stratum, {s: c[0] for s, c in cuts.items()})
+        return Split(key, seed, None, _plain_cuts(df, key, seed, [math.ceil(df.count() * test_size)])[0])
+    sizes = materialised(df.groupBy(F.col(stratum).alias("s")).agg(F.count(F.lit(1)).alias("n")))
+    cuts = hash_cuts(df, key, seed, _test_sizes(sizes, test_size), stratum)
+    return Split(key, seed, stratum, cuts=materialised(cuts.select("s", "cut")))
+
+
+def _plain_cuts(df: DataFrame, key: str, seed: int, positions: Sequence[int]) -> list[str]:
+    """The cuts of a table without strata, one string per position."""
+    wanted = df.sparkSession.createDataFrame([(None, p) for p in sorted(set(positions))], "s string, position long")
+    found = {r["position"]: r["cut"] for r in hash_cuts(df, key, seed, wanted).collect()}
+    return [found.get(p, "") for p in positions]
 
 
 def train_test(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,
                stratum: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides, with the rows and their side computed once for the passes that follow."""
-    marked = materialised(df.withColumn("_test", fit_split(df, key, test_size, seed, stratum).is_test()))
+    marked = materialised(fit_split(df, key, test_size, seed, stratum).marked(df, "_test"))
     return marked.filter(~F.col("_test")).drop("_test"), marked.filter("_test").drop("_test")
 
 
@@ -191,7 +123,7 @@ def fit_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42) -> Column:
     for i in range(k - 1):
         at += n // k + (1 if i < n % k else 0)
         ends.append(at)
-    cuts = hash_cuts(df, key, seed, {None: n}, {None: ends})[None]
+    cuts = _plain_cuts(df, key, seed, ends)
     h = row_hash(seed, key)
     fold = F.lit(1)
     for cut in cuts:

@@ -52,9 +52,22 @@ def model_rows(df: DataFrame, target: str, keep: Sequence[str] = ()) -> DataFram
     return df.select(*keep, *features, target).na.drop(subset=[*features, target])
 
 
+def finite(c: Column) -> Column:
+    """NaN and infinity as null, the missing cell of every operator."""
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """Floating-point columns with NaN and infinity turned into null; other columns as they are."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    if not floats:
+        return df
+    return df.select(*[finite(F.col(f"`{c}`")).alias(c) if c in floats else F.col(f"`{c}`") for c in df.columns])
+
+
 def as_doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The columns as doubles with NaN turned into null: the missing cell of every operator."""
-    return df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    """The columns as doubles with NaN and infinity turned into null."""
+    return df.select(*[finite(F.col(c).cast("double")).alias(c) for c in columns])
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -98,6 +111,7 @@ def per_column(df: DataFrame, columns: Sequence[str], metrics: Mapping[str, Call
 def value_counts(df: DataFrame, columns: Sequence[str], as_type: str = "string") -> DataFrame:
     """``column, value, n`` over the non-missing cells of several columns."""
     types = dict(df.dtypes)
+    df = without_nan(df.select(*columns))
     # Adding 0.0 merges the two zeros a double can hold.
     typed = df.select(*[(F.col(c) + F.lit(0.0) if types[c] in ("double", "float") else F.col(c))
                         .cast(as_type).alias(c) for c in columns])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 import tempfile
 
@@ -32,10 +33,10 @@ def build_session(master: str = "local[*]", app: str = "plumbline", shuffle_part
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names; a temporary one only in local mode."""
+    """The shared folder the cluster names; a temporary one only where driver and executors are one process."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None and context.master.startswith("local"):
+    if folder is None and re.fullmatch(r"local(\[.*\])?", context.master):
         folder = tempfile.mkdtemp(prefix="plumbline-")
     if folder is not None and context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
@@ -48,7 +49,7 @@ def materialised(df: DataFrame) -> DataFrame:
     With a checkpoint folder the rows are written there, so a lost executor
     costs a re-read and not the shuffles behind it. Without one the rows are
     persisted, which recomputes lost blocks from lineage. Rows that sit in
-    fewer partitions than there are cores (one small file) are spread first.
+    fewer partitions than there are cores (one small file) are spread when read.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if checkpoint_dir(df.sparkSession) is None:
@@ -56,4 +57,4 @@ def materialised(df: DataFrame) -> DataFrame:
     written = df.checkpoint(eager=True)
     if written.rdd.getNumPartitions() * 2 > cores:
         return written
-    return written.repartition(cores).checkpoint(eager=True)
+    return written.repartition(cores)

@@ -6,6 +6,7 @@ through the codecs of the Hadoop build (gz and bz2 always).
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.cells import MISSING_TOKENS, six_digits
 from plumbline.operators.coerce import missing_tokens_to_null
+from plumbline.operators.tables import without_nan
 
 
 def _suffix(path: str) -> str:
@@ -27,28 +29,42 @@ def _suffix(path: str) -> str:
     return "csv"
 
 
+#: Quotes are doubled inside quoted cells, on both sides; white space around a cell is part of it.
+CSV_FORM = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "infer", missing: tuple[str, ...] = MISSING_TOKENS,
-               **options: str) -> DataFrame:
-    """Parquet with its types; CSV as text columns with missing-value tokens nulled."""
+               multi_line: bool = True, **options: str) -> DataFrame:
+    """Parquet with its types, NaN and infinity as nulls; CSV as text columns with missing-value tokens nulled.
+
+    CSV cells may hold line breaks, so one task reads a whole file. ``multi_line=False`` says that none does: files are
+    then split over tasks, and a row that does not fit the header fails instead of shifting cells.
+    """
     fmt = _suffix(path) if fmt == "infer" else fmt
     if fmt == "parquet":
-        return spark.read.options(**options).parquet(str(path))
+        return without_nan(spark.read.options(**options).parquet(str(path)))
     if fmt == "json":
         return read_json(spark, path, **options)
     if fmt != "csv":
         raise ValueError(f"unknown format: {fmt}")
-    settings = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false", **options}
-    return missing_tokens_to_null(spark.read.options(**settings).csv(str(path)), missing)
+    reading = {"multiLine": "true"} if multi_line else {"multiLine": "false", "mode": "FAILFAST"}
+    return missing_tokens_to_null(spark.read.options(**{**CSV_FORM, **reading, **options}).csv(str(path)), missing)
 
 
-def read_json(spark: SparkSession, path: str, **options: str) -> DataFrame:
+def read_json(spark: SparkSession, path: str, layout: str = "infer", **options: str) -> DataFrame:
     """Records as a table; an array of plain values as one ``value`` column.
 
-    One record per line splits over tasks. A single JSON document is read
-    whole by one task, so it suits reports and predictions of modest size.
+    ``layout="lines"``: one record per line in any number of files, split over tasks; a line that is no record fails.
+    ``layout="document"``: every file is one JSON document, read whole by one task, which suits modest reports.
+    ``layout="infer"`` looks at the first line: a whole record means lines.
     """
-    if str(path).lower().endswith(".jsonl"):
-        return spark.read.options(**options).json(str(path))
+    if layout == "infer":
+        first = spark.read.text(str(path)).filter(F.trim("value") != "").head()
+        layout = "lines" if first is None or _is_record(first[0]) else "document"
+    if layout == "lines":
+        return spark.read.options(**{"mode": "FAILFAST", **options}).json(str(path))
+    if layout != "document":
+        raise ValueError("layout must be 'infer', 'lines' or 'document'")
     table = spark.read.options(**{"multiLine": "true", **options}).json(str(path))
     if table.columns == ["_corrupt_record"]:
         raw = spark.read.option("wholetext", "true").text(str(path))
@@ -57,6 +73,13 @@ def read_json(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return table
 
 
+def _is_record(line: str) -> bool:
+    try:
+        return isinstance(json.loads(line), dict)
+    except ValueError:
+        return False
+
+
 def load_dataset(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """A CSV data set; a path that does not exist raises Spark's analysis error."""
     return read_table(spark, path, "csv", **options)
@@ -74,7 +97,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "infer", short_floats: bool
         doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
         out = df.select(*[six_digits(F.col(c)).alias(c) if short_floats and c in doubles else F.col(c)
                           for c in df.columns])
-        writer = out.write.mode(mode).option("header", "true")
+        writer = out.write.mode(mode).options(**CSV_FORM)
         for ending, codec in ((".gz", "gzip"), (".bz2", "bzip2")):
             if str(path).lower().endswith(ending):
                 writer = writer.option("compression", codec)

@@ -33,11 +33,8 @@ def average_rank(s):
     return s.rank()
 
 
-@pytest.mark.parametrize("wide", [False, True])
-def test_pearson_is_pairwise_complete(table, monkeypatch, wide):
+def test_pearson_is_pairwise_complete(table):
     df, pdf = table
-    if wide:
-        monkeypatch.setattr(C, "PAIRS_PER_AGGREGATE", 1)
     found = got(C.correlation(df, list(pdf.columns)))
     want = pdf.corr()
     for (i, j), r in found.items():

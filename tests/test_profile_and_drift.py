@@ -65,7 +65,11 @@ def test_missing_profiles(spark, rows):
     df = spark.createDataFrame([(1.0, None, "a"), (None, None, "b"), (3.0, 4.0, None)], "x double, y double, s string")
     assert [(r[0], r[1]) for r in profile.missing_by_column(df).collect()] == [("y", 2), ("s", 1), ("x", 1)]
     assert rows(profile.null_patterns(df)) == [("001", 1), ("010", 1), ("110", 1)]
-    assert rows(profile.co_missing(df)) == [("x", "y", 1)]
+    assert rows(profile.co_missing(df)) == [("x", "s", 0), ("x", "y", 1), ("y", "s", 0)]
+    holes = spark.createDataFrame([(float("nan"), 1), (float("inf"), 2), (1.0, 3)], "x double, k int")
+    assert profile.missing_by_column(holes).first()[:2] == ("x", 2)
+    assert rows(profile.null_patterns(holes)) == [("00", 1), ("10", 2)]
+    assert {r[0]: r[1] for r in profile.cardinality(holes).collect()} == {"x": 1, "k": 3}
     assert profile.drop_sparse_rows(df, 40.0).count() == 2
     assert profile.missing_overview(df).first()[2] == 4
     assert profile.duplicate_rows(df.unionAll(df)).first()[0] == 3

@@ -79,7 +79,7 @@ def test_logistic_penalty_is_the_unit_inverse(data):
 
 
 def test_split_is_exact_disjoint_and_stable(spark, rows, monkeypatch):
-    monkeypatch.setattr(split, "CANDIDATES", 20)
+    monkeypatch.setattr(split, "PREFIX", 1)
     df = spark.range(1003).withColumn("s", F.col("id") % 7 == 0)
     fitted = split.fit_split(df, "id", 0.2, 1)
     test = rows(fitted.test(df))
@@ -91,15 +91,21 @@ def test_split_is_exact_disjoint_and_stable(spark, rows, monkeypatch):
     assert [r[1] for r in folds] == [201, 201, 201, 200, 200]
 
 
-def test_split_with_a_heavy_key_keeps_it_on_one_side(spark, monkeypatch):
-    monkeypatch.setattr(split, "CANDIDATES", 10)
+def test_split_with_a_heavy_key_keeps_it_on_one_side(spark):
     df = spark.range(900).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
     for seed in range(3):
         fitted = split.fit_split(df, "k", 0.5, seed)
-        sides = df.filter("k = 0").select(fitted.is_test().alias("t")).distinct().count()
+        sides = fitted.marked(df.filter("k = 0")).select("is_test").distinct().count()
         assert sides == 1 and fitted.test(df).count() >= 450
 
 
+def test_split_of_many_strata(spark):
+    df = spark.range(3_000).withColumn("s", F.col("id") % 600)
+    fitted = split.fit_split(df, "id", 0.2, 3, "s")
+    per = fitted.marked(df).groupBy("s").agg(F.sum(F.col("is_test").cast("int")).alias("t")).groupBy("t").count().collect()
+    assert {r[0]: r[1] for r in per} == {1: 600}
+
+
 def test_out_of_fold_covers_every_row_once(data):
     df, pdf = data
     out = models.out_of_fold(df, ModelSpec("linear", "linear"), ["a", "b"], "y", "id")
@@ -160,3 +166,12 @@ def test_alignment(spark, rows):
     with pytest.raises(ValueError, match="number of rows"):
         score.align_by_order(truth, preds.limit(2), "id")
     assert score.evaluate_predictions(truth, preds, order="id").first()["mae"] == pytest.approx((1.5 + 1.0 + 2.0) / 3)
+
+
+def test_order_alignment_keeps_large_ids_apart(spark):
+    ids = spark.range(1000).select((F.lit(1 << 60) + F.col("id")).alias("id"), F.col("id").cast("double").alias("target"))
+    got = score.align_by_order(ids, ids.withColumnRenamed("target", "prediction"), "id").collect()
+    assert len(got) == 1000 and all(r["y"] == r["prediction"] for r in got)
+    with pytest.raises(ValueError):
+        score.align_by_order(ids.withColumn("id", F.when(F.col("target") > 0, F.col("id"))),
+                             ids.withColumnRenamed("target", "prediction"), "id")
