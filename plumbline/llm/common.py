@@ -228,7 +228,8 @@ def undo_gaps(steps: np.ndarray) -> np.ndarray:
 CHUNK_SCHEMA = "chunk long, role int, bytes long, blob binary"
 
 
-def pack_documents(docs: DataFrame, id_column: str, text: str, role: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, id_column: str, text: str, role: str | None = None,
+                   chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Documents as chunks (see the module's docstring), settled so that a chunk stays what it is.
 
     ``role`` names an integer column; documents of different roles go to different chunks. A null id is kept as such.
@@ -256,7 +257,7 @@ def pack_documents(docs: DataFrame, id_column: str, text: str, role: str | None
         for batch in batches:
             roles = batch.column(2).to_pylist() if role else [0] * batch.num_rows
             for i, t, r in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), roles, strict=True):
-                if r in open_ and size[r] + len(t) > CHUNK_BYTES:
+                if r in open_ and size[r] + len(t) > chunk_bytes:
                     yield close(r)
                 if r not in open_:
                     open_[r], size[r] = ([], []), 0

@@ -33,6 +33,7 @@ WINDOW = 200
 GRAM = 40
 SPAN = WINDOW - GRAM + 1        # pieces in a string
 HOT, HOT_STEP = 512, 8          # occurrences beyond which an anchor is split, and the offsets of a part
+CHUNK = 2 << 20                 # text of a chunk; hashes of all its places are held at once
 SEGMENT = 1 << 20               # starts looked at at once
 RANGE_BYTES = 12 << 20          # text that a range of anchors stands for
 LEAST_RANGES = 64
@@ -271,7 +272,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     rows; other columns are ignored. A cut may fall inside a character, so what is kept is bytes.
     """
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    chunks = pack_documents(source, "doc_id", "text")
+    chunks = pack_documents(source, "doc_id", "text", chunk_bytes=CHUNK)
     bits = power_of_two(total_bytes(chunks) / RANGE_BYTES, LEAST_RANGES).bit_length() - 1
     repeated = _repeats(_documents(_with_chunks(chunks, _answers(_questions(chunks, bits))), bits))
     extra = [("kept", pa.binary())] if keep_text else []
