@@ -6,7 +6,7 @@ a stretch of a text is within floor((1 - ``SIMILARITY``) * L) word edits of it.
 * The CGK random walk copies the word under its pointer to the output and moves on, or stays, by a random bit of (step,
   word). Edit distance becomes Hamming distance: after an edit the walks of both sequences soon meet again.
 * ``SAMPLED`` output positions form one LSH key. Walk and positions are drawn anew ``repetitions`` times; the number is
-  chosen so that sequences at the edit limit, simulated on the items, share a key with probability ``RECALL``.
+  chosen so that items at the edit limit, simulated on the longest ones, share a key with probability ``RECALL``.
 * Windows are all stretches of L words that can match at all: by the q-gram lemma a match within d edits shares at least
   L - q + 1 - q d of the item's word q-grams, and windows with fewer pairs or triples of any item are skipped without loss.
 * Windows whose key equals an item's are verified by the exact edit distance of the item to any stretch around them.
@@ -16,7 +16,6 @@ The items are the stated query set: they go to the tasks in blocks of at most ``
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 from dataclasses import dataclass, field
 
@@ -29,8 +28,9 @@ from plumbline.llm.common import LOWER, Buffer, mix, prefix_sums, sequence_hashe
 from plumbline.llm.toxicity import LETTER
 
 SIMILARITY = 0.8
-RECALL = 0.99
+RECALL = 0.995
 SAMPLED = 3
+TRIALS = 200                # simulated matches from which the repetitions are chosen
 MOST_REPETITIONS = 64
 BLOCK_BYTES = 16 << 20
 GRAMS = (2, 3)               # word q-grams of the filters
@@ -156,28 +156,39 @@ class Benchmark:
         return self
 
     def _repetitions(self, recall: float) -> int:
-        """How many repetitions give pairs at the edit limit a common key with probability ``recall``."""
+        """How many repetitions find items with as many edits as are allowed, each among other words, with ``recall``."""
         r = np.random.default_rng(3)
-        hits = tries = 0
-        for w in [self.words[i] for i in r.choice(len(self.words), min(24, len(self.words)), replace=False)]:
-            length, d = len(w), allowed(len(w), self.similarity)
-            noise = r.integers(1, 2**63, length + 3 * d + 2, dtype=np.uint64)
-            text = w.tolist()
+        # long items are the hardest: they are allowed the most edits before the sampled positions
+        longest = sorted(range(len(self.words)), key=lambda i: -len(self.words[i]))[:max(1, len(self.words) // 4)]
+        trials = [self.words[i] for i in r.choice(longest, TRIALS)]
+        items, texts, starts, lengths, owner, at = [], [], [], [], [], 0
+        for t, w in enumerate(trials):
+            d = allowed(len(w), self.similarity)
+            text, noise = w.tolist(), r.integers(1, 2**63, 4 * d + 2, dtype=np.uint64).tolist()
             for k in range(d):
-                at = int(r.integers(len(text) + 1))
-                kind = int(r.integers(3))
+                place, kind = int(r.integers(len(text) + 1)), int(r.integers(3))
                 if kind == 0:
-                    text.insert(at, noise[k])
-                elif at < len(text):
-                    text[at:at + 1] = [noise[k]] if kind == 1 else []
-            flat = np.concatenate((noise[d:2 * d + 1], np.array(text, np.uint64), noise[2 * d + 1:]))
-            starts = np.arange(1, 2 * d + 2)
-            for repetition in range(16):
-                own = keys(w, np.zeros(1, np.int64), np.array([length]), repetition)[0]
-                hits += bool((keys(flat, starts, np.full(len(starts), length), repetition) == own).any())
-                tries += 1
-        p = min(max(hits / tries, 0.02), 0.999)
-        return min(MOST_REPETITIONS, max(4, math.ceil(math.log(1 - recall) / math.log(1 - p))))
+                    text.insert(place, noise.pop())
+                elif place < len(text):
+                    text[place:place + 1] = [noise.pop()] if kind == 1 else []
+            around = [*noise[:d], *text, *noise[d:2 * d], *noise[:d]]
+            own = np.arange(at, at + max(1, min(2 * d + 1, len(around) - len(w) + 1)))
+            items.append(w)
+            texts.append(np.array(around, np.uint64))
+            starts.append(own)
+            lengths.append(np.full(len(own), len(w)))
+            owner.append(np.full(len(own), t))
+            at += len(around)
+        flat, line = np.concatenate(items), np.concatenate([*texts, np.zeros(len(max(trials, key=len)), np.uint64)])
+        sizes = np.array([len(w) for w in items])
+        starts, lengths, owner = np.concatenate(starts), np.concatenate(lengths), np.concatenate(owner)
+        found = np.zeros(TRIALS, bool)
+        for repetition in range(MOST_REPETITIONS):
+            own = keys(flat, np.cumsum(sizes) - sizes, sizes, repetition)
+            np.logical_or.at(found, owner, keys(line, starts, lengths, repetition) == own[owner])
+            if repetition >= 3 and found.mean() >= recall:
+                return repetition + 1
+        return MOST_REPETITIONS
 
     def matches(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, start byte, end byte, edits) of every stretch that matches an item."""
@@ -206,9 +217,14 @@ class Benchmark:
                 reach = np.minimum(here + self._span(length), last)
                 for q in GRAMS:
                     own &= shared[q][reach] - shared[q][here] >= max(0, self._need(length, q))
-                # windows that reach beyond their text's end are shifted back to end with it
-                begin = np.unique(np.maximum(np.minimum(here[own], last[own] - length), floor[own]))
-                begin = begin[self._distinct(ids, begin, length) >= self._need(length, GRAMS[0])]
+                start = here[own]
+                enough = self._distinct(ids, start, length) >= self._need(length, GRAMS[0])
+                if not enough.any():
+                    continue
+                # the windows around may share a key where this one does not; those beyond their text's end are shifted back
+                near = np.arange(-allowed(length, self.similarity), allowed(length, self.similarity) + 1)
+                low, high = floor[own][enough][:, None], last[own][enough][:, None] - length
+                begin = np.unique(np.maximum(np.minimum(start[enough][:, None] + near, high), low))
                 found.append((begin, np.full(len(begin), length)))
         if not found:
             return []
