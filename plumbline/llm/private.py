@@ -322,8 +322,9 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 def fitted(docs: DataFrame, text: str = "text", texts: int = FIT_TEXTS) -> Judge:
     """Trees fitted between the words of at most ``texts`` texts: those with the smallest hashes."""
-    got = (docs.select(F.col(text).cast("string").alias("t")).filter("t is not null")
-           .orderBy(F.xxhash64("t"), "t").limit(texts).collect())
+    known = docs.select(F.col(text).cast("string").alias("t")).filter("t is not null").withColumn("h", F.xxhash64("t"))
+    last = known.select("h").orderBy("h").limit(texts).agg(F.max("h")).head()[0]       # hashes alone are compared
+    got = known.filter(F.col("h") <= last).dropDuplicates(["h"]).orderBy("h").limit(texts).collect() if last is not None else []
     return Judge.fit([r.t for r in got])
 
 
