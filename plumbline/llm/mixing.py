@@ -144,12 +144,13 @@ def mixed_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         F.sort_array(F.collect_list(F.struct("from", "to", "times"))).alias("__pieces"))
         .join(mix.placed.select("source_no", "row", F.col("doc_id").alias("__id"), F.col("size").alias("__size")),
               ["source_no", "row"]).select("__id", "__size", "__pieces"))
-    rows = docs.join(plan, F.col(id_column) == F.col("__id")).withColumn(
+    words = F.filter(F.split(text, GAP), lambda w: w != "")
+    # the words are cut out below the repetition, or each piece would cut the text anew
+    rows = docs.join(plan, F.col(id_column) == F.col("__id")).withColumn("__words", words).withColumn(
         "__round", F.explode(F.sequence(F.lit(1), F.array_max(F.transform("__pieces", lambda p: p["times"])).cast("int"))))
     kept = rows.withColumn("__kept", F.filter("__pieces", lambda p: p["times"] >= F.col("__round")))
     whole = F.aggregate("__kept", F.lit(0).cast("long"), lambda n, p: n + p["to"] - p["from"]) == F.col("__size")
-    words = F.filter(F.split(text, GAP), lambda w: w != "")
-    parts = F.flatten(F.transform("__kept", lambda p: F.slice(words, (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int"))))
+    parts = F.flatten(F.transform("__kept", lambda p: F.slice("__words", (p["from"] + 1).cast("int"), (p["to"] - p["from"]).cast("int"))))
     out = kept.withColumn(text, F.when(whole, F.col(text)).otherwise(F.array_join(parts, " ")))
     if length in docs.columns:
         out = out.withColumn(length, F.char_length(text).cast(docs.schema[length].dataType))
