@@ -103,3 +103,19 @@ def test_repeats_of_odd_tables(make):
     got = repeats.without_repeats(make([(None, long, "s"), (2, None, "s"), (2, "y" * 199, "s")]), keep_text=True).collect()
     assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == [
         (0, 450, 450, b""), (2, 0, 0, b""), (2, 199, 0, b"y" * 199)]
+
+
+def test_sql_gives_the_same_groups(spark, make):
+    import os
+
+    import duckdb
+
+    from plumbline.llm.queries import QUERIES, SQL
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables here")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    name = "op3_minhash_odd_sketch"
+    assert sorted(con.sql(SQL[name]).fetchall()) == sorted(map(tuple, QUERIES[name](spark, folder).collect()))
