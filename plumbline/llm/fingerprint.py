@@ -4,8 +4,8 @@ A paragraph beyond ``LEAST`` code points is cut further, after words that end in
 cuts beside it only. A paragraph's digest is 40 bits of its hash and its length. The sketch has a power of two of cells at
 or above ``ROOM`` times the number of digests; every digest goes to three cells, where counts add up and digests and their
 checks are XORed. Joining its halves folds a sketch to half its cells, so sketches of different sizes subtract. Peeling
-cells that hold a single digest recovers the digests that differ. It starts with ``FIRST`` cells and, on failure, retries
-with twice as many, up to the smaller of the two sketches; beyond that, larger sketches are built from the digests.
+cells that hold a single digest recovers the digests that differ. It starts with half the cells of the smaller sketch and, on
+failure, retries with twice as many, up to that sketch's; beyond that, larger sketches are built from the digests.
 
 The likeness of two documents is the share of code points (both texts together) in paragraphs that do not differ.
 """
@@ -17,6 +17,7 @@ import hashlib
 import re
 import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -54,6 +55,7 @@ def digests(text: str) -> list[int]:
     return out
 
 
+@lru_cache(maxsize=1 << 14)
 def _spread(digest: int) -> tuple[int, int]:
     """Positions (three times 21 bits) and a check of a digest."""
     h = (digest ^ digest >> 29) * 0xBF58476D1CE4E5B9 & _MASK
@@ -81,10 +83,12 @@ class Sketch:
 
     def put(self, value: int, sign: int) -> None:
         h, check = _spread(value)
-        for at in self.cells_of(h):
-            self.counts[at] += sign
-            self.keys[at] ^= value
-            self.checks[at] ^= check
+        counts, keys, checks = self.counts, self.keys, self.checks
+        mask = len(counts) - 1
+        for at in (h & mask, h >> 21 & mask, h >> 42 & mask):
+            counts[at] += sign
+            keys[at] ^= value
+            checks[at] ^= check
 
     def less(self, other: Sketch, cells: int) -> Sketch:
         """Folded to ``cells`` and subtracted."""
@@ -142,7 +146,8 @@ class Sketch:
 
 def difference(a: Sketch, b: Sketch) -> tuple[list[int], list[int]] | None:
     """Differing digests from two sketches, with more cells after each failure; None if the smaller sketch is too small."""
-    cells, most = FIRST, min(len(a.counts), len(b.counts))
+    most = min(len(a.counts), len(b.counts))
+    cells = max(FIRST, most // 2)
     while cells <= most:
         got = a.less(b, cells).peeled()
         if got is not None:
