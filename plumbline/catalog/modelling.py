@@ -123,7 +123,9 @@ def _scores(prediction):
 
 
 def _fit_and_score(spark, folder, spec):
+    """``spec``, or what makes it from the training rows, fitted and scored on one split."""
     tr, te = _orders_split(spark, folder)
+    spec = spec(tr) if callable(spec) else spec
     out = models.regression_metrics(models.predict(models.fit_model(tr, spec, ["x"], "y"), te))
     return out.select(rounded(F.col("mae"), 3).alias("mae"), rounded(F.col("rmse"), 3).alias("rmse"), rounded(F.col("r2")).alias("r2"))
 
@@ -152,8 +154,7 @@ ALPHA = 20000.0
 @query(f"""WITH {ORDER_SPLIT}, f AS (SELECT covar_pop(y, x) * count(*) / (var_pop(x) * count(*) + {ALPHA} * count(*)) AS b,
   avg(y) AS my, avg(x) AS mx FROM tr) {_scores('my + b * (x - mx)')}""")
 def ridge(spark, folder):
-    tr, _ = _orders_split(spark, folder)
-    return _fit_and_score(spark, folder, ModelSpec("ridge", "ridge", {"alpha": ALPHA * tr.count()}))
+    return _fit_and_score(spark, folder, lambda tr: ModelSpec("ridge", "ridge", {"alpha": ALPHA * tr.count()}))
 
 
 @query(f"""WITH {ORDER_SPLIT}, f AS (SELECT sign(covar_pop(y, x)) * greatest(0, abs(covar_pop(y, x)) - 100) / var_pop(x) AS b,
