@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from plumbline.session import checkpoint_dir
 
 CHUNK_BYTES = 8 << 20      # text per chunk; a longer document is a chunk of its own
+TEXT_LEVEL = 3             # compression of a chunk's texts, which are written and shuffled
 SLICE_BYTES = 4 << 20      # text that a task turns into arrays at once
 
 WHITE = np.zeros(256, bool)
@@ -193,7 +194,7 @@ def sequence_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
 
 # ---- packed rows ----------------------------------------------------------------------------------------------------
 
-def pack(**arrays: np.ndarray) -> bytes:
+def pack(effort: int = 1, /, **arrays: np.ndarray) -> bytes:
     """Arrays as one compressed value; bytes of equal weight stand together, so small numbers take little room."""
     head, body = [], []
     for name, a in arrays.items():
@@ -201,7 +202,7 @@ def pack(**arrays: np.ndarray) -> bytes:
         head.append([name, a.dtype.str, len(a)])
         body.append(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
     head = json.dumps(head).encode()
-    return zstandard.ZstdCompressor(level=1).compress(struct.pack("<I", len(head)) + head + b"".join(body))
+    return zstandard.ZstdCompressor(level=effort).compress(struct.pack("<I", len(head)) + head + b"".join(body))
 
 
 def unpack(value: bytes) -> dict[str, np.ndarray]:
@@ -245,7 +246,7 @@ def pack_documents(docs: DataFrame, id_column: str, text: str, role: str | None
             nonlocal made
             ids, texts = open_.pop(key)
             data = bytes([SEPARATOR]).join(texts) + bytes([SEPARATOR])
-            blob = pack(ids=np.array([0 if i is None else i for i in ids], np.int64),
+            blob = pack(TEXT_LEVEL, ids=np.array([0 if i is None else i for i in ids], np.int64),
                         known=np.array([i is not None for i in ids], np.uint8),
                         lengths=np.fromiter(map(len, texts), np.int64, len(texts)), data=np.frombuffer(data, np.uint8))
             made += 1
