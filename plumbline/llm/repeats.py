@@ -82,7 +82,8 @@ def _segment(buffer: Buffer, begin: int, stop: int, first: int, last: int):
     head = np.concatenate(([0], cut)) if len(starts) else np.zeros(0, np.int64)
     count = np.diff(np.append(head, len(starts)))
     at = anchor[head]
-    return starts[head] + begin, count, at + begin, h[at] & KEY_BITS
+    # anchors are least hashes: mixed again they spread over all ranges
+    return starts[head] + begin, count, at + begin, mix(h[at]) & KEY_BITS
 
 
 def _questions(chunks: DataFrame, bits: int) -> DataFrame:
