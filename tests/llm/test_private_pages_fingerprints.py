@@ -50,6 +50,23 @@ def test_added_spans(make):
     assert private.found(make([]).limit(0), judge).count() == 0
 
 
+def test_written_forms_stand_alone(monkeypatch):
+    words = ["the quick brown fox and others of this kind went home"] * 5
+    judge = private.Judge.fit(words)
+    for value in ("john (at) example.com", "john [at] example.com"):        # nothing else stands in the text
+        for text in (value, f"write to {value} please"):
+            at = text.index("john")
+            assert judge.added(text, private.base_spans(text)) == [(0, at, at + len(value))]
+    text = "john AT example.com"
+    assert (0, 0, len(text)) in private.proposals(text)
+    text = "host fade:cafe:beef:abba:dead:face:bead:deaf is down"
+    assert (1, 5, 44) in private.proposals(text)
+    assert all(m >= u for m, u in zip(judge.missed, judge.unproposed, strict=True))
+    monkeypatch.setitem(private._PROPOSE, "email", re.compile("(?!)"))
+    blind = private.Judge.fit(words, 400)
+    assert blind.missed[0] == blind.unproposed[0] == sum(k == 0 and personal for _, k, _, _, personal in private._examples(words, 400))
+
+
 def page(body):
     return f"<html><head><title>t</title><style>p{{}}</style></head><body>{body}</body></html>"
 
