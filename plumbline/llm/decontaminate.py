@@ -299,24 +299,23 @@ class Benchmark:
         word, length = self.words[item], len(self.words[item])
         d = allowed(length, self.similarity)
         text = np.searchsorted(s.first, begins, "right") - 1
-        cut = np.flatnonzero((np.diff(begins) > length + d) | (np.diff(text) > 0)) + 1
+        cut = np.flatnonzero((np.diff(begins) > length + 3 * d) | (np.diff(text) > 0)) + 1     # regions share no word
         out = []
         for part in np.split(np.arange(len(begins)), cut):
             t = int(text[part[0]])
             low = max(int(begins[part[0]]) - d, int(s.first[t]))
             high = min(int(begins[part[-1]]) + length + 2 * d, int(s.first[t + 1]))
-            while high - low >= length - d:
-                if np.count_nonzero(np.isin(word, s.hashes[low:high])) < length - d:
-                    break                                   # too few of its words occur at all
+            rests = [(low, high)]                           # other copies may stand on either side of a match
+            while rests:
+                low, high = rests.pop()
+                if high - low < length - d or np.count_nonzero(np.isin(word, s.hashes[low:high])) < length - d:
+                    continue                                # too few of its words occur at all
                 edits, a, b = nearest(word, s.hashes[low:high])
                 if edits > d or b <= a:
-                    break
+                    continue
                 base = int(s.base[t])
                 out.append((t, item, int(s.starts[low + a]) - base, int(s.ends[low + b - 1]) - base, edits))
-                if high - (low + b) >= low + a - low:       # go on in the larger rest, as other copies may stand there
-                    low += b
-                else:
-                    high = low + a
+                rests += [(low + b, high), (low, low + a)]
         return out
 
 

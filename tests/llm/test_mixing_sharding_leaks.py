@@ -160,6 +160,46 @@ def test_leaks_are_found_and_clean_texts_left(spark, make, items):
     assert decontaminate.leaks(make(rows), bench.limit(0)).count() == 0 and decontaminate.leaks(make([]).limit(0), bench).count() == 0
 
 
+def apart(item, text):
+    """Matches by brute force: the best stretch, then the same in what stands before and after it."""
+    n, d = len(item), decontaminate.allowed(len(item))
+    edits, end, start = min(((whole_edits(item, text[a:b]), b, a) for a in range(len(text))
+                             for b in range(a + n - d, min(len(text), a + n + d) + 1)), default=(d + 1, 0, 0))
+    return 0 if edits > d else 1 + apart(item, text[:start]) + apart(item, text[end:])
+
+
+def whole_edits(item, stretch):
+    row = list(range(len(stretch) + 1))
+    for i, w in enumerate(item, 1):
+        new = [i]
+        for j, x in enumerate(stretch, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (w != x)))
+        row = new
+    return row[-1]
+
+
+def test_adjacent_copies_are_all_found(make, spark, items):
+    known, _ = items
+    item = known[4].split()
+    r = random.Random(6)
+
+    def edited(n):
+        out = list(item)
+        for at in r.sample(range(2, len(out) - 2), n):
+            out[at] = f"z{at}"
+        return out
+
+    rows = [[*edited(x), *edited(y), *edited(z)] for x, y, z in ((1, 0, 1), (2, 0, 2), (0, 0, 0), (1, 2, 0), (0, 1, 1))]
+    rows += [[w for n in (2, 1, 1, 0, 1, 2, 1) for w in edited(n)]]
+    bench = spark.createDataFrame([(4, known[4])], "item_id long, text string")
+    got = decontaminate.leaks(make([(i, " ".join(t), "s") for i, t in enumerate(rows)]), bench).collect()
+    found = Counter(x.doc_id for x in got)
+    assert [found[i] for i in range(len(rows))] == [apart(item, t) for t in rows] == [3, 3, 3, 3, 3, 7]
+    for i in range(len(rows)):
+        spans = sorted((x.start, x.end) for x in got if x.doc_id == i)
+        assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
 def test_pipeline_stages(spark, make):
     import os
 
