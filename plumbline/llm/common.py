@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import StorageLevel, TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.session import checkpoint_dir
@@ -39,6 +39,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def row_digest(docs: DataFrame) -> Column:
+    """Hex digest of all columns of a row: equal for rows that are equal in every column, nulls included, and only for them."""
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])), 256)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage: written to the shared checkpoint folder, which survives lost executors.
 

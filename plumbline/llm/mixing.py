@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import settled
+from plumbline.llm.common import row_digest, settled
 from plumbline.llm.permute import numbered, permuted
 
 BLOCK = 64
@@ -104,17 +104,20 @@ class Mix:
     """
 
     def __init__(self, docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source",
-                 weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK, repeats: int = REPEATS, seed: int = 7):
+                 weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK, repeats: int = REPEATS, seed: int = 7,
+                 key: Column | None = None):
         self.docs = docs
+        own = [] if key is None else ["key"]
         base = docs.select(F.col(id_column).alias("doc_id"), F.col(source).alias("source"), words_in(F.col(text)).alias("size"),
-                           F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("tie"))
+                           F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("tie"),
+                           *[key.alias(k) for k in own])
         rows = settled(base)
         targets = settled(source_targets(rows, weights, repeats))
         self.ranges = settled(slot_ranges(targets, block, repeats, seed))
         self.slots = slots_of(self.ranges, seed)
         known = rows.join(targets.select(F.col("source").alias("__s"), "source_no", "source_size", "target"),
                           F.col("source").eqNullSafe(F.col("__s"))).drop("__s", "source")
-        self.placed = settled(numbered(known, ["source_no"], ["doc_id", "tie", "size"], "row", "size", "start"))
+        self.placed = settled(numbered(known, ["source_no"], ["doc_id", "tie", "size", *own], "row", "size", "start"))
         low, high = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
         self.pieces = (self.placed.filter("size > 0").select("source_no", "row", "start", "size", F.explode(
             F.sequence(low.cast("long"), high.cast("long"))).alias("block")).select(
@@ -137,16 +140,18 @@ def mixed_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     Where it takes the whole document the text stays as it is; otherwise the words of the taken blocks stand in their
     order with one space between. Documents that no slot takes, and those without words, are not part of the mix.
-    The id must be unique among the rows that have one; rows without an id stay out.
+    Plans find their rows by a digest of all columns, so rows without an id and rows that share one are rows like others;
+    of rows equal in every column each has its own plan.
     """
-    mix = Mix(docs, id_column, text, source, **options)
+    keyed = docs.withColumn("__key", F.unhex(row_digest(docs)))
+    mix = Mix(keyed, id_column, text, source, key=F.col("__key"), **options)
     plan = (mix.taken_pieces.groupBy("source_no", "row").agg(
         F.sort_array(F.collect_list(F.struct("from", "to", "times"))).alias("__pieces"))
-        .join(mix.placed.select("source_no", "row", F.col("doc_id").alias("__id"), F.col("size").alias("__size")),
-              ["source_no", "row"]).select("__id", "__size", "__pieces"))
+        .join(mix.placed.select("source_no", "row", F.col("key").alias("__key"), F.col("size").alias("__size")),
+              ["source_no", "row"]).select("__key", "__size", "__pieces"))
     words = F.filter(F.split(text, GAP), lambda w: w != "")
     # the words are cut out below the repetition, or each piece would cut the text anew
-    rows = docs.join(plan, F.col(id_column) == F.col("__id")).withColumn("__words", words).withColumn(
+    rows = keyed.dropDuplicates(["__key"]).join(plan, "__key").withColumn("__words", words).withColumn(
         "__round", F.explode(F.sequence(F.lit(1), F.array_max(F.transform("__pieces", lambda p: p["times"])).cast("int"))))
     kept = rows.withColumn("__kept", F.filter("__pieces", lambda p: p["times"] >= F.col("__round")))
     whole = F.aggregate("__kept", F.lit(0).cast("long"), lambda n, p: n + p["to"] - p["from"]) == F.col("__size")

@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import (SLICE_BYTES, Buffer, groups, mix, sequence_hashes, settled, slices, texts_of,
-                                  whole_groups, words_of)
+from plumbline.llm.common import (SLICE_BYTES, Buffer, groups, mix, row_digest, sequence_hashes, settled, slices,
+                                  texts_of, whole_groups, words_of)
 
 SHINGLE = 5
 ROWS, BANDS = 5, 25
@@ -145,9 +145,15 @@ def _binary_matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
 
 
+def _kind(docs: DataFrame, id_column: str) -> str:
+    """Ids are numbers; keys made from rows are bytes."""
+    return "binary" if dict(docs.dtypes)[id_column] == "binary" else "long"
+
+
 def sets_of(docs: DataFrame, id_column: str, text: str, width: int = SHINGLE) -> DataFrame:
     """One row per document: id, n_shingles, class key, and for sets that are not empty band keys and odd sketch."""
-    source = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
+    kind = _kind(docs, id_column)
+    source = docs.select(F.col(id_column).cast(kind).alias("doc"), F.col(text).cast("string").alias("text"))
 
     def run(batches):
         for batch in slices(batches, "text"):
@@ -166,7 +172,7 @@ def sets_of(docs: DataFrame, id_column: str, text: str, width: int = SHINGLE) ->
                  pa.array(rows["bands"], pa.list_(pa.int64())), pa.array(rows["sketch"], pa.binary())],
                 names=["doc", "n", "class", "bands", "sketch"])
 
-    return source.mapInArrow(run, "doc long, n long, class binary, bands array<long>, sketch binary")
+    return source.mapInArrow(run, f"doc {kind}, n long, class binary, bands array<long>, sketch binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -220,7 +226,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, id_column: str, text: str,
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     needed = clusters.join(sizes, "root").join(classes, clusters["node"] == classes["class"]).select(
         "class", "rep", "n", "sketch", "root", "members")
-    source = docs.select(F.col(id_column).cast("long").alias("rep"), F.col(text).cast("string").alias("text"))
+    source = docs.select(F.col(id_column).cast(_kind(docs, id_column)).alias("rep"), F.col(text).cast("string").alias("text"))
     picked = source.join(needed.select("rep", F.col("class").alias("want")).hint("shuffle_hash"), "rep")
 
     def resolve(batches):
@@ -305,10 +311,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """The documents without near copies: of each group the row with the smallest id stays, and one row of it.
+    """The documents without near copies: of each group the row with the smallest id stays, and of its rows without an id one.
 
-    Rows without an id cannot be told apart by it; of equal texts among them one stays.
+    Rows are told apart by a key of their id and all their columns, not by the id alone: different texts of one id are
+    documents of their own. Of rows equal in every column one stays.
     """
-    marks = near_duplicates(docs, id_column, text, percent).filter("kept").select(F.col("doc_id").alias(id_column)).distinct()
-    known = docs.join(marks, id_column, "left_semi").dropDuplicates([id_column])
-    return known.unionByName(docs.filter(F.col(id_column).isNull()).dropDuplicates([text]))
+    id_ = F.col(id_column).cast("long")
+    order = F.lpad(F.hex(F.coalesce(id_, F.lit(0)).bitwiseXOR(F.lit(-2**63))), 16, "0")       # bytes in the order of the ids
+    keyed = docs.withColumn("__key", F.unhex(F.concat(F.when(id_.isNull(), "01").otherwise("00"), order, row_digest(docs))))
+    rows = settled(near_duplicates(keyed, "__key", text, percent).select("doc_id", "component_id", "kept"))
+    nameless = rows.filter(F.substring(F.hex("doc_id"), 1, 2) == "01")
+    marks = (rows.filter("kept").select(F.col("doc_id").alias("__key"))
+             .unionByName(nameless.groupBy("component_id").agg(F.min("doc_id").alias("__key")).select("__key")).distinct())
+    return keyed.join(marks, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)

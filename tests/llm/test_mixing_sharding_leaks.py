@@ -102,6 +102,22 @@ def test_mixed_documents_hold_the_taken_words(docs):
     assert held == Counter({i: n for i, n in per.items() if n})
 
 
+def test_mix_of_null_and_repeated_ids(make):
+    rows = [(None, "a " * 130, "s"), (None, "b " * 70, "s"), (5, "c " * 200, "s"), (5, "d " * 90, "s"), (5, "e " * 150, None),
+            (None, "f " * 300, None), (7, "g " * 110, "t"), (7, "g " * 110, "t"), (8, "h " * 400, "t"), (9, None, None)]
+    letter = {len(words(t)): t[0] for _, t, _ in rows if t}
+    taken = Counter()
+    for r in mixing.Mix(make(rows)).documents().collect():
+        taken[letter.get(r["size"])] += r.taken
+    held = Counter()
+    for r in mixing.mixed_documents(make(rows)).collect():
+        assert r.n_chars == len(r.text) and len(set(words(r.text))) == 1
+        held[r.text[0]] += len(words(r.text))
+    assert held == Counter({k: n for k, n in taken.items() if n}) and {"a", "b", "f"} & set(held)
+    for _, t, _ in rows:
+        assert t is None or held[t[0]] <= 3 * len(words(t)) * (2 if t[0] == "g" else 1)
+
+
 @pytest.fixture(scope="module")
 def items():
     r = random.Random(9)

@@ -53,6 +53,14 @@ def test_null_ids_repeated_rows_and_empty_tables(make):
     assert sorted(r.doc_id or 0 for r in near.one_of_each(docs).collect()) == [0, 0, 1, 3]
 
 
+def test_one_of_each_tells_rows_apart(make):
+    base, other, third = (" ".join(f"{c}{i}" for i in range(120)) for c in "abc")
+    docs = make([(4, base, "s"), (4, other, "s"), (2, base + " tail", "s"), (-1, third, "s"), (6, third, "t"), (7, "x y", "s"), (7, "x y", "s"),
+                 (None, "n " + " ".join(f"n{i}" for i in range(120)), "s"), (None, " ".join(f"n{i}" for i in range(120)), "s"), (8, None, "s")])
+    got = Counter((r.doc_id, (r.text or "").split(" ")[0][:1]) for r in near.one_of_each(docs).collect())
+    assert got == Counter([(2, "a"), (4, "b"), (-1, "c"), (7, "x"), (None, "n"), (8, "")])
+
+
 def test_sketches_estimate_high_similarity():
     r = np.random.default_rng(1)
     for size, share in ((300, 0.9), (3000, 0.85), (20000, 0.85)):
