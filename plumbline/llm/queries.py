@@ -18,7 +18,7 @@ def op1_cgk_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op2_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
     from plumbline.llm.language import scored
 
-    return scored(table(spark, folder, "documents"))
+    return scored(table(spark, folder, "documents"), order=3)
 
 
 def op3_minhash_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:

@@ -46,6 +46,32 @@ def test_scores_equal_a_plain_model(make, texts, monkeypatch):
         assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
 
 
+def test_bound_query_mixes_trigrams(spark, make, texts, monkeypatch, tmp_path):
+    from plumbline.llm.queries import QUERIES
+
+    few = [t for t in texts if len(t or "") < 3000] * 2
+    make([(i, t, "s") for i, t in enumerate(few)]).write.parquet(f"{tmp_path}/documents.parquet")
+    learned = {}
+    plain = language.learn_weights
+    monkeypatch.setattr(language, "learn_weights", lambda *a: learned.setdefault("w", plain(*a)))
+    got = {r.doc_id: r.score for r in QUERIES["op2_deleted_interpolation"](spark, str(tmp_path)).collect()}
+    counts = [Counter(), Counter(), Counter()]
+    lines = [["<s>", "<s>", *tokens(t)] for t in few]
+    for i, line in enumerate(lines):
+        if zlib.crc32(str(i).encode()) % 10:
+            for k in range(3):
+                counts[k].update(tuple(line[j - k:j + 1]) for j in range(2, len(line)))
+    n, v, starts = sum(counts[0].values()), len(counts[0]), counts[0][("</s>",)]
+    for i, line in enumerate(lines):
+        score = 0.0
+        for j in range(2, len(line)):
+            seen = [n, *[starts if j == 2 else counts[k - 1][tuple(line[j - k:j])] for k in (1, 2)]]
+            p = [counts[k][tuple(line[j - k:j + 1])] / seen[k] if seen[k] else 0 for k in (2, 1, 0)]
+            bucket = min(int(math.log2(seen[2])) + 1, language.BUCKETS - 1) if seen[2] else 0
+            score += math.log10(sum(a * b for a, b in zip(learned["w"][bucket], [*p, 1 / (v + 1)], strict=True)))
+        assert got[i] == pytest.approx(score)
+
+
 def test_em_finds_the_mixture():
     r = np.random.default_rng(2)
     cells = []
