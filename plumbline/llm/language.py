@@ -4,8 +4,9 @@ Tokens are words (lower-cased over A-Z) and one end per text. Maximum-likelihood
 uniform one over V + 1 tokens are mixed; the weights depend on the bucket that the frequency of the longest context falls
 into (powers of two). They are learned by expectation-maximisation on held-out counts: training texts of one remainder are
 deleted from the counts, the rest predicts them, and EM runs per bucket over a table of how often each combination of
-component probabilities occurs (in steps of 1/8 octave, so the table stays small at any corpus size). Scores use the counts
-of all training texts.
+component probabilities occurs (in steps of 1/8 octave). The table stays on the cluster: with order 3 it has millions of
+rows, each round is one pass over it, and only the rounds' sums, a number per bucket and component, reach the driver.
+Scores use the counts of all training texts.
 
 Counts never leave the cluster as a whole. A chunk of texts asks for its distinct n-grams, one row per key range; the task
 of a range adds up what all chunks hold and answers each chunk's question; a chunk's answers meet its texts again.
@@ -13,6 +14,8 @@ of a range adds up what all chunks hold and answers each chunk's question; a chu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,6 +34,7 @@ BUCKETS = 24
 STEP = 8                                # component probabilities per octave in the EM table
 LEVELS = 512
 ROUNDS = 60
+EM_CELLS = 1 << 17                      # cells that a task turns into arrays at once
 
 
 def role(id_column: str) -> Column:
@@ -171,33 +175,58 @@ def _em_table(joined: DataFrame, order: int, tokens: float, distinct: int) -> Da
     return joined.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
 
 
-def learn_weights(cells: np.ndarray, n: np.ndarray, order: int, distinct: int) -> np.ndarray:
-    """Mixture weights [BUCKETS, order + 1] by EM, from a uniform start. A bucket without held-out tokens takes its lower
-    neighbour's weights; without any held-out token all weights are equal."""
-    levels = []
-    rest = cells.copy()
+def expected_counts(cells: np.ndarray, n: np.ndarray, weights: np.ndarray, order: int, distinct: int) -> np.ndarray:
+    """How many of the held-out tokens each component is expected to have made, per bucket: [BUCKETS, order + 1]."""
+    rest, rows = cells, [np.full(len(cells), 1 / (distinct + 1))]
+    steps = np.append(2.0 ** (-np.arange(LEVELS - 1) / STEP), 0.0)
     for _ in range(order):
-        levels.insert(0, rest % LEVELS)
+        rows.insert(0, steps[rest % LEVELS])
         rest = rest // LEVELS
-    p = np.stack([np.where(v == LEVELS - 1, 0.0, 2.0 ** (-v / STEP)) for v in levels]
-                 + [np.full(len(cells), 1 / (distinct + 1))])
+    share = weights[rest].T * np.stack(rows)
+    share *= n / share.sum(axis=0)
+    return np.stack([np.bincount(rest, row, BUCKETS) for row in share], axis=1)
+
+
+def learn_weights(expected: Callable[[np.ndarray], np.ndarray], order: int) -> np.ndarray:
+    """Mixture weights [BUCKETS, order + 1] by EM, from a uniform start; ``expected`` gives a round's expected counts.
+
+    A bucket without held-out tokens takes its lower neighbour's weights; without any held-out token all weights are equal.
+    """
     weights = np.full((BUCKETS, order + 1), 1 / (order + 1))
     known = np.zeros(BUCKETS, bool)
-    for bucket in np.unique(rest):
-        mine = rest == bucket
-        w, q, m = weights[bucket], p[:, mine], n[mine].astype(float)
-        for _ in range(ROUNDS):
-            share = w[:, None] * q
-            share /= share.sum(axis=0)
-            w = (share * m).sum(axis=1) + 1e-3
-            w /= w.sum()
-        weights[bucket], known[bucket] = w, True
+    for _ in range(ROUNDS):
+        counts = expected(weights)
+        known = counts.sum(axis=1) > 0
+        if not known.any():
+            return weights
+        counts = counts[known] + 1e-3
+        weights[known] = counts / counts.sum(axis=1, keepdims=True)
     for bucket in range(1, BUCKETS):
         if not known[bucket] and known[:bucket].any():
             weights[bucket] = weights[bucket - 1]
     return weights
 
 
+def _expected_on_cluster(table: DataFrame, order: int, distinct: int) -> Callable[[np.ndarray], np.ndarray]:
+    """A round's expected counts as one job over the settled table: BUCKETS * (order + 1) numbers come back per task."""
+    def expected(weights: np.ndarray) -> np.ndarray:
+        def run(batches):
+            total = np.zeros((BUCKETS, order + 1))
+            for batch in batches:
+                cells, n = (np.asarray(batch.column(c), np.int64) for c in ("cell", "n"))
+                for i in range(0, len(cells), EM_CELLS):
+                    total += expected_counts(cells[i:i + EM_CELLS], n[i:i + EM_CELLS], weights, order, distinct)
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.reshape(-1)[at])], names=["at", "count"])
+
+        total = np.zeros(BUCKETS * (order + 1))
+        for at, count in table.mapInArrow(run, "at long, count double").groupBy("at").agg(F.sum("count")).collect():
+            total[at] = count
+        return total.reshape(BUCKETS, order + 1)
+
+    return expected
+
+
 def scored(docs: DataFrame, id_column: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
@@ -213,8 +242,8 @@ def scored(docs: DataFrame, id_column: str = "doc_id", text: str = "text", order
                                                   for c in ("tokens", "kept", "distinct")]).head()
     tokens, kept, distinct = total.tokens, total.kept, total.distinct
     deleted = _with_answers(chunks.filter(F.col("role") == DELETED), answers.filter(F.col("role") == DELETED))
-    table = _em_table(deleted, order, float(kept), distinct).toPandas()     # at most BUCKETS * LEVELS^order cells
-    weights = learn_weights(table["cell"].to_numpy(np.int64), table["n"].to_numpy(np.int64), order, distinct)
+    table = settled(_em_table(deleted, order, float(kept), distinct))
+    weights = learn_weights(_expected_on_cluster(table, order, distinct), order)
 
     def run(batches):
         for group in groups(batches, "chunk"):
