@@ -14,6 +14,7 @@ document (at first those with the most telling words) and learning from them.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -393,15 +394,32 @@ def _best_cut(logits: np.ndarray, toxic: np.ndarray) -> float:
 
 def fitted(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic",
            rows: int = FIT_ROWS) -> Network:
-    """A network learned from at most ``rows`` labelled rows that are not held out; rows without a label or id are skipped."""
+    """A network learned from at most ``rows`` labelled rows that are not held out; rows without a label or id are skipped.
+
+    It is fitted in one task, which holds the sample's texts whole, however long they are.
+    """
     known = labels.filter(F.col(label).isNotNull() & ~held_out(id_column)).select(
         F.col(id_column).alias("id"), F.col(label).cast("int").alias("y")).dropDuplicates(["id"])
     order = F.xxhash64("id")
     picked = known.join(docs.select(F.col(id_column).alias("id")).distinct(), "id", "left_semi").orderBy(order, "id").limit(rows)
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text")).join(
         F.broadcast(picked), "id")              # at most ``rows`` rows of two numbers
-    got = chosen.orderBy(order, "id", F.xxhash64("text")).limit(rows).collect()
-    return fit([(r.text or "").encode() for r in got], [r.y for r in got])
+    few = chosen.select("y", "text", order.alias("first"), F.col("id").cast("string").alias("second"),
+                        F.xxhash64("text").alias("third")).orderBy("first", "second", "third").limit(rows)
+
+    def learn(batches):
+        """The one task that holds the sample: the driver sees neither texts nor gradients."""
+        texts, labels, keys = [], [], []
+        for batch in batches:
+            texts += texts_of(batch.column("text"))
+            labels += batch.column("y").to_pylist()
+            keys += zip(*(batch.column(c).to_pylist() for c in ("first", "second", "third")), strict=True)
+        at = sorted(range(len(keys)), key=keys.__getitem__)
+        network = fit([texts[i] for i in at], [labels[i] for i in at])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)], pa.binary())], names=["network"])
+
+    row = few.coalesce(1).mapInArrow(learn, "network binary").head()        # none where no row was found
+    return pickle.loads(row["network"]) if row else fit([], [])
 
 
 def scored(docs: DataFrame, network: Network, id_column: str = "doc_id", text: str = "text") -> DataFrame:
