@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import groups, settled, whole_groups
 
-CANDIDATES = 1 << 16       # rows of a candidate block
-ANCHORS = 1 << 10          # rows of an anchor block
+CANDIDATES = 1 << 14       # rows of a candidate block
+ANCHORS = 1 << 13          # rows of an anchor block
 ANCHORS_AT_ONCE = 256
 CANDIDATES_AT_ONCE = 1_024
 LARGEST = 2 ** 27          # components of at least this size have no exact 64-bit score and take no part
