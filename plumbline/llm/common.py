@@ -6,6 +6,8 @@ the corpus about keys (counts of n-grams, of anchors) sends one row per chunk an
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import struct
 from collections.abc import Iterable, Iterator
@@ -84,6 +86,16 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES
         yield batch.slice(start)
 
 
+def release_memory() -> None:
+    """Give what a task no longer holds back to the system; Python workers outlive their tasks and serve the next stage."""
+    _POWERS.update(up=np.ones(1, np.uint64), down=np.ones(1, np.uint64))
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of glibc
+    if trim:
+        trim(0)
+
+
 def groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Rows sorted by ``key``, as one table per value of it; only one group is held at a time."""
     held: list[pa.RecordBatch] = []

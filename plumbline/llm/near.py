@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import (SLICE_BYTES, Buffer, groups, mix, row_digest, sequence_hashes, settled, slices,
-                                  texts_of, whole_groups, words_of)
+from plumbline.llm.common import (SLICE_BYTES, Buffer, groups, mix, release_memory, row_digest, sequence_hashes, settled,
+                                  slices, texts_of, whole_groups, words_of)
 
 SHINGLE = 5
 ROWS, BANDS = 5, 25
@@ -31,6 +31,7 @@ BINS = 1_024
 BITS = 1_024
 MARGIN = 0.10
 BLOCK = 1_024
+SET_BYTES = 2 << 20        # text whose sets a task makes at once
 PAIRS_AT_ONCE = 1 << 17
 
 _FACTORS = mix(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -156,7 +157,7 @@ def sets_of(docs: DataFrame, id_column: str, text: str, width: int = SHINGLE) ->
     source = docs.select(F.col(id_column).cast(kind).alias("doc"), F.col(text).cast("string").alias("text"))
 
     def run(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SET_BYTES):
             sets = shingle_sets(texts_of(batch.column("text")), width)
             full = [s for s in sets if len(s)]
             keys, sketches = _signatures(full) if full else (None, None)
@@ -171,6 +172,7 @@ def sets_of(docs: DataFrame, id_column: str, text: str, width: int = SHINGLE) ->
                 [batch.column("doc"), pa.array(rows["n"], pa.int64()), pa.array(rows["class"], pa.binary()),
                  pa.array(rows["bands"], pa.list_(pa.int64())), pa.array(rows["sketch"], pa.binary())],
                 names=["doc", "n", "class", "bands", "sketch"])
+        release_memory()
 
     return source.mapInArrow(run, f"doc {kind}, n long, class binary, bands array<long>, sketch binary")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import LOWER, Buffer, mix, prefix_sums, slices, span_hashes, texts_of
+from plumbline.llm.common import LOWER, Buffer, mix, prefix_sums, release_memory, slices, span_hashes, texts_of
 
 FIT_ROWS = 4_000
 LEAST_TEXTS = 4
@@ -416,7 +416,10 @@ def fitted(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text:
             keys += zip(*(batch.column(c).to_pylist() for c in ("first", "second", "third")), strict=True)
         at = sorted(range(len(keys)), key=keys.__getitem__)
         network = fit([texts[i] for i in at], [labels[i] for i in at])
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)], pa.binary())], names=["network"])
+        out = pa.RecordBatch.from_arrays([pa.array([pickle.dumps(network)], pa.binary())], names=["network"])
+        del texts, labels, keys, network
+        release_memory()
+        yield out
 
     row = few.coalesce(1).mapInArrow(learn, "network binary").head()        # none where no row was found
     return pickle.loads(row["network"]) if row else fit([], [])
@@ -451,5 +454,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
         for batch in slices(batches, text):
             keep = shared.value.scores(texts_of(batch.column(text))) < THRESHOLD
             yield batch.filter(pa.array(keep))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
