@@ -43,18 +43,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return folder
 
 
-def materialised(df: DataFrame) -> DataFrame:
+def materialised(df: DataFrame, spread: bool = True) -> DataFrame:
     """Compute ``df`` once for the several passes that follow.
 
     With a checkpoint folder the rows are written there, so a lost executor
     costs a re-read and not the shuffles behind it. Without one the rows are
     persisted, which recomputes lost blocks from lineage. Rows that sit in
-    fewer partitions than there are cores (one small file) are spread when read.
+    fewer partitions than there are cores (one small file) are spread when read, unless ``spread`` is false.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if checkpoint_dir(df.sparkSession) is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     written = df.checkpoint(eager=True)
-    if written.rdd.getNumPartitions() * 2 > cores:
+    if not spread or written.rdd.getNumPartitions() * 2 > cores:
         return written
     return written.repartition(cores)

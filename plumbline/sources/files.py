@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from plumbline.functions.cells import MISSING_TOKENS, six_digits
 from plumbline.operators.coerce import missing_tokens_to_null
 from plumbline.operators.tables import without_nan
+from plumbline.sources.quoted import read_quoted, understood
 
 
 def _suffix(path: str) -> str:
@@ -34,11 +35,13 @@ CSV_FORM = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSp
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "infer", missing: tuple[str, ...] = MISSING_TOKENS,
-               multi_line: bool = True, **options: str) -> DataFrame:
+               multi_line: bool = True, split: bool = True, **options: str) -> DataFrame:
     """Parquet with its types, NaN and infinity as nulls; CSV as text columns with missing-value tokens nulled.
 
-    CSV cells may hold line breaks, so one task reads a whole file. ``multi_line=False`` says that none does: files are
-    then split over tasks, and a row that does not fit the header fails instead of shifting cells.
+    CSV cells may hold line breaks, and files are split over tasks all the same (``plumbline.sources.quoted``). That needs
+    quotes to stand around whole cells only, which is checked; ``split=False``, or an option that changes what a quote or a
+    line is, reads each file in one task. ``multi_line=False`` says that no cell holds a line break, which saves a pass; a
+    row that does not fit the header fails instead of shifting cells.
     """
     fmt = _suffix(path) if fmt == "infer" else fmt
     if fmt == "parquet":
@@ -47,6 +50,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "infer", missing: tupl
         return read_json(spark, path, **options)
     if fmt != "csv":
         raise ValueError(f"unknown format: {fmt}")
+    if multi_line and split and understood({**CSV_FORM, **options}):
+        return missing_tokens_to_null(read_quoted(spark, str(path), {**CSV_FORM, **options}), missing)
     reading = {"multiLine": "true"} if multi_line else {"multiLine": "false", "mode": "FAILFAST"}
     return missing_tokens_to_null(spark.read.options(**{**CSV_FORM, **reading, **options}).csv(str(path)), missing)
 
