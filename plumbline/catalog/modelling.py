@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from plumbline.catalog.base import LINE_NUMBERS, lineitem, query, round_all, rounded, table
@@ -182,26 +183,94 @@ def _line_split(spark, folder):
     return split.train_test(rows, "row_key", 0.2, 42)
 
 
-def _line_model(spark, folder, spec):
-    tr, te = _line_split(spark, folder)
-    logged = tr.withColumn("label", F.log1p("price"))
-    scored = models.predict(models.fit_model(logged, spec, NUMBERS, "label"), te, "log1p")
-    return models.regression_metrics(scored, "price")
+PART_FEATURES = ["size", "brand", "name_length", "serial"]
+PARTS = """p AS (SELECT p_partkey, p_retailprice AS y, p_size::DOUBLE AS size, regexp_extract(p_brand, '[0-9]+')::DOUBLE AS brand,
+  length(p_name)::DOUBLE AS name_length, (p_partkey % 1000)::DOUBLE AS serial FROM part)"""
+PART_SPLIT = PARTS + """, o AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || p_partkey::VARCHAR), p_partkey)
+  <= ceil((SELECT count(*) FROM part) * 0.2::DOUBLE) AS test FROM p), tr AS (SELECT * FROM o WHERE NOT test), te AS (SELECT * FROM o WHERE test)"""
+
+
+def _parts(spark, folder):
+    return table(spark, folder, "part").select(
+        "p_partkey", F.col("p_retailprice").alias("y"), F.col("p_size").cast("double").alias("size"),
+        F.regexp_extract("p_brand", "[0-9]+", 0).cast("double").alias("brand"), F.length("p_name").cast("double").alias("name_length"),
+        (F.col("p_partkey") % 1000).cast("double").alias("serial"))
+
+
+def _part_model(spark, folder, spec):
+    """Fitted on the log of the price, scored on the price."""
+    tr, te = split.train_test(_parts(spark, folder), "p_partkey", 0.2, 42)
+    logged = tr.withColumn("label", F.log1p("y"))
+    return models.regression_metrics(models.predict(models.fit_model(logged, spec, PART_FEATURES, "label"), te, "log1p"))
+
+
+def _sweep(name):
+    return next(s for s in models.sweep_specs() if s.name == name)
 
 
 @query()
 def tree(spark, folder):
-    return _line_model(spark, folder, ModelSpec("tree", "tree", {"min_leaf": 3, "depth": 8}))
+    return _part_model(spark, folder, _sweep("tree"))
+
+
+def _suppliers(spark, folder):
+    rows = table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").cast("double").alias("nation"),
+                                                   (F.col("s_suppkey") % 100).cast("double").alias("serial"), F.col("s_acctbal").alias("y"))
+    return split.train_test(rows, "s_suppkey", 0.2, 42)
 
 
 @query()
 def forest(spark, folder):
-    return _line_model(spark, folder, ModelSpec("forest", "forest", {"trees": 10, "min_leaf": 2, "depth": 8}))
+    """300 trees without a depth limit, which grow thousands of nodes each on larger tables."""
+    tr, te = _suppliers(spark, folder)
+    return models.regression_metrics(models.predict(models.fit_model(tr, _sweep("random_forest"), ["nation", "serial"], "y"), te))
 
 
 @query()
 def boosted(spark, folder):
-    return _line_model(spark, folder, ModelSpec("boosted", "boosted", {"rounds": 5, "depth": 4, "subsample": 0.8}))
+    return _part_model(spark, folder, models.boosting_specs()[0])
+
+
+# The best first split by squared error, with the sums of y on both sides of it.
+STUMP = f"""WITH {PARTS}, m AS (SELECT avg(y) AS m FROM p),
+v AS (SELECT 1 AS f, size AS x, y FROM p UNION ALL SELECT 2, brand, y FROM p UNION ALL SELECT 3, name_length, y FROM p),
+s AS (SELECT f, x, sum(m - y) AS g, count(*)::DOUBLE AS h FROM v, m GROUP BY f, x),
+t AS (SELECT f, x, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY f) AS gt, sum(h) OVER (PARTITION BY f) AS ht
+  FROM s WINDOW w AS (PARTITION BY f ORDER BY x)),
+u AS (SELECT *, gl * gl / (hl + @L) + pow(gt - gl, 2) / (ht - hl + @L) - gt * gt / (ht + @L) AS gain FROM t WHERE hl >= 1 AND ht - hl >= 1),
+best AS (SELECT * FROM u ORDER BY gain DESC, f, x LIMIT 1)
+SELECT p_partkey, round(m - @R * CASE WHEN CASE best.f WHEN 1 THEN size WHEN 2 THEN brand ELSE name_length END <= best.x
+  THEN gl / (hl + @L) ELSE (gt - gl) / (ht - hl + @L) END, 4) AS prediction FROM p, m, best"""
+
+
+def _stump(spark, folder, spec):
+    rows = _parts(spark, folder)
+    out = models.predict(models.fit_model(rows, spec, PART_FEATURES[:3], "y"), rows)
+    return out.select("p_partkey", rounded(F.col("prediction"), 4).alias("prediction"))
+
+
+@query(STUMP.replace("@L", "1").replace("@R", "0.05::DOUBLE"))
+def boosted_one_round(spark, folder):
+    return _stump(spark, folder, ModelSpec("boosted", "boosted", {"rounds": 1, "depth": 1, "rate": 0.05}))
+
+
+@query(STUMP.replace("@L", "0").replace("@R", "1"))
+def tree_one_split(spark, folder):
+    return _stump(spark, folder, ModelSpec("tree", "tree", {"depth": 1}))
+
+
+def _beats_mean(scored, y="y"):
+    """Rows, the mean absolute error of the best constant guess, and whether the model's is lower."""
+    mean = scored.agg(F.avg(y)).first()[0]
+    return scored.agg(F.count(F.lit(1)).alias("n"), rounded(F.avg(F.abs(F.col(y) - F.lit(mean))), 4).alias("mean_mae"),
+                      (F.avg(F.abs(F.col(y) - F.col("prediction"))) < F.avg(F.abs(F.col(y) - F.lit(mean)))).alias("beats_mean"))
+
+
+@query(f"""WITH {PART_SPLIT} SELECT count(*) AS n, round(avg(abs(y - m)), 4) AS mean_mae, true AS beats_mean
+FROM te, (SELECT avg(y) AS m FROM te)""")
+def boosted_beats_mean(spark, folder):
+    tr, te = split.train_test(_parts(spark, folder), "p_partkey", 0.2, 42)
+    return _beats_mean(models.predict(models.fit_model(tr, models.boosting_specs()[0], PART_FEATURES, "y"), te))
 
 
 def _quality(spark, folder):
@@ -223,14 +292,26 @@ def logistic(spark, folder):
     return _quality_model(spark, folder, ModelSpec("logistic", "logistic", scaled=True))
 
 
+@query("""SELECT 'intercept' AS weight, 0.0::DOUBLE AS slope UNION ALL SELECT unnest(['n_chars', 'n_words', 'n_lines']), 0.0""")
+def logistic_gradient(spark, folder):
+    """At the optimum the mean gradient of log loss and penalty vanishes in every weight."""
+    tr, _, features = _quality(spark, folder)
+    model = models.fit_model(tr, ModelSpec("logistic", "logistic", scaled=True), features, "quality")
+    weights = model.stages[-1].coefficients.toArray().tolist()
+    scored = model.transform(tr).withColumn("e", vector_to_array("probability")[1] - F.col("quality"))
+    means = scored.agg(F.avg("e").alias("intercept"), F.count(F.lit(1)).alias("n"), *[F.avg(F.col("e") * F.col(f"_z_{c}")).alias(c) for c in features])
+    return means.select(F.explode(F.array(*[F.struct(F.lit(c).alias("weight"), rounded(F.col(c) + F.lit(w) / F.col("n"), 3).alias("slope"))
+                                            for c, w in zip(["intercept", *features], [0.0, *weights])])).alias("r")).select("r.*")
+
+
 @query()
 def forest_classifier(spark, folder):
-    return _quality_model(spark, folder, ModelSpec("forest", "forest_classifier", {"trees": 10, "depth": 8}))
+    return _quality_model(spark, folder, models.baseline_specs("classification", ["random_forest"])[0])
 
 
 @query()
 def boosted_classifier(spark, folder):
-    return _quality_model(spark, folder, ModelSpec("boosted", "boosted_classifier", {"rounds": 5, "depth": 3}))
+    return _quality_model(spark, folder, models.boosting_specs("classification")[0])
 
 
 # Squared differences over the vector, on doubles, as the engine computes them.
@@ -265,8 +346,9 @@ def knn_regress(spark, folder):
 
 @query()
 def model_scores(spark, folder):
-    tr, te = _line_split(spark, folder)
-    return models.train_and_evaluate(tr, te, NUMBERS, "price", [ModelSpec("dummy", "mean"), ModelSpec("linear", "linear", scaled=True)])
+    """The baselines at their settings: dummy, linear, forest of 200 trees."""
+    tr, te = _suppliers(spark, folder)
+    return models.train_and_evaluate(tr, te, ["nation", "serial"], "y", models.baseline_specs())
 
 
 @query(f"""WITH {ORDER_SPLIT}, f AS (SELECT avg(ln(1 + y)) AS m FROM tr), g AS (SELECT exp(m) - 1 AS p FROM f),
@@ -299,24 +381,47 @@ def train_family(spark, folder):
 
 @query()
 def classification_scores(spark, folder):
+    """The baselines at their settings: dummy, logistic, forest of 200 trees."""
     tr, te, features = _quality(spark, folder)
-    specs = models.baseline_specs("classification", ["dummy", "logistic"])
-    return models.train_and_evaluate(tr, te, features, "quality", specs, "classification")
+    return models.train_and_evaluate(tr, te, features, "quality", models.baseline_specs("classification"), "classification")
+
+
+def _board_side(name, rows):
+    return (f"SELECT '{name}' AS model, round(avg(abs(y - p)), 2) AS mae, round(sqrt(avg(pow(y - p, 2))), 2) AS rmse, "
+            f"round(1 - avg(pow(y - p, 2)) / var_pop(y), 4) + 0.0 AS r2 FROM {rows}")
+
+
+_SLOPES = """covar_pop(b.y, b.x) / var_pop(b.x) AS linear, covar_pop(b.y, b.x) / var_pop(b.x) * count(*) / (count(*) + 5) AS ridge,
+  avg(b.x) AS mx, avg(b.y) AS my"""
+
+
+@query(f"""WITH {ORDER_SPLIT}, k AS (SELECT *, ntile(5) OVER (ORDER BY {ORDER_HASH}, o_orderkey) AS fold FROM tr),
+f AS (SELECT a.fold, {_SLOPES} FROM (SELECT DISTINCT fold FROM k) a JOIN k b ON a.fold <> b.fold GROUP BY a.fold),
+w AS (SELECT {_SLOPES} FROM tr b),
+train AS ({_board_side('linear', '(SELECT y, my + linear * (x - mx) AS p FROM k JOIN f USING (fold))')}
+  UNION ALL {_board_side('ridge', '(SELECT y, my + ridge * (x - mx) AS p FROM k JOIN f USING (fold))')}),
+test AS ({_board_side('linear', '(SELECT y, my + linear * (x - mx) AS p FROM te, w)')}
+  UNION ALL {_board_side('ridge', '(SELECT y, my + ridge * (x - mx) AS p FROM te, w)')})
+SELECT model, 1::INT AS features, train.mae AS mae_train, train.rmse AS rmse_train, train.r2 AS r2_train,
+  test.mae AS mae_test, test.rmse AS rmse_test, test.r2 AS r2_test FROM train JOIN test USING (model)""")
+def leaderboard_linear(spark, folder):
+    """Five folds and two penalties from one pass over the rows."""
+    tr, te = _orders_split(spark, folder)
+    return models.leaderboard(tr, te, ["x"], "y", "o_orderkey", [s for s in models.sweep_specs() if s.name in ("linear", "ridge")], "none")[0]
 
 
 @query()
 def leaderboard_knn(spark, folder):
-    tr, te = _orders_split(spark, folder)
-    return models.leaderboard(tr, te, ["x"], "y", "o_orderkey", [ModelSpec("dummy", "mean"), ModelSpec("knn", "knn", {"k": 15})],
-                              folds=0)[0]
+    tr, te = split.train_test(_parts(spark, folder), "p_partkey", 0.2, 42)
+    return models.leaderboard(tr, te, PART_FEATURES, "y", "p_partkey", [ModelSpec("dummy", "mean"), _sweep("knn")])[0]
 
 
 @query()
 def leaderboard_sweep(spark, folder):
-    tr, te = _line_split(spark, folder)
-    specs = [ModelSpec("linear", "linear", scaled=True), ModelSpec("ridge", "ridge", {"alpha": 5.0}, scaled=True),
-             ModelSpec("tree", "tree", {"min_leaf": 3, "depth": 5})]
-    return models.leaderboard(tr, te, NUMBERS, "price", "row_key", specs, folds=2)[0]
+    """Five folds of linear, ridge, tree and 250 rounds of boosting, side by side."""
+    tr, te = split.train_test(_parts(spark, folder), "p_partkey", 0.2, 42)
+    specs = [s for s in models.sweep_specs() if s.name in ("linear", "ridge", "tree", "boosted")]
+    return models.leaderboard(tr, te, PART_FEATURES, "y", "p_partkey", specs)[0]
 
 
 @query("SELECT l_orderkey, l_linenumber, " + ", ".join(
@@ -337,11 +442,9 @@ def train_eval(spark, folder):
 
 @query()
 def experiment(spark, folder):
-    rows = lineitem(spark, folder).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_key"),
-        *NUMBERS, (F.col("l_quantity") * 2 + F.col("l_tax")).alias("doubled"), "l_linestatus", "l_extendedprice")
-    config = train.ExperimentConfig("row_key", "l_extendedprice", baselines=("linear",), rounds=3, depth=3, folds=0,
-                                    target_transform="log1p")
+    """The configured experiment: a redundant column to prune, 300 rounds of boosting and the linear baseline over five folds."""
+    rows = _parts(spark, folder).withColumn("doubled", F.col("size") * 2 + F.col("brand") * 0.01)
+    config = train.ExperimentConfig("p_partkey", "y", baselines=("linear",), target_transform="log1p")
     return train.run_experiment(rows, config).board
 
 

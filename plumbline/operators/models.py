@@ -6,24 +6,29 @@ it can be saved, loaded and applied on its own.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import (
-    DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor)
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.cells import target_forward, target_inverse
+from plumbline.operators.boosting import BoostedTrees, BoostSettings, Ensemble, fit_boosted
+from plumbline.operators.gram import SOLVERS, Moments, by_fold, fit_lines, fold_moments
 from plumbline.operators.ordering import modes
 from plumbline.operators.scale import fit_standard
 from plumbline.operators.split import fit_folds
 from plumbline.session import materialised
 
+IN_FLIGHT = 4    # models that are fitted at the same time
 MAX_DEPTH = 30   # the deepest tree Spark builds: stands for "no depth limit"
 
 
@@ -60,8 +65,10 @@ def baseline_specs(task: str = "regression", names: Sequence[str] = (), seed: in
 
 
 def boosting_specs(task: str = "regression", names: Sequence[str] = (), seed: int = 42, rounds: int = 500,
-                   rate: float = 0.05, depth: int = 6, subsample: float = 0.8) -> list[ModelSpec]:
-    params = {"rounds": rounds, "rate": rate, "depth": depth, "subsample": subsample, "seed": seed}
+                   rate: float = 0.05, depth: int = 6, subsample: float = 0.8, columns: float = 0.8,
+                   penalty: float = 1.0) -> list[ModelSpec]:
+    params = {"rounds": rounds, "rate": rate, "depth": depth, "subsample": subsample, "columns": columns, "penalty": penalty,
+              "seed": seed}
     by_task = {"regression": [ModelSpec("boosted", "boosted", params)],
                "classification": [ModelSpec("boosted", "boosted_classifier", params)]}
     return _picked(by_task, task, names)
@@ -75,7 +82,8 @@ def sweep_specs(seed: int = 42, trees: int = 300, rounds: int = 250) -> list[Mod
         ModelSpec("knn", "knn", {"k": 15}),
         ModelSpec("random_forest", "forest", {"trees": trees, "min_leaf": 2, "seed": seed}),
         ModelSpec("tree", "tree", {"min_leaf": 3, "seed": seed}),
-        ModelSpec("boosted", "boosted", {"rounds": rounds, "rate": 0.05, "depth": 6, "subsample": 0.8, "seed": seed}),
+        ModelSpec("boosted", "boosted", {"rounds": rounds, "rate": 0.05, "depth": 6, "subsample": 0.8, "columns": 0.8,
+                                         "seed": seed}),
     ]
 
 
@@ -90,43 +98,32 @@ def _picked(by_task: Mapping[str, list[ModelSpec]], task: str, names: Sequence[s
 
 # ------------------------------------------------------------------- fitting
 
-def _ridge(p, n, sd_y, label):
-    # The solver works on y / sd and averages over rows; alpha is a plain sum penalty.
-    return LinearRegression(featuresCol="_features", labelCol=label, solver="normal", elasticNetParam=0.0,
-                            standardization=False, regParam=p.get("alpha", 1.0) * sd_y / n)
-
-
-def _lasso(p, n, sd_y, label):
-    return LinearRegression(featuresCol="_features", labelCol=label, elasticNetParam=1.0, standardization=False,
-                            regParam=p.get("alpha", 1.0), maxIter=int(p.get("iterations", 1000)), tol=1e-9)
-
-
 def _tree_params(p):
     return {"maxDepth": int(p.get("depth", MAX_DEPTH)), "minInstancesPerNode": int(p.get("min_leaf", 1)),
             "seed": int(p.get("seed", 42))}
 
 
-def _boost_params(p):
-    return {"maxIter": int(p.get("rounds", 500)), "stepSize": p.get("rate", 0.05), "maxDepth": int(p.get("depth", 6)),
-            "subsamplingRate": p.get("subsample", 1.0), "seed": int(p.get("seed", 42))}
+BOOSTED = {"boosted": "squared", "boosted_classifier": "logistic"}
+
+
+def boost_settings(spec: ModelSpec) -> BoostSettings:
+    p = spec.params
+    return BoostSettings(int(p.get("rounds", 500)), p.get("rate", 0.05), int(p.get("depth", 6)), p.get("subsample", 1.0),
+                         p.get("columns", 1.0), p.get("penalty", 1.0), p.get("least", 1.0), loss=BOOSTED[spec.kind],
+                         seed=int(p.get("seed", 42)))
 
 
 _BUILDERS: dict[str, Callable] = {
-    "linear": lambda p, n, s, y: LinearRegression(featuresCol="_features", labelCol=y, solver="normal"),
-    "ridge": _ridge,
-    "lasso": _lasso,
-    "tree": lambda p, n, s, y: DecisionTreeRegressor(featuresCol="_features", labelCol=y, **_tree_params(p)),
-    "forest": lambda p, n, s, y: RandomForestRegressor(
+    "tree": lambda p, n, y: DecisionTreeRegressor(featuresCol="_features", labelCol=y, **_tree_params(p)),
+    "forest": lambda p, n, y: RandomForestRegressor(
         featuresCol="_features", labelCol=y, numTrees=int(p.get("trees", 200)),
         featureSubsetStrategy="all", **_tree_params(p)),
-    "boosted": lambda p, n, s, y: GBTRegressor(featuresCol="_features", labelCol=y, **_boost_params(p)),
-    "logistic": lambda p, n, s, y: LogisticRegression(
+    "logistic": lambda p, n, y: LogisticRegression(
         featuresCol="_features", labelCol=y, regParam=1.0 / (p.get("c", 1.0) * n), standardization=False,
         maxIter=int(p.get("iterations", 1000))),
-    "forest_classifier": lambda p, n, s, y: RandomForestClassifier(
+    "forest_classifier": lambda p, n, y: RandomForestClassifier(
         featuresCol="_features", labelCol=y, numTrees=int(p.get("trees", 200)),
         featureSubsetStrategy="sqrt", **_tree_params(p)),
-    "boosted_classifier": lambda p, n, s, y: GBTClassifier(featuresCol="_features", labelCol=y, **_boost_params(p)),
 }
 
 
@@ -142,6 +139,10 @@ def fit_model(df: DataFrame, spec: ModelSpec, features: Sequence[str], label: st
     if spec.kind in ("mean", "most_frequent"):
         value = _constant(df, spec, label)
         return PipelineModel([SQLTransformer(statement=f"SELECT *, {float(value)!r}D AS prediction FROM __THIS__")])
+    if spec.kind in SOLVERS:
+        return fit_lines(df, features, label, spec.kind, spec.params, spec.scaled)[0].model()
+    if spec.kind in BOOSTED:
+        return _boosted_model(fit_boosted(df, features, label, boost_settings(spec))[0])
     if spec.kind not in _BUILDERS:
         raise ValueError(f"unknown model kind: {spec.kind}")
     stages = []
@@ -150,13 +151,15 @@ def fit_model(df: DataFrame, spec: ModelSpec, features: Sequence[str], label: st
         stages.append(SQLTransformer(statement=fit_standard(df, columns=features).sql("_z_")))
         inputs = [f"_z_{c}" for c in features]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="error"))
-    n = sd = None
-    if spec.kind in ("ridge", "logistic"):   # their penalties depend on the rows
-        n, sd = df.agg(F.count(F.lit(1)), F.stddev_pop(F.col(label).cast("double"))).first()
-    stages.append(_BUILDERS[spec.kind](spec.params, n, sd, label))
+    n = df.count() if spec.kind == "logistic" else None     # its penalty is a share of the rows
+    stages.append(_BUILDERS[spec.kind](spec.params, n, label))
     return Pipeline(stages=stages).fit(df)
 
 
+def _boosted_model(ensemble: Ensemble) -> PipelineModel:
+    return PipelineModel([BoostedTrees(ensemble=ensemble.to_json())])
+
+
 def predict(model: PipelineModel, df: DataFrame, target_transform: str = "none") -> DataFrame:
     """Input columns plus ``prediction``, back on the original scale."""
     kept = df.columns
@@ -185,17 +188,27 @@ def out_of_fold(df: DataFrame, spec: ModelSpec, features: Sequence[str], label:
                 k: int = 5, seed: int = 42) -> DataFrame:
     """A prediction for every row by the model fitted on the other folds."""
     folded = materialised(df.withColumn("_fold", fit_folds(df, key, k, seed)))   # read once per fold and pass
-    return _fold_predictions(folded, spec, features, label, key, k).drop("_fold")
+    return _fit_all(folded, spec, features, label, key, k, whole=False)[1].drop("_fold")
 
 
-def _fold_predictions(folded: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, key: str,
-                      k: int) -> DataFrame:
-    parts = []
-    for fold in range(1, k + 1):
-        scored, _ = _held_out(folded.filter(F.col("_fold") != fold), folded.filter(F.col("_fold") == fold),
-                              spec, features, label, key)
-        parts.append(scored)
-    return union_boards(parts)
+def _fit_all(folded: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, key: str, k: int,
+             whole: bool = True, moments: dict[int, Moments] | None = None) -> tuple[PipelineModel | None, DataFrame | None]:
+    """The model of all rows (if ``whole``) and, with ``k`` folds, every row's prediction by the model of the other folds.
+
+    Linear models take all fits from one pass over the rows, boosted trees grow all folds in the same jobs; other models are
+    fitted once per fold.
+    """
+    if spec.kind in SOLVERS:
+        lines = fit_lines(folded, features, label, spec.kind, spec.params, spec.scaled, "_fold" if k else None, k, moments)
+        return lines[0].model(), folded.withColumn("prediction", by_fold(lines, "_fold")) if k else None
+    if spec.kind in BOOSTED:
+        found = [_boosted_model(e) for e in fit_boosted(folded, features, label, boost_settings(spec), "_fold" if k else None, k)]
+        parts = [predict(m, folded.filter(F.col("_fold") == i)) for i, m in enumerate(found[1:], 1)]
+        return found[0], union_boards(parts) if parts else None
+    parts = [_held_out(folded.filter(F.col("_fold") != i), folded.filter(F.col("_fold") == i), spec, features, label, key)[0]
+             for i in range(1, k + 1)]
+    model = fit_model(folded, spec, features, label) if whole and spec.kind != "knn" else None
+    return model, union_boards(parts) if parts else None
 
 
 def _held_out(train: DataFrame, rows: DataFrame, spec: ModelSpec, features: Sequence[str], label: str,
@@ -213,6 +226,34 @@ def _held_out(train: DataFrame, rows: DataFrame, spec: ModelSpec, features: Sequ
     return rows.join(near, key), None
 
 
+def side_by_side(jobs: Sequence[Callable[[], object]], df: DataFrame, most: int = IN_FLIGHT) -> list:
+    """Results of ``jobs`` in order, at most ``most`` of them running at once, each in a scheduler pool of its own.
+
+    The first failure cancels what still runs on the cluster, and is raised.
+    """
+    context = df.sparkSession.sparkContext
+    tag = f"side-by-side-{uuid.uuid4().hex}"
+
+    def start(number: int, job: Callable[[], object]):
+        context.setLocalProperty("spark.scheduler.pool", f"model-{number % most}")
+        context.addJobTag(tag)
+        try:
+            return job()
+        finally:
+            context.removeJobTag(tag)
+            context.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max(1, min(most, len(jobs)))) as pool:
+        running = [pool.submit(inheritable_thread_target(df.sparkSession)(start), i, job) for i, job in enumerate(jobs)]
+        done, _ = wait(running, return_when=FIRST_EXCEPTION)
+        if any(r.exception() for r in done):
+            for r in running:
+                r.cancel()
+            context.cancelJobsWithTag(tag)
+            raise next(r.exception() for r in done if r.exception())
+        return [r.result() for r in running]
+
+
 def _inverted(scored: DataFrame, target_transform: str) -> DataFrame:
     return scored.withColumn("prediction", target_inverse(F.col("prediction"), target_transform))
 
@@ -245,25 +286,31 @@ def leaderboard(train: DataFrame, test: DataFrame, features: Sequence[str], targ
     if folds:
         # Every model reads the same rows with the same folds, many times.
         with_label = materialised(with_label.withColumn("_fold", fit_folds(train, key, folds, seed)))
-    parts, models = [], {}
-    for spec in specs:
-        scored, models[spec.name] = _held_out(with_label, test, spec, features, label, key)
-        held_out = regression_metrics(_inverted(scored, target_transform), target)
-        parts.append(_board_part(held_out, spec.name, "test", len(features)))
-        if folds:
-            oof = _fold_predictions(with_label, spec, features, label, key, folds)
-            oof = regression_metrics(_inverted(oof, target_transform), target)
-            parts.append(_board_part(oof, spec.name, "train", len(features)))
-    board = union_boards(parts).groupBy("model").agg(F.max("features").alias("features"), *[
+    lines = [s for s in specs if s.kind in SOLVERS]
+    moments = fold_moments(with_label, [*features, label], "_fold" if folds else None) if lines else None
+
+    def run(spec: ModelSpec) -> tuple[PipelineModel | None, list[tuple]]:
+        model, oof = _fit_all(with_label, spec, features, label, key, folds, moments=moments if spec in lines else None)
+        scored = predict(model, test) if model else _held_out(with_label, test, spec, features, label, key)[0]
+        sides = [("test", scored)] + ([("train", oof)] if folds else [])
+        return model, [_board_row(_inverted(rows, target_transform), target, spec.name, part, len(features)) for part, rows in sides]
+
+    done = side_by_side([partial(run, spec) for spec in specs], with_label)
+    models = {spec.name: model for spec, (model, _) in zip(specs, done, strict=True)}
+    parts = train.sparkSession.createDataFrame([row for _, rows in done for row in rows], BOARD)
+    board = parts.groupBy("model").agg(F.max("features").alias("features"), *[
         F.max(F.when(F.col("part") == part, F.col(m))).alias(f"{m}_{part}")
         for part in ("train", "test") for m in ("mae", "rmse", "r2")])
     return board.orderBy("rmse_test", "model"), models
 
 
-def _board_part(metrics: DataFrame, model: str, part: str, n_features: int) -> DataFrame:
-    return metrics.select(
-        F.lit(model).alias("model"), F.lit(part).alias("part"), F.lit(n_features).alias("features"),
-        F.round("mae", 2).alias("mae"), F.round("rmse", 2).alias("rmse"), F.round("r2", 4).alias("r2"))
+BOARD = "model string, part string, features int, mae double, rmse double, r2 double"
+
+
+def _board_row(scored: DataFrame, target: str, model: str, part: str, n_features: int) -> tuple:
+    m = regression_metrics(scored, target).select(
+        F.round("mae", 2).alias("mae"), F.round("rmse", 2).alias("rmse"), F.round("r2", 4).alias("r2")).first()
+    return model, part, n_features, m["mae"], m["rmse"], m["r2"]
 
 
 def union_boards(parts: Sequence[DataFrame]) -> DataFrame:

@@ -73,6 +73,8 @@ class ExperimentConfig:
     rate: float = 0.05
     depth: int = 6
     subsample: float = 0.8
+    columns: float = 0.8
+    penalty: float = 1.0
     extra: tuple[ModelSpec, ...] = field(default_factory=tuple)
 
     @staticmethod
@@ -82,7 +84,8 @@ class ExperimentConfig:
     def specs(self) -> list[ModelSpec]:
         found = baseline_specs("regression", self.baselines, self.seed, self.trees) if self.baselines else []
         if self.boosting:
-            found = found + boosting_specs("regression", (), self.seed, self.rounds, self.rate, self.depth, self.subsample)
+            found = found + boosting_specs("regression", (), self.seed, self.rounds, self.rate, self.depth, self.subsample,
+                                           self.columns, self.penalty)
         return [*found, *self.extra]
 
 
