@@ -13,6 +13,7 @@ from plumbline.operators.rules import (
     AbsOf, AnyFlag, Clip, ClipEach, NullNegative, NullOutside, RescueProportion, Simplex, SingleOne, SnapBinary,
     apply_rules, rules_report)
 from plumbline.plans.clean import CleanConfig, CleanJob
+from plumbline.sources import files
 
 NUMBER = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$'"
 LINE_TIES = ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_shipdate", "l_returnflag",
@@ -598,7 +599,15 @@ def clean_table(spark, folder):
                         rounded(F.col("l_discount")).alias("l_discount"), rounded(F.col("l_tax")).alias("l_tax"))
 
 
-@query(f"""WITH {CLEANED}, a AS (
+# Every counter of the job, by rule, change and column; those that nothing touches are zero.
+_TOUCHED = [("enforcement", "quantity_outside", ["l_quantity"]), ("enforcement", "discount_outside", ["l_discount"]),
+            ("imputation", "continuous_median", ["l_quantity"]), ("imputation", "bounded_median", ["l_discount"]),
+            ("imputation", "bounded_clip", ["l_discount"]), ("calibration", "zclip_counts", ["l_quantity"]),
+            ("calibration", "zclip_target", ["l_extendedprice"]), ("calibration", "share_clipped", ["l_discount"]),
+            ("calibration", "simplex_renormalised", ["l_discount", "l_tax"])]
+COUNTERS = ", ".join(f"('{stage}', '{rule}:{change}', '{c}')" for stage, rule, columns in _TOUCHED for c in columns
+                     for change in ("nulled", "changed", "filled"))
+AUDIT = f"""WITH {CLEANED}, a AS (
 SELECT 'keys' AS stage, 'deduplicated' AS rule, '*' AS "column",
   (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM b) AS n
 UNION ALL SELECT 'enforcement', 'quantity_outside:nulled', 'l_quantity', count(*) FILTER (q IS NULL) FROM e
@@ -613,10 +622,26 @@ UNION ALL SELECT 'calibration', 'simplex_renormalised:changed', 'l_discount',
   count(*) FILTER (d + t > 0 AND abs(d / (d + t) - d) > 1e-9) FROM k
 UNION ALL SELECT 'calibration', 'simplex_renormalised:changed', 'l_tax',
   count(*) FILTER (d + t > 0 AND abs(t / (d + t) - t) > 1e-9) FROM k)
-SELECT * FROM a WHERE n > 0""")
+SELECT stage, rule, "column", n FROM a
+UNION ALL SELECT s, r, c, 0 FROM (VALUES {COUNTERS}) AS z (s, r, c) WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.stage = s AND a.rule = r AND a."column" = c)
+UNION ALL SELECT 'coercion', 'coerced', column_name, 0 FROM (DESCRIBE lineitem)"""
+
+
+@query(AUDIT)
 def clean_audit(spark, folder):
     ref, _ = reference_and_current(spark, folder)
-    return JOB.run(lineitem(spark, folder), ref).audit.filter("n > 0")
+    return JOB.run(lineitem(spark, folder), ref).audit
+
+
+@query(AUDIT)
+def clean_audit_on_write(spark, folder):
+    """The audit as it lies beside the written table: the rules' counters are observed by the tasks that write."""
+    from plumbline.catalog.storage import scratch
+
+    ref, _ = reference_and_current(spark, folder)
+    path = scratch(spark)
+    JOB.run(lineitem(spark, folder), ref).write(f"{path}/lines.parquet")
+    return files.read_table(spark, f"{path}/lines.audit.json").select("stage", "rule", "column", "n")
 
 
 # ---------------------------------------------------------------------- checks

@@ -10,7 +10,7 @@ next projection, which keeps every expression small.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -226,20 +226,40 @@ _CHANGES: dict[str, Callable[[Column, Column], Column]] = {
 }
 
 
-def rules_report(df: DataFrame, rules: Sequence[Rule], stage: str) -> DataFrame:
-    """Cells nulled, changed and filled per rule and column, in one pass.
+@dataclass
+class Counted:
+    """A table with rules applied, each counter as a named aggregate over its rows, and what the counters stand for."""
+
+    frame: DataFrame                                   # the table's columns, and helper columns that the aggregates read
+    columns: list[str]                                 # the table's own columns
+    aggregates: list[Column] = field(default_factory=list)
+    meaning: list[tuple[str, str, str, dict[str, str]]] = field(default_factory=list)    # stage, rule, column, counter by change
+
+    def table(self) -> DataFrame:
+        return self.frame.select(*[F.col(f"`{c}`") for c in self.columns])
+
+    def report(self, counts: Mapping[str, int]) -> list[tuple]:
+        """Rows ``stage, rule, column, nulled, changed, filled``."""
+        return [(stage, rule, column, *[counts[labels[c]] for c in _CHANGES]) for stage, rule, column, labels in self.meaning]
+
+
+REPORT_SCHEMA = "stage string, rule string, column string, nulled bigint, changed bigint, filled bigint"
+
 
-    Schema: ``stage, rule, column, nulled, changed, filled``. A change of at
-    most 1e-9 is rounding and not counted. Non-numeric cells (which only
-    ``Fill`` touches) are never counted as changed.
+def counted(df: DataFrame, stages: Sequence[tuple[str, Sequence[Rule]]], only_used: bool = False) -> Counted:
+    """Apply the stages' rules in order and say how to count what each rule does to each column.
+
+    Counters are cells nulled, changed and filled. A change of at most 1e-9 is rounding and not counted. Non-numeric cells
+    (which only ``Fill`` touches) are never counted as changed. ``only_used`` leaves out columns that no rule reads or writes.
     """
     present = set(df.columns)
-    layers = _layers(rules, present)
     numeric = {c for c, t in df.dtypes if t != "string"}
-    used = {c for layer in layers for r in layer for c in (*r.read(present), *r.written(present))}
-    frame = df.select(*[c for c in df.columns if c in used])
+    layers = [(stage, layer) for stage, rules in stages for layer in _layers(rules, present)]
+    used = {c for _, layer in layers for r in layer for c in (*r.read(present), *r.written(present))}
+    columns = [c for c in df.columns if not only_used or c in used]
+    frame = df.select(*[F.col(f"`{c}`") for c in columns])
     writes: dict[str, list[int]] = {}
-    for depth, layer in enumerate(layers):
+    for depth, (_, layer) in enumerate(layers):
         outputs = _outputs(layer, present)
         for c in outputs:
             writes.setdefault(c, []).append(depth)
@@ -250,19 +270,34 @@ def rules_report(df: DataFrame, rules: Sequence[Rule], stage: str) -> DataFrame:
         later = [d for d in writes[column] if d > depth]
         return F.col(f"_before{later[0]}_{column}") if later else F.col(column)
 
-    aggregates, structs = [], []
-    for depth, layer in enumerate(layers):
+    out = Counted(frame, columns)
+    for depth, (stage, layer) in enumerate(layers):
         for rule in layer:
             for c in rule.written(present):
                 old, new = F.col(f"_before{depth}_{c}"), after(c, depth)
-                parts = [F.lit(stage).alias("stage"), F.lit(rule.name).alias("rule"), F.lit(c).alias("column")]
+                labels = {}
                 for change, test in _CHANGES.items():
                     hit = F.lit(False) if change == "changed" and c not in numeric else test(old, new)
-                    label = f"n{len(aggregates)}"
-                    aggregates.append(F.count(F.when(hit, 1)).alias(label))
-                    parts.append(F.col(label).alias(change))
-                structs.append(F.struct(*parts))
-    if not structs:
-        return small_table(
-            df.sparkSession, [], "stage string, rule string, column string, nulled bigint, changed bigint, filled bigint")
-    return frame.agg(*aggregates).select(F.inline(F.array(*structs)))
+                    labels[change] = f"n{len(out.aggregates)}"
+                    out.aggregates.append(F.count(F.when(hit, 1)).alias(labels[change]))
+                out.meaning.append((stage, rule.name, c, labels))
+    return out
+
+
+def rules_report(df: DataFrame, rules: Sequence[Rule], stage: str) -> DataFrame:
+    """Cells nulled, changed and filled per rule and column (see :func:`counted`), in one pass.
+
+    Schema: ``stage, rule, column, nulled, changed, filled``.
+    """
+    return report_of(df, [(stage, rules)])
+
+
+def report_of(df: DataFrame, stages: Sequence[tuple[str, Sequence[Rule]]]) -> DataFrame:
+    """The counters of several stages, the later ones on what the earlier ones left, in one pass."""
+    found = counted(df, stages, only_used=True)
+    if not found.aggregates:
+        return small_table(df.sparkSession, [], REPORT_SCHEMA)
+    structs = [F.struct(F.lit(stage).alias("stage"), F.lit(rule).alias("rule"), F.lit(c).alias("column"),
+                        *[F.col(label).alias(change) for change, label in labels.items()])
+               for stage, rule, c, labels in found.meaning]
+    return found.frame.agg(*found.aggregates).select(F.inline(F.array(*structs)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plumbline.operators.calibrate import CalibrationConfig, fit_calibration
@@ -13,7 +13,8 @@ from plumbline.operators.coerce import coerce_numeric, coercion_summary
 from plumbline.operators.impute import ImputePolicy, fit_imputation
 from plumbline.operators.keys import HTTP_PREFIXES, clean_keys, keep_best, key_report
 from plumbline.operators.profile import drop_sparse_rows
-from plumbline.operators.rules import Rule, apply_rules, rules_from_json, rules_report, rules_to_json
+from plumbline.operators.rules import REPORT_SCHEMA, Rule, apply_rules, counted, report_of, rules_from_json, rules_to_json
+from plumbline.operators.tables import small_table
 from plumbline.session import materialised
 from plumbline.sources.files import write_audit, write_table
 
@@ -54,13 +55,13 @@ class CleanModel:
         """Rules on a table that already has one row per key and numeric columns."""
         return apply_rules(typed, self.rules)
 
+    @property
+    def stages(self) -> list[tuple[str, tuple[Rule, ...]]]:
+        return [("enforcement", self.enforcement), ("imputation", self.imputation), ("calibration", self.calibration)]
+
     def report(self, typed: DataFrame) -> DataFrame:
-        """Cells touched per stage, rule and column."""
-        enforced = apply_rules(typed, self.enforcement)
-        filled = apply_rules(enforced, self.imputation)
-        return (rules_report(typed, self.enforcement, "enforcement")
-                .unionByName(rules_report(enforced, self.imputation, "imputation"))
-                .unionByName(rules_report(filled, self.calibration, "calibration")))
+        """Cells touched per stage, rule and column, zeros included, in one pass."""
+        return report_of(typed, self.stages)
 
     def to_json(self) -> str:
         import json
@@ -120,8 +121,8 @@ class CleanJob:
             typed = self._without_sparse(typed)
         return CleanResult(self, raw, typed, self.fit(typed, reference))
 
-    def audit(self, raw: DataFrame, typed: DataFrame, model: CleanModel) -> DataFrame:
-        """``stage, rule, column, n`` over all stages."""
+    def audit(self, raw: DataFrame, typed: DataFrame, model: CleanModel, report: DataFrame | None = None) -> DataFrame:
+        """``stage, rule, column, n`` over all stages; ``report``: the rules' counters if they are known already."""
         c = self.config
         none = F.lit("*").alias("column")
         parts = []
@@ -133,7 +134,7 @@ class CleanJob:
                 F.lit("keys").alias("stage"), F.lit("deduplicated").alias("rule"), none, "n"))
         parts.append(coercion_summary(raw, [*c.keys, *c.keep_text]).select(
             F.lit("coercion").alias("stage"), F.lit("coerced").alias("rule"), "column", F.col("coerced").alias("n")))
-        changes = model.report(typed).select("stage", "column", "rule", F.explode(F.create_map(*[
+        changes = (model.report(typed) if report is None else report).select("stage", "column", "rule", F.explode(F.create_map(*[
             x for k in ("nulled", "changed", "filled") for x in (F.lit(k), F.col(k))])).alias("change", "n"))
         parts.append(changes.select("stage", F.concat_ws(":", "rule", "change").alias("rule"), "column", "n"))
         out = parts[0]
@@ -169,6 +170,16 @@ class CleanResult:
         return self.job.audit(self.raw, self.typed, self.model)
 
     def write(self, path: str, fmt: str = "infer") -> None:
-        """The clean table, with its audit as JSON beside it."""
-        write_table(self.table, path, fmt)
-        write_audit(self.audit, path)
+        """The clean table, with its audit as JSON beside it.
+
+        The rules' counters are observed while the table is written, in the tasks that write it: a task that is run again
+        after a lost executor counts once, and no second pass applies the rules.
+        """
+        found = counted(self.typed, self.model.stages)
+        seen = Observation()
+        if found.aggregates:
+            found.frame = found.frame.observe(seen, *found.aggregates)
+        write_table(found.table(), path, fmt)
+        rows = found.report(seen.get) if found.aggregates else []
+        report = small_table(self.typed.sparkSession, rows, REPORT_SCHEMA)
+        write_audit(self.job.audit(self.raw, self.typed, self.model, report), path)
