@@ -6,7 +6,7 @@ import itertools
 
 from pyspark.sql import functions as F
 
-from plumbline.catalog.base import LINE_NUMBERS, REF_CUR, long_sql, query, reference_and_current, round_all, rounded
+from plumbline.catalog.base import LINE_NUMBERS, REF_CUR, long_sql, query, reference_and_current, round_all, rounded, table
 from plumbline.catalog.profiling import bins_sql
 from plumbline.operators import drift, profile
 
@@ -38,6 +38,24 @@ def ks_drift(spark, folder):
     return round_all(drift.ks_statistic(*reference_and_current(spark, folder), LINE_NUMBERS))
 
 
+# Every order of the pooled sample, as a mask of the places of the first side; the share of orders with at least the gap found.
+@query("""WITH g AS (SELECT s_nationkey AS side, s_acctbal AS x FROM supplier WHERE s_nationkey IN (3, 4)),
+z AS (SELECT count(*) FILTER (side = 3) AS n, count(*) FILTER (side = 4) AS m FROM g),
+u AS (SELECT x, sum((side = 3)::INT) OVER w AS r, sum((side = 4)::INT) OVER w AS c FROM g WINDOW w AS (ORDER BY x)),
+k AS (SELECT n, m, max(abs(r * m - c * n)) AS far FROM u, z GROUP BY n, m),
+masks AS (SELECT mask, n, m, far FROM k, range(0, (1::BIGINT << (n + m))) t(mask) WHERE bit_count(mask) = n),
+steps AS (SELECT mask, far, max(abs(bit_count(mask & ((1::BIGINT << i) - 1)) * m - (i - bit_count(mask & ((1::BIGINT << i) - 1))) * n)) AS gap
+  FROM masks, range(1, n + m + 1) s(i) GROUP BY mask, far)
+SELECT 's_acctbal' AS "column", n AS n_ref, m AS n_cur, round(far::DOUBLE / (n * m), 6) AS ks,
+  CASE WHEN n * m > 0 THEN round((SELECT avg((gap >= far)::INT) FROM steps), 6) END AS ks_p_exact
+FROM (SELECT z.n, z.m, max(k.far) AS far FROM z LEFT JOIN k ON true GROUP BY z.n, z.m)""")
+def ks_exact_small(spark, folder):
+    """Account balances of the suppliers of two nations: few rows, so the exact p-value."""
+    rows = table(spark, folder, "supplier")
+    out = drift.ks_small_samples(rows.filter("s_nationkey = 3"), rows.filter("s_nationkey = 4"), ["s_acctbal"])
+    return round_all(out.select("column", "n_ref", "n_cur", "ks", "ks_p_exact"))
+
+
 JSD = f"""{bins_sql('ref', LINE_NUMBERS, 50, 'a')}, {bins_sql('cur', LINE_NUMBERS, 50, 'b')},
 ad AS (SELECT "column", bin, CASE WHEN n > 0 THEN n / (sum(n) OVER (PARTITION BY "column") * (hi - lo)) ELSE 1e-12::DOUBLE END AS d FROM a),
 bd AS (SELECT "column", bin, CASE WHEN n > 0 THEN n / (sum(n) OVER (PARTITION BY "column") * (hi - lo)) ELSE 1e-12::DOUBLE END AS d FROM b),

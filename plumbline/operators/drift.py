@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.operators.ordering import ordered_counts
 from plumbline.operators.profile import bin_ranges, describe, histogram
 from plumbline.operators.tables import as_doubles, shared_numeric_columns, small_table
 
 STATS = ("mean", "sd", "min", "p50", "p95", "max")
+CUTS = 256                 # cut values per pass over a column
+FEW_ROWS = 20_000          # rows that may be looked at one by one
 
 
 def compare_stats(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -35,22 +40,165 @@ def ks_p_value(ks: Column, n_ref: Column, n_cur: Column, terms: int = 100) -> Co
     return F.when(scaled < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
 
 
+@dataclass
+class _Steps:
+    """Search for the greatest gap of one column: rows per side, the gap so far, and the stretches that may hold a greater one.
+
+    A stretch is (low, high, rows of both sides at most low, rows of both sides strictly inside).
+    """
+
+    n: int
+    m: int
+    best: float = 0.0
+    open: list[tuple[float, float, int, int, int, int]] = field(default_factory=list)
+
+    def gap(self, r: int, c: int) -> float:
+        return abs(r / self.n - c / self.m)
+
+    def take(self, stretches: list[tuple[float, float, int, int, int, int]]) -> None:
+        """Keep the stretches in which the gap can exceed the greatest one known: one side's rows might all come first."""
+        for _, _, r0, c0, r, c in stretches:
+            self.best = max(self.best, self.gap(r0, c0), self.gap(r0 + r, c0 + c))
+        self.open = [s for s in stretches if s[4] + s[5] > 0 and
+                     max(self.gap(s[2] + s[4], s[3]), self.gap(s[2], s[3] + s[5])) > self.best]
+
+
+def _inside(c: str, stretches: list, most: int = 8) -> Column:
+    """Whether a value lies strictly inside a stretch; many stretches are looked at only where a few intervals around them hold."""
+    between = lambda low, high: (F.col(c) > low) & (F.col(c) < high)         # noqa: E731
+    step = -(-len(stretches) // most)
+    near = F.lit(False)
+    for i in range(0, len(stretches), step):
+        near = near | between(F.lit(stretches[i][0]), F.lit(stretches[min(i + step, len(stretches)) - 1][1]))
+    if step == 1:
+        return near
+    edges = F.array(*[F.lit(float(x)) for s in stretches for x in s[:2]])
+    return near & F.exists(F.sequence(F.lit(0), F.lit(len(stretches) - 1)), lambda i: between(F.get(edges, 2 * i), F.get(edges, 2 * i + 1)))
+
+
+def _side_counts(both: DataFrame, edges: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Per column rows of both sides between and at its ascending edges: [2, 2 * edges + 1], odd places are the edges."""
+    columns = list(edges)
+
+    def run(batches):
+        total = {c: np.zeros((2, 2 * len(e) + 1), np.int64) for c, e in edges.items()}
+        for batch in batches:
+            side = np.asarray(batch.column("_ref"))
+            for i, c in enumerate(columns):
+                x = np.asarray(batch.column(c).fill_null(np.nan), np.float64)
+                known = ~np.isnan(x)
+                at = np.searchsorted(edges[c], x[known], side="left")
+                hit = (at < len(edges[c])) & (edges[c][np.minimum(at, len(edges[c]) - 1)] == x[known])
+                place = 2 * at + hit
+                for s in (0, 1):
+                    total[c][s] += np.bincount(place[side[known] == s], minlength=total[c].shape[1])
+        for i, c in enumerate(columns):
+            s, place = np.nonzero(total[c])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), i)), pa.array(s), pa.array(place), pa.array(total[c][s, place])],
+                                             names=["i", "side", "place", "n"])
+
+    rows = both.select(*columns, "_ref").mapInArrow(run, "i long, side long, place long, n long").groupBy("i", "side", "place").agg(F.sum("n").alias("n"))
+    out = {c: np.zeros((2, 2 * len(e) + 1), np.int64) for c, e in edges.items()}
+    for i, side, place, n in rows.collect():         # two numbers per edge and side
+        out[columns[i]][side, place] = n
+    return out
+
+
 def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic per column, over all distinct values."""
+    """Two-sample Kolmogorov-Smirnov statistic per column, over all distinct values: ``column, ks, ks_p_asymptotic``.
+
+    Counts at a few hundred cut values give the gap there and bound it in between; only stretches that can hold a greater
+    gap are cut again, until few rows lie in them, which are then looked at one by one. Every pass is an aggregate, so what
+    is shuffled depends on the cuts, not on the rows or their distinct values. A side without values gives nulls.
+    """
     columns = list(columns or shared_numeric_columns(reference, current))
     both = (as_doubles(reference, columns).withColumn("_ref", F.lit(1))
-            .unionByName(as_doubles(current, columns).withColumn("_ref", F.lit(0))))
-    steps = ordered_counts(both, columns, {"r": F.col("_ref"), "c": 1 - F.col("_ref")})
-    sizes = both.agg(*[F.struct(
-        F.lit(c).alias("column"), F.count(F.when(F.col("_ref") == 1, F.col(c))).cast("double").alias("n_ref"),
-        F.count(F.when(F.col("_ref") == 0, F.col(c))).cast("double").alias("n_cur")).alias(f"s{i}")
-        for i, c in enumerate(columns)]).select(F.inline(F.array(*[f"s{i}" for i in range(len(columns))])))
-    # One row per column.
-    gap = F.abs(F.try_divide(F.col("r_before") + F.col("r"), F.col("n_ref"))
-                - F.try_divide(F.col("c_before") + F.col("c"), F.col("n_cur")))
-    return (steps.join(F.broadcast(sizes), "column")
-            .groupBy("column", "n_ref", "n_cur").agg(F.max(gap).alias("ks"))
-            .select("column", "ks", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("ks_p_asymptotic")))
+            .unionByName(as_doubles(current, columns).withColumn("_ref", F.lit(0)))
+            .select("_ref", *[(F.col(c) + F.lit(0.0)).alias(c) for c in columns]))
+    sizes = both.agg(*[F.count(F.when(F.col("_ref") == side, F.col(c))).alias(f"n{side}_{i}") for i, c in enumerate(columns) for side in (1, 0)]).first()
+    steps = {c: _Steps(sizes[f"n1_{i}"], sizes[f"n0_{i}"]) for i, c in enumerate(columns)}
+    for s in steps.values():
+        if s.n and s.m:
+            s.open = [(-math.inf, math.inf, 0, 0, s.n, s.m)]
+    while any(s.open for s in steps.values()):
+        busy = [c for c in columns if steps[c].open]
+        if sum(sum(x[4] + x[5] for x in steps[c].open) for c in busy) <= FEW_ROWS:
+            _finish(both, {c: steps[c] for c in busy})
+            break
+        points = [i / CUTS for i in range(CUTS + 1)]
+        row = both.agg(*[F.percentile_approx(F.when(_inside(c, steps[c].open), F.col(c)), points, 100 * CUTS).alias(f"q{i}")
+                         for i, c in enumerate(busy)]).first()
+        edges = {}
+        for i, c in enumerate(busy):
+            borders = {x for s in steps[c].open for x in s[:2] if math.isfinite(x)}
+            edges[c] = np.array(sorted(borders | set(row[f"q{i}"] or ())), float)
+        counts = _side_counts(both, edges)
+        for c in busy:
+            steps[c].take(_cut(steps[c].open, edges[c], counts[c]))
+    rows = [(c, s.best if s.n and s.m else None, float(s.n), float(s.m)) for c, s in steps.items()]
+    table = small_table(both.sparkSession, rows, "column string, ks double, n_ref double, n_cur double")
+    return table.select("column", "ks", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("ks_p_asymptotic"))
+
+
+def _cut(stretches: list, edges: np.ndarray, counts: np.ndarray) -> list[tuple[float, float, int, int, int, int]]:
+    """The stretches, cut at the edges inside them; counts as from :func:`_side_counts` (side 1 is the reference)."""
+    out = []
+    for low, high, r, c, _, _ in stretches:
+        first = int(np.searchsorted(edges, low, side="right"))
+        for i in range(first, len(edges) + 1):
+            end = edges[i] if i < len(edges) else math.inf
+            inner = counts[:, 2 * i]
+            out.append((low, float(min(end, high)), r, c, int(inner[1]), int(inner[0])))
+            if end >= high:
+                break
+            r, c = r + int(inner[1] + counts[1, 2 * i + 1]), c + int(inner[0] + counts[0, 2 * i + 1])
+            low = float(end)
+    return out
+
+
+def _finish(both: DataFrame, steps: dict[str, _Steps]) -> None:
+    """Look at the values of the last stretches, ``FEW_ROWS`` rows at most, one by one."""
+    columns = list(steps)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.when(_inside(c, steps[c].open), F.col(c)).alias("value")) for c in columns])
+    found = both.select(F.inline(cells), "_ref").filter("value is not null").groupBy("column", "value").agg(
+        F.sum("_ref").alias("r"), F.sum(1 - F.col("_ref")).alias("c")).collect()
+    for c, s in steps.items():
+        values = sorted((row["value"], row["r"], row["c"]) for row in found if row["column"] == c)
+        for low, high, r, k, _, _ in s.open:
+            for _, more, other in (v for v in values if low < v[0] < high):
+                r, k = r + more, k + other
+                s.best = max(s.best, s.gap(r, k))
+        s.open = []
+
+
+def ks_exact_p(ks: float, n: int, m: int) -> float:
+    """Exact two-sided p-value of the two-sample statistic without ties: the share of lattice paths from (0, 0) to (n, m)
+    that somewhere come as far from the diagonal as ``ks``. Integer arithmetic, n * m steps."""
+    far = round(ks * n * m)                          # |i m - j n| is a whole number
+    ways = [0] * (m + 1)                             # paths to (i, j) that stayed nearer
+    for i in range(n + 1):
+        for j in range(m + 1):
+            if i == j == 0:
+                ways[0] = int(far > 0)
+            elif abs(i * m - j * n) >= far:
+                ways[j] = 0
+            elif i == 0:
+                ways[j] = ways[j - 1]
+            elif j > 0:
+                ways[j] += ways[j - 1]
+    total = math.comb(n + m, n)
+    return (total - ways[m]) / total
+
+
+def ks_small_samples(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, most: int = 10_000) -> DataFrame:
+    """``column, n_ref, n_cur, ks, ks_p_asymptotic, ks_p_exact``; the exact p-value where n_ref * n_cur is at most ``most``."""
+    columns = list(columns or shared_numeric_columns(reference, current))
+    count = lambda df: df.agg(*[F.count(F.col(c)).alias(c) for c in columns]).first()        # noqa: E731
+    n, m = count(as_doubles(reference, columns)), count(as_doubles(current, columns))
+    rows = [(r["column"], n[r["column"]], m[r["column"]], r["ks"], r["ks_p_asymptotic"],
+             ks_exact_p(r["ks"], n[r["column"]], m[r["column"]]) if r["ks"] is not None and n[r["column"]] * m[r["column"]] <= most else None)
+            for r in ks_statistic(reference, current, columns).collect()]                     # one row per column
+    return small_table(reference.sparkSession, rows, "column string, n_ref long, n_cur long, ks double, ks_p_asymptotic double, ks_p_exact double")
 
 
 def jensen_shannon(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None,

@@ -1,102 +1,154 @@
-"""Exact k-nearest-neighbour join and regressor.
-
-The training rows are clustered into cells. A query first looks into the
-cells nearest to it until they hold k rows; the k-th distance found there
-bounds the answer, and only cells that can hold a closer row (by the triangle
-inequality on the cell's centre and radius) are searched afterwards. No
-candidate is left out, so the result is exact whatever the clustering. Cells
-and query groups are cut into blocks of bounded size; a block pair becomes
-one matrix product in one task and returns k rows per query, never all pairs.
+"""Exact k-nearest-neighbour join and regressor over an index of cells, which can be stored.
+
+The training rows are dealt to cells: a sample of the rows gives the centres, every row goes to its nearest one. A query first
+looks into the cells nearest to it until they hold k rows; the k-th distance found there bounds the answer, and only cells
+that can hold a closer row (by the triangle inequality on the cell's centre and radius) are searched afterwards. No candidate
+is left out, so the result is exact whatever the cells. The number of cells grows with the rows, beyond 16 million of them
+with their square root, so centres stay small enough to be in every task. A cell is cut into blocks of bounded size; a task
+holds one block of rows and streams the queries past it, so no row is copied, and returns k rows per query, never all pairs.
+
+:func:`approximate_join` is the separate, inexact way: random projections, with its recall to be measured.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.session import materialised
 
 BLOCK_ROWS = 2_048
 ROWS_PER_CELL = 4_096
-MAX_CELLS = 1_024
-CENTRE_ROWS = 200_000
+SHELF_CELLS = 64           # cells per folder of a stored index
+QUERIES_AT_ONCE = 1_024
 
 
-def knn_join(queries: DataFrame, train: DataFrame, features: Sequence[str], query_id: str, train_id: str,
-             k: int = 15, cells: int | None = None, seed: int = 42) -> DataFrame:
-    """``query_id, train_id, distance``: the k nearest training rows, ties by the smaller id."""
+@dataclass
+class NeighbourIndex:
+    """Training rows by cell: ``rows`` (tid, tx, cell, and y where a target is kept)."""
+
+    features: list[str]
+    centres: np.ndarray
+    radii: np.ndarray
+    sizes: np.ndarray
+    rows: DataFrame
+
+    def cells(self) -> DataFrame:
+        """One row per cell, at most as many as the square root of the rows beyond 16 million."""
+        table = pd.DataFrame({"cell": np.arange(len(self.sizes), dtype=np.int32), "n": self.sizes.astype(np.int64),
+                              "radius": self.radii, "centre": [c.tolist() for c in self.centres]})
+        return self.rows.sparkSession.createDataFrame(table, "cell int, n long, radius double, centre array<double>")
+
+    def save(self, path: str) -> None:
+        """Rows by shelf of cells and in the order of cells, the cells with centres and radii, and the features' names."""
+        base = str(path).rstrip("/")
+        shelf = F.floor(F.col("cell") / SHELF_CELLS).cast("int")
+        (self.rows.withColumn("shelf", shelf).repartition("shelf", F.pmod(F.xxhash64("tid"), F.lit(8))).sortWithinPartitions("shelf", "cell")
+         .write.mode("overwrite").partitionBy("shelf").parquet(f"{base}/rows"))
+        self.cells().coalesce(1).write.mode("overwrite").parquet(f"{base}/cells")
+        head = [(json.dumps(self.features),)]
+        self.rows.sparkSession.createDataFrame(head, "features string").coalesce(1).write.mode("overwrite").json(f"{base}/features")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> NeighbourIndex:
+        base = str(path).rstrip("/")
+        cells = spark.read.parquet(f"{base}/cells").orderBy("cell").toPandas()
+        features = json.loads(spark.read.json(f"{base}/features").head()["features"])
+        return cls(features, np.array(cells["centre"].tolist(), float).reshape(len(cells), len(features)), cells["radius"].to_numpy(float),
+                   cells["n"].to_numpy(float), spark.read.parquet(f"{base}/rows").drop("shelf"))
+
+    def search(self, queries: DataFrame, query_id: str, k: int, train_id: str = "tid") -> DataFrame:
+        """``query_id, train_id, distance``: the k nearest training rows, ties by the smaller id."""
+        q = queries.select(F.col(query_id).alias("qid"), F.array(*[F.col(c).cast("double") for c in self.features]).alias("qx"))
+        centres, radii, sizes = self.centres, self.radii, self.sizes
+
+        def near_cells(batches):
+            """The fewest nearest cells that hold k rows between them."""
+            for pdf in batches:
+                d = _distances(np.stack(pdf["qx"].to_numpy()), centres) if len(pdf) else np.zeros((0, len(centres)))
+                order = np.argsort(d, axis=1, kind="stable")
+                enough = np.cumsum(sizes[order], axis=1) >= k
+                stop = np.where(enough.any(axis=1), enough.argmax(axis=1), len(centres) - 1)
+                yield pd.DataFrame({"qid": pdf["qid"], "qx": pdf["qx"],
+                                    "cells": [o[:s + 1].astype(np.int32) for o, s in zip(order, stop)]})
+
+        def far_cells(batches):
+            """The other cells that may hold a row within the distance found so far."""
+            for pdf in batches:
+                d = _distances(np.stack(pdf["qx"].to_numpy()), centres) if len(pdf) else np.zeros((0, len(centres)))
+                limit = pdf["reach"].fillna(np.inf).to_numpy()[:, None]
+                wanted = (d - radii <= limit * (1 + 1e-9) + 1e-9) & (sizes > 0)
+                for row, seen in enumerate(pdf["cells"]):
+                    wanted[row, np.asarray(seen, dtype=int)] = False
+                yield pd.DataFrame({"qid": pdf["qid"], "qx": pdf["qx"],
+                                    "cells": [np.flatnonzero(w).astype(np.int32) for w in wanted]})
+
+        shape = f"qid {dict(q.dtypes)['qid']}, qx array<double>, cells array<int>"
+        cells = self.cells().select("cell", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")).filter("blocks > 0")
+        first = q.mapInPandas(near_cells, shape)
+        near = materialised(_search(first, self.rows, cells, k))   # k rows per query, read twice
+        reach = near.groupBy("qid").agg(F.count(F.lit(1)).alias("found"), F.max("distance").alias("far"))
+        bounded = first.join(reach, "qid", "left").select(
+            "qid", "qx", "cells", F.when(F.col("found") >= k, F.col("far")).alias("reach"))
+        second = bounded.mapInPandas(far_cells, shape).filter(F.size("cells") > 0)
+        best = _top_k(near.unionByName(_search(second, self.rows, cells, k)), k)
+        return best.select(F.col("qid").alias(query_id), F.col("tid").alias(train_id if train_id != query_id else "neighbour_id"), "distance")
+
+    def regress(self, queries: DataFrame, query_id: str, k: int = 15) -> DataFrame:
+        """``query_id, prediction``: neighbours weighted by 1/distance; exact matches alone if there are any."""
+        if "y" not in self.rows.columns:
+            raise ValueError("the index keeps no target")
+        values = self.search(queries, query_id, k, "__tid").join(self.rows.select(F.col("tid").alias("__tid"), "y"), "__tid")
+        zero, inverse = F.col("distance") == 0, F.try_divide(F.lit(1.0), F.col("distance"))
+        sums = values.groupBy(query_id).agg(F.avg(F.when(zero, F.col("y"))).alias("same"),
+                                            (F.sum(inverse * F.col("y")) / F.sum(inverse)).alias("weighted"))
+        return sums.select(query_id, F.coalesce("same", "weighted").alias("prediction"))
+
+
+def build_index(train: DataFrame, features: Sequence[str], train_id: str, target: str | None = None, cells: int | None = None,
+                seed: int = 42) -> NeighbourIndex:
+    """The training rows by cell. ``train_id`` should be unique; a row with a missing feature fails."""
     features = list(features)
-    t = train.select(F.col(train_id).alias("tid"), F.array(*[F.col(c).cast("double") for c in features]).alias("tx"))
-    q = queries.select(F.col(query_id).alias("qid"), F.array(*[F.col(c).cast("double") for c in features]).alias("qx"))
-    n = t.count()
+    vector = F.array(*[F.col(c).cast("double") for c in features])
+    rows = train.select(F.col(train_id).alias("tid"), vector.alias("tx"), *([F.col(target).cast("double").alias("y")] if target else []))
+    n = rows.count()
     if cells is None:
-        cells = int(min(max(n // ROWS_PER_CELL, 8), MAX_CELLS))
-    vectors = VectorAssembler(inputCols=features, outputCol="_v").transform(
-        train.select(F.col(train_id).alias("tid"), *[F.col(c).cast("double").alias(c) for c in features]))
-    # The centres only steer the search, so a sample is enough to find them; every row gets a cell.
-    seen = vectors if n <= CENTRE_ROWS else vectors.sample(CENTRE_ROWS / n, seed)
-    model = KMeans(k=max(2, min(cells, n)), featuresCol="_v", predictionCol="cell", seed=seed, maxIter=5).fit(seen)
-    centres = np.array(model.clusterCenters())
-    placed = model.transform(vectors).select("tid", vector_to_array("_v").alias("tx"), "cell")
-
-    def extents(batches):
-        """Size and radius of the cells in a batch."""
+        cells = max(8, min(n // ROWS_PER_CELL, int(n ** 0.5)))
+    # the centres only steer the search, so a sample is enough to find them; every row gets a cell
+    chosen = rows.select("tx").orderBy(F.xxhash64(F.lit(seed), "tid")).limit(max(1, min(cells, n))).collect()
+    centres = np.unique(np.array([r["tx"] for r in chosen], float).reshape(len(chosen), len(features)), axis=0)
+    if np.isnan(centres).any():
+        raise ValueError("k-NN needs complete rows")
+    kinds = dict(rows.dtypes)
+
+    def place(batches):
         for pdf in batches:
             if len(pdf):
-                cell = pdf["cell"].to_numpy()
-                gap = np.linalg.norm(np.stack(pdf["tx"].to_numpy()) - centres[cell], axis=1)
-                yield pd.DataFrame({"cell": cell, "gap": gap}).groupby("cell")["gap"].agg(
-                    radius="max", n="count").reset_index()
-
-    # One row per cell: at most MAX_CELLS.
-    summary = placed.select("cell", "tx").mapInPandas(extents, "cell int, radius double, n bigint").groupBy("cell").agg(
-        F.max("radius").alias("radius"), F.sum("n").alias("n")).collect()
-    sizes = np.zeros(len(centres))
-    radii = np.zeros(len(centres))
-    for r in summary:
+                d = _distances(np.stack(pdf["tx"].to_numpy()), centres)
+                if np.isnan(d).any():
+                    raise ValueError("k-NN needs complete rows")
+                cell = d.argmin(axis=1)
+                yield pdf.assign(cell=cell.astype(np.int32), gap=d[np.arange(len(cell)), cell])
+
+    extra = ", y double" if target else ""
+    placed = materialised(rows.mapInPandas(place, f"tid {kinds['tid']}, tx array<double>{extra}, cell int, gap double"))
+    sizes, radii = np.zeros(len(centres)), np.zeros(len(centres))
+    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).collect():     # one row per cell
         sizes[r["cell"]], radii[r["cell"]] = r["n"], r["radius"]
-    blocks = np.maximum(1, np.ceil(sizes / BLOCK_ROWS)).astype(int)
+    return NeighbourIndex(features, centres, radii, sizes, placed.drop("gap"))
 
-    def near_cells(batches):
-        """The fewest nearest cells that hold k rows between them."""
-        for pdf in batches:
-            d = _distances(np.stack(pdf["qx"].to_numpy()), centres) if len(pdf) else np.zeros((0, len(centres)))
-            order = np.argsort(d, axis=1, kind="stable")
-            enough = np.cumsum(sizes[order], axis=1) >= k
-            stop = np.where(enough.any(axis=1), enough.argmax(axis=1), len(centres) - 1)
-            yield pd.DataFrame({"qid": pdf["qid"], "qx": pdf["qx"],
-                                "cells": [o[:s + 1].astype(np.int32) for o, s in zip(order, stop)]})
-
-    def far_cells(batches):
-        """The other cells that may hold a row within the distance found so far."""
-        for pdf in batches:
-            d = _distances(np.stack(pdf["qx"].to_numpy()), centres) if len(pdf) else np.zeros((0, len(centres)))
-            reach = d - radii
-            limit = pdf["reach"].fillna(np.inf).to_numpy()[:, None]
-            wanted = (reach <= limit * (1 + 1e-9) + 1e-9) & (sizes > 0)
-            for row, seen in enumerate(pdf["cells"]):
-                wanted[row, np.asarray(seen, dtype=int)] = False
-            yield pd.DataFrame({"qid": pdf["qid"], "qx": pdf["qx"],
-                                "cells": [np.flatnonzero(w).astype(np.int32) for w in wanted]})
-
-    id_type = dict(q.dtypes)["qid"]
-    shape = f"qid {id_type}, qx array<double>, cells array<int>"
-    first = q.mapInPandas(near_cells, shape)
-    near = materialised(_search(first, placed, blocks, k))   # k rows per query, read twice
-    reach = near.groupBy("qid").agg(F.count(F.lit(1)).alias("found"), F.max("distance").alias("far"))
-    bounded = first.join(reach, "qid", "left").select(
-        "qid", "qx", "cells", F.when(F.col("found") >= k, F.col("far")).alias("reach"))
-    second = bounded.mapInPandas(far_cells, shape).filter(F.size("cells") > 0)
-    best = _top_k(near.unionByName(_search(second, placed, blocks, k)), k)
-    return best.select(F.col("qid").alias(query_id), F.col("tid").alias(train_id if train_id != query_id else "neighbour_id"),
-                       "distance")
+
+def knn_join(queries: DataFrame, train: DataFrame, features: Sequence[str], query_id: str, train_id: str,
+             k: int = 15, cells: int | None = None, seed: int = 42) -> DataFrame:
+    """``query_id, train_id, distance``: the k nearest training rows, ties by the smaller id."""
+    return build_index(train, features, train_id, None, cells, seed).search(queries, query_id, k, train_id)
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -107,40 +159,57 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _search(queries: DataFrame, placed: DataFrame, blocks: np.ndarray, k: int) -> DataFrame:
-    """Top k per query over the listed cells, one block pair per group."""
-    block_counts = F.array(*[F.lit(int(b)) for b in blocks])
+def _search(queries: DataFrame, rows: DataFrame, cells: DataFrame, k: int, once: bool = False) -> DataFrame:
+    """Top k per query over the listed cells: each block of a cell's rows stays in one task, where its queries stream by.
+
+    ``once``: a row may lie in several cells and counts once.
+    """
     wanted = queries.select("qid", "qx", F.explode("cells").alias("cell"))
-    load = {r["cell"]: r["n"] for r in wanted.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    q_blocks = F.array(*[F.lit(max(1, -(-load.get(c, 0) // BLOCK_ROWS))) for c in range(len(blocks))])
-    spread_q = wanted.select(
-        "qid", "qx", "cell", F.pmod(F.xxhash64("qid"), q_blocks[F.col("cell")]).cast("int").alias("qb"),
-        F.explode(F.sequence(F.lit(0), block_counts[F.col("cell")] - 1)).alias("tb"))
-    spread_t = placed.filter(F.col("cell").isin(*load) if load else F.lit(False)).select(
-        "tid", "tx", "cell", F.pmod(F.xxhash64("tid"), block_counts[F.col("cell")]).cast("int").alias("tb"),
-        F.explode(F.sequence(F.lit(0), q_blocks[F.col("cell")] - 1)).alias("qb"))
-    types = {**dict(queries.dtypes), **dict(placed.dtypes)}
-
-    def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"qid": left["qid"][:0], "tid": right["tid"][:0], "distance": np.zeros(0)})
-        a, b = np.stack(left["qx"].to_numpy()), np.stack(right["tx"].to_numpy())
-        ids = right["tid"].to_numpy()
-        d = _distances(a, b)
-        keep = min(k, len(b))
-        rows, picks = [], []
-        worst = np.partition(d, keep - 1, axis=1)[:, keep - 1]
-        for i in range(len(a)):
-            close = np.flatnonzero(d[i] <= worst[i])
-            order = close[np.lexsort((ids[close], d[i][close]))[:keep]]
-            rows.append(np.full(keep, i))
-            picks.append(order)
-        rows, picks = np.concatenate(rows), np.concatenate(picks)
-        return pd.DataFrame({"qid": left["qid"].to_numpy()[rows], "tid": ids[picks], "distance": d[rows, picks]})
-
-    pairs = spread_q.groupBy("cell", "qb", "tb").cogroup(spread_t.groupBy("cell", "qb", "tb")).applyInPandas(
-        nearest, f"qid {types['qid']}, tid {types['tid']}, distance double")
-    return _top_k(pairs, k)
+    types = {**dict(queries.dtypes), **dict(rows.dtypes)}
+    some = F.broadcast(cells)                            # one row of two numbers per cell
+    asked = materialised(wanted.select("cell").distinct())
+    left = (rows.join(F.broadcast(asked), "cell", "left_semi").join(some, "cell")
+            .select("cell", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("side"), "tid",
+                    F.lit(None).cast(types["qid"]).alias("qid"), F.col("tx").alias("x")))
+    right = (wanted.join(some, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("cell", "block", F.lit(1).alias("side"), F.lit(None).cast(types["tid"]).alias("tid"), "qid", F.col("qx").alias("x")))
+    both = left.unionByName(right).repartition("cell", "block").sortWithinPartitions("cell", "block", "side")
+
+    def nearest(batches):
+        key, held_ids, held = None, [], []
+        for batch in batches:
+            cell, block, side = (np.asarray(batch.column(c)) for c in ("cell", "block", "side"))
+            change = np.flatnonzero((np.diff(cell) != 0) | (np.diff(block) != 0) | (np.diff(side) != 0)) + 1
+            for a, b in zip([0, *change], [*change, batch.num_rows], strict=True):
+                if a == b:
+                    continue
+                if key != (cell[a], block[a]):
+                    key, held_ids, held = (cell[a], block[a]), [], []
+                part = batch.slice(a, b - a)
+                x = np.asarray(part.column("x").flatten(), float).reshape(len(part), -1)
+                if side[a] == 0:
+                    held_ids += part.column("tid").to_pylist()
+                    held.append(x)
+                elif held:
+                    t, ids = np.concatenate(held), pa.array(held_ids, part.column("tid").type)
+                    rank = np.argsort(np.argsort(np.array(held_ids), kind="stable"), kind="stable")
+                    for i in range(0, len(x), QUERIES_AT_ONCE):
+                        yield _closest(x[i:i + QUERIES_AT_ONCE], part.column("qid").slice(i, QUERIES_AT_ONCE), t, ids, rank, k)
+
+    pairs = both.mapInArrow(nearest, f"qid {types['qid']}, tid {types['tid']}, distance double")
+    return _top_k(pairs.groupBy("qid", "tid").agg(F.min("distance").alias("distance")) if once else pairs, k)
+
+
+def _closest(x: np.ndarray, qids: pa.Array, t: np.ndarray, ids: pa.Array, rank: np.ndarray, k: int) -> pa.RecordBatch:
+    d = _distances(x, t)
+    keep = min(k, len(t))
+    worst = np.partition(d, keep - 1, axis=1)[:, keep - 1]
+    picks = []
+    for i in range(len(x)):
+        close = np.flatnonzero(d[i] <= worst[i])
+        picks.append(close[np.lexsort((rank[close], d[i][close]))[:keep]])
+    row, pick = np.repeat(np.arange(len(x)), keep), np.concatenate(picks)
+    return pa.RecordBatch.from_arrays([qids.take(pa.array(row)), ids.take(pa.array(pick)), pa.array(d[row, pick])], names=["qid", "tid", "distance"])
 
 
 def _top_k(pairs: DataFrame, k: int) -> DataFrame:
@@ -152,12 +221,50 @@ def _top_k(pairs: DataFrame, k: int) -> DataFrame:
 def knn_regress(queries: DataFrame, train: DataFrame, features: Sequence[str], query_id: str, train_id: str,
                 target: str, k: int = 15) -> DataFrame:
     """``query_id, prediction``: neighbours weighted by 1/distance; exact matches alone if there are any."""
-    renamed = train.withColumnRenamed(train_id, "_tid")
-    pairs = knn_join(queries, renamed, features, query_id, "_tid", k)
-    values = pairs.join(renamed.select("_tid", F.col(target).cast("double").alias("_y")), "_tid")
-    zero = F.col("distance") == 0
-    inverse = F.try_divide(F.lit(1.0), F.col("distance"))
-    sums = values.groupBy(query_id).agg(
-        F.avg(F.when(zero, F.col("_y"))).alias("same"),
-        (F.sum(inverse * F.col("_y")) / F.sum(inverse)).alias("weighted"))
-    return sums.select(query_id, F.coalesce("same", "weighted").alias("prediction"))
+    return build_index(train, features, train_id, target).regress(queries, query_id, k)
+
+
+def approximate_join(queries: DataFrame, train: DataFrame, features: Sequence[str], query_id: str, train_id: str, k: int = 15,
+                     tables: int = 12, bits: int = 6, probes: int = 6, seed: int = 42) -> DataFrame:
+    """``query_id, train_id, distance`` of the k nearest among rows that fall on the query's side of random planes.
+
+    Random-projection hashing: in each of ``tables`` tables a row's key is the sign pattern of ``bits`` projections of the
+    centred features; a query looks at its own key and at those that differ in one of the ``probes`` projections nearest to
+    zero. Not exact: recall depends on the data and should be measured against :func:`knn_join`. Keys that hold many rows are
+    cut into blocks like cells.
+    """
+    features = list(features)
+    means = train.agg(*[F.avg(F.col(c).cast("double")) for c in features]).first()
+    planes = np.random.default_rng(seed).normal(size=(tables, len(features), bits))
+    centre = np.array(list(means), float)
+    powers = 1 << np.arange(bits)
+
+    def keys(values: np.ndarray, query: bool) -> list[list[int]]:
+        out = [[] for _ in values]
+        for number, plane in enumerate(planes):
+            side = (values - centre) @ plane
+            base = (side > 0) @ powers
+            near = np.argsort(np.abs(side), axis=1)[:, :probes] if query else np.zeros((len(values), 0), int)
+            for i, b in enumerate(base.tolist()):
+                out[i] += [number << bits | b, *(number << bits | (b ^ (1 << int(p))) for p in near[i])]
+        return out
+
+    vector = F.array(*[F.col(c).cast("double") for c in features])
+    q = queries.select(F.col(query_id).alias("qid"), vector.alias("qx"))
+    t = train.select(F.col(train_id).alias("tid"), vector.alias("tx"))
+
+    def query_keys(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield pdf.assign(cells=[np.array(c, np.int32) for c in keys(np.stack(pdf["qx"].to_numpy()), True)])
+
+    def row_keys(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield pdf.assign(cells=[np.array(c, np.int32) for c in keys(np.stack(pdf["tx"].to_numpy()), False)])
+
+    asked = q.mapInPandas(query_keys, f"qid {dict(q.dtypes)['qid']}, qx array<double>, cells array<int>")
+    placed = materialised(t.mapInPandas(row_keys, f"tid {dict(t.dtypes)['tid']}, tx array<double>, cells array<int>")
+                          .select("tid", "tx", F.explode("cells").alias("cell")))
+    cells = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))     # at most tables * 2^bits
+    return _search(asked, placed, cells, k, once=True).select(F.col("qid").alias(query_id), F.col("tid").alias(train_id if train_id != query_id else "neighbour_id"), "distance")

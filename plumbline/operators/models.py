@@ -17,14 +17,15 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.cells import target_forward, target_inverse
 from plumbline.operators.boosting import BoostedTrees, BoostSettings, Ensemble, fit_boosted
 from plumbline.operators.gram import SOLVERS, Moments, by_fold, fit_lines, fold_moments
+from plumbline.operators.knn import NeighbourIndex, build_index
 from plumbline.operators.ordering import modes
-from plumbline.operators.scale import fit_standard
+from plumbline.operators.scale import Scaler, fit_standard
 from plumbline.operators.split import fit_folds
 from plumbline.session import materialised
 
@@ -192,7 +193,7 @@ def out_of_fold(df: DataFrame, spec: ModelSpec, features: Sequence[str], label:
 
 
 def _fit_all(folded: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, key: str, k: int,
-             whole: bool = True, moments: dict[int, Moments] | None = None) -> tuple[PipelineModel | None, DataFrame | None]:
+             whole: bool = True, moments: dict[int, Moments] | None = None) -> tuple[PipelineModel | Neighbours | None, DataFrame | None]:
     """The model of all rows (if ``whole``) and, with ``k`` folds, every row's prediction by the model of the other folds.
 
     Linear models take all fits from one pass over the rows, boosted trees grow all folds in the same jobs; other models are
@@ -207,23 +208,50 @@ def _fit_all(folded: DataFrame, spec: ModelSpec, features: Sequence[str], label:
         return found[0], union_boards(parts) if parts else None
     parts = [_held_out(folded.filter(F.col("_fold") != i), folded.filter(F.col("_fold") == i), spec, features, label, key)[0]
              for i in range(1, k + 1)]
-    model = fit_model(folded, spec, features, label) if whole and spec.kind != "knn" else None
+    model = None
+    if whole:
+        model = fit_neighbours(folded, spec, features, label, key) if spec.kind == "knn" else fit_model(folded, spec, features, label)
     return model, union_boards(parts) if parts else None
 
 
 def _held_out(train: DataFrame, rows: DataFrame, spec: ModelSpec, features: Sequence[str], label: str,
-              key: str) -> tuple[DataFrame, PipelineModel | None]:
-    """``rows`` with a prediction on the label's scale; k-NN keeps no model but its rows."""
+              key: str) -> tuple[DataFrame, PipelineModel | Neighbours]:
+    """``rows`` with a prediction on the label's scale, and what made it."""
     if spec.kind != "knn":
         model = fit_model(train, spec, features, label)
         return predict(model, rows), model
-    from plumbline.operators.knn import knn_regress
+    model = fit_neighbours(train, spec, features, label, key)
+    return model.predict(rows, key), model
 
+
+@dataclass
+class Neighbours:
+    """A fitted k-NN regressor: the scaling of its features and an index of its training rows."""
+
+    scaler: Scaler
+    index: NeighbourIndex
+    k: int
+
+    def predict(self, rows: DataFrame, key: str) -> DataFrame:
+        near = self.index.regress(self.scaler.transform(rows.select(key, *self.index.features)), key, self.k)
+        return rows.join(near, key)
+
+    def save(self, path: str) -> None:
+        self.index.save(f"{path}/index")
+        head = [(self.k, list(self.scaler.columns), list(self.scaler.shift), list(self.scaler.width))]
+        self.index.rows.sparkSession.createDataFrame(head, "k int, columns array<string>, shift array<double>, width array<double>").coalesce(
+            1).write.mode("overwrite").parquet(f"{path}/scaler")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Neighbours:
+        head = spark.read.parquet(f"{path}/scaler").head()
+        return cls(Scaler(tuple(head["columns"]), tuple(head["shift"]), tuple(head["width"])), NeighbourIndex.load(spark, f"{path}/index"), head["k"])
+
+
+def fit_neighbours(train: DataFrame, spec: ModelSpec, features: Sequence[str], label: str, key: str) -> Neighbours:
     scaler = fit_standard(train, columns=list(features))
-    near = knn_regress(scaler.transform(rows.select(key, *features)),
-                       scaler.transform(train.select(key, *features, label)), features, key, key, label,
-                       int(spec.params.get("k", 15)))
-    return rows.join(near, key), None
+    scaled = scaler.transform(train.select(key, *features, label))
+    return Neighbours(scaler, build_index(scaled, features, key, label), int(spec.params.get("k", 15)))
 
 
 def side_by_side(jobs: Sequence[Callable[[], object]], df: DataFrame, most: int = IN_FLIGHT) -> list:
@@ -276,7 +304,7 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: Sequence[str
 
 def leaderboard(train: DataFrame, test: DataFrame, features: Sequence[str], target: str, key: str,
                 specs: Sequence[ModelSpec], target_transform: str = "log1p", folds: int = 5,
-                seed: int = 42) -> tuple[DataFrame, dict[str, PipelineModel | None]]:
+                seed: int = 42) -> tuple[DataFrame, dict[str, PipelineModel | Neighbours]]:
     """Out-of-fold and hold-out metrics per model on the original scale, best RMSE first.
 
     ``folds=0`` leaves the out-of-fold columns empty.
@@ -289,9 +317,9 @@ def leaderboard(train: DataFrame, test: DataFrame, features: Sequence[str], targ
     lines = [s for s in specs if s.kind in SOLVERS]
     moments = fold_moments(with_label, [*features, label], "_fold" if folds else None) if lines else None
 
-    def run(spec: ModelSpec) -> tuple[PipelineModel | None, list[tuple]]:
+    def run(spec: ModelSpec) -> tuple[PipelineModel | Neighbours, list[tuple]]:
         model, oof = _fit_all(with_label, spec, features, label, key, folds, moments=moments if spec in lines else None)
-        scored = predict(model, test) if model else _held_out(with_label, test, spec, features, label, key)[0]
+        scored = model.predict(test, key) if isinstance(model, Neighbours) else predict(model, test)
         sides = [("test", scored)] + ([("train", oof)] if folds else [])
         return model, [_board_row(_inverted(rows, target_transform), target, spec.name, part, len(features)) for part, rows in sides]
 

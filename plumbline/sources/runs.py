@@ -9,20 +9,29 @@ from datetime import datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.operators.models import Neighbours
 from plumbline.sources.files import list_names
 
 RUN_SCHEMA = ("run_id string, parent_run_id string, name string, started timestamp, params map<string,string>, "
               "metrics map<string,double>, tags map<string,string>")
 
 
-def save_model(model: PipelineModel, folder: str, name: str) -> str:
+def save_model(model: PipelineModel | Neighbours, folder: str, name: str) -> str:
     path = f"{str(folder).rstrip('/')}/{name}"
-    model.write().overwrite().save(path)
+    if isinstance(model, Neighbours):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
-def load_model(folder: str, name: str) -> PipelineModel:
-    return PipelineModel.load(f"{str(folder).rstrip('/')}/{name}")
+def load_model(folder: str, name: str, spark: SparkSession | None = None) -> PipelineModel | Neighbours:
+    """A stored pipeline, or the k-NN model that lies there."""
+    path = f"{str(folder).rstrip('/')}/{name}"
+    spark = spark or SparkSession.getActiveSession()
+    if "index" in list_names(spark, path):
+        return Neighbours.load(spark, path)
+    return PipelineModel.load(path)
 
 
 def model_names(spark: SparkSession, folder: str) -> list[str]:

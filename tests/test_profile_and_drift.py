@@ -1,3 +1,5 @@
+import itertools
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +85,36 @@ def test_z_bounds_fall_back_to_percentiles(spark):
     spread = np.std(np.arange(101), ddof=1)
     assert bounds["wide"] == pytest.approx((50 - 2 * spread, 50 + 2 * spread))
     assert calibrate.tail_bounds(ref, ["wide"])["wide"] == pytest.approx((1.0, 99.0))
+
+
+def plain_ks(a, b):
+    both = np.concatenate((a, b))
+    return max(abs(np.searchsorted(np.sort(a), both, "right") / len(a) - np.searchsorted(np.sort(b), both, "right") / len(b)))
+
+
+def test_ks_opens_few_stretches_and_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(drift, "FEW_ROWS", 400)
+    monkeypatch.setattr(drift, "CUTS", 40)
+    r = np.random.default_rng(8)
+    sides = []
+    for shift, n in ((0.0, 3_000), (0.1, 2_000)):
+        x = np.column_stack([r.normal(size=n) + shift, r.integers(0, 6, n) + (r.random(n) < shift), np.full(n, 5.0), r.exponential(size=n)])
+        sides.append(x)
+    build = lambda x: spark.createDataFrame(
+        [tuple(float(v) for v in row) + (None,) for row in x], "a double, b double, c double, d double, e double")
+    got = {row["column"]: row["ks"] for row in drift.ks_statistic(build(sides[0]), build(sides[1])).collect()}
+    for i, c in enumerate("abcd"):
+        assert got[c] == pytest.approx(plain_ks(sides[0][:, i], sides[1][:, i]), abs=1e-12)
+    assert got["e"] is None
+
+
+def test_exact_p_values_equal_enumeration():
+    for n in range(1, 6):
+        for m in range(1, 6):
+            gaps = []
+            for places in itertools.combinations(range(n + m), n):
+                r = np.cumsum([i in places for i in range(n + m)])
+                gaps.append(max(abs(r / n - (np.arange(1, n + m + 1) - r) / m)))
+            for ks in set(gaps):
+                assert drift.ks_exact_p(ks, n, m) == pytest.approx(np.mean([g >= ks - 1e-9 for g in gaps]))
+    assert drift.ks_exact_p(1.0, 8, 8) == pytest.approx(2 / 12870)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import knn, models, scale, score, split
 from plumbline.operators.models import ModelSpec
+from plumbline.sources import runs
 
 
 def test_scaling_population_sd_constants_and_gaps(spark):
@@ -125,7 +126,7 @@ def test_specs_and_scores(data):
     board, fitted = models.leaderboard(train, test, ["a", "b"], "y", "id", [
         ModelSpec("dummy", "mean"), ModelSpec("knn", "knn", {"k": 5}), ModelSpec("linear", "linear")], "none", folds=2)
     names = [r["model"] for r in board.collect()]
-    assert names[0] == "linear" == models.best_model(board) and fitted["knn"] is None
+    assert names[0] == "linear" == models.best_model(board) and fitted["knn"].k == 5
     assert {"mae_train", "rmse_test", "r2_test"} <= set(board.columns)
 
 
@@ -148,6 +149,38 @@ def test_knn_join_is_exact_with_copies_and_small_blocks(spark, monkeypatch):
         assert list(got[got["qid"] == i]["tid"]) == want[i]
 
 
+def test_a_stored_index_answers_as_the_fitted_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(knn, "ROWS_PER_CELL", 20)
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(400, 2)) * [1, 30]
+    t = spark.createDataFrame([(i, *map(float, p), float(p[0])) for i, p in enumerate(points)], "id bigint, x double, z double, y double")
+    q = spark.createDataFrame([(i, *map(float, p + 0.1)) for i, p in enumerate(points[:30])], "id bigint, x double, z double")
+    fitted = models.fit_neighbours(t, ModelSpec("knn", "knn", {"k": 5}), ["x", "z"], "y", "id")
+    assert len(fitted.index.sizes) > 8 and fitted.index.sizes.sum() == 400
+    runs.save_model(fitted, str(tmp_path), "knn")
+    loaded = runs.load_model(str(tmp_path), "knn", spark)
+    scale = points.std(0)
+    near = brute((points[:30] + 0.1) / scale, points / scale, np.arange(400), 5)
+    for model in (fitted, loaded):
+        got = {r["id"]: r["prediction"] for r in model.predict(q, "id").collect()}
+        for i in range(30):
+            d = np.linalg.norm((points[near[i]] - points[i] - 0.1) / scale, axis=1)
+            assert got[i] == pytest.approx(np.average(points[near[i], 0], weights=1 / d))
+
+
+def test_random_projections_reach_their_recall(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(30, 8)) * 4
+    points = centres[rng.integers(0, 30, 900)] + rng.normal(size=(900, 8))
+    t = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], "tid bigint, " + ", ".join(f"f{i} double" for i in range(8)))
+    q = t.filter("tid % 10 = 0").withColumnRenamed("tid", "qid")
+    features = [f"f{i}" for i in range(8)]
+    got = knn.approximate_join(q, t, features, "qid", "tid", 5).toPandas()
+    want = brute(points[::10], points, np.arange(900), 5)
+    hits = sum(len(set(got[got["qid"] == 10 * i]["tid"]) & set(w)) for i, w in enumerate(want))
+    assert hits >= 0.9 * 5 * len(want) and not got.duplicated(["qid", "tid"]).any()
+
+
 def test_knn_regress_weights_and_exact_matches(spark):
     t = spark.createDataFrame([(0, 0.0, 10.0), (1, 1.0, 20.0), (2, 3.0, 50.0), (3, 1.0, 40.0)], "tid int, x double, y double")
     q = spark.createDataFrame([(0, 1.0), (1, 2.0)], "qid int, x double")
