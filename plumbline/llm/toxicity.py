@@ -33,6 +33,7 @@ HARD_SHARE = 0.2          # of the clean windows, those that an epoch looks thro
 THRESHOLD = 0.7
 WINDOWS_AT_ONCE = 1_024
 WORDS_AT_ONCE = 1 << 15
+FILTER_BYTES = 2 << 20    # text that a filtering task scores at once
 
 LETTER = np.zeros(256, bool)
 LETTER[ord("a"):ord("z") + 1] = True
@@ -451,7 +452,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches):
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, FILTER_BYTES):
             keep = shared.value.scores(texts_of(batch.column(text))) < THRESHOLD
             yield batch.filter(pa.array(keep))
         release_memory()
