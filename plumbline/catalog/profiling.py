@@ -215,7 +215,9 @@ def corr_matrix(spark, folder):
 
 
 def embeddings(spark, folder):
-    return table(spark, folder, "embeddings").select(
+    whole = F.when(F.size("embedding") == WIDTH, F.col("embedding")).otherwise(   # never a prefix of a longer vector
+        F.raise_error(F.lit(f"an embedding is not of length {WIDTH}")).cast("array<float>"))
+    return table(spark, folder, "embeddings").withColumn("embedding", whole).select(
         "vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(WIDTH)])
 
 
