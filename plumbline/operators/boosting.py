@@ -1,11 +1,12 @@
 """Gradient-boosted trees from histograms: second-order gains, a leaf penalty, rows and columns sampled per tree.
 
 Features are cut into at most ``bins`` quantile bins once. Rows then live as blocks (bin numbers, label, fold and the margins
-of all models), and a level of a tree is one job: each task adds the gradients and curvatures of its blocks up per node,
-feature and bin; sums of one feature meet in one task, which returns that feature's best split per node. The driver sees a
-few numbers per node and feature, never a histogram, and no row is shuffled. Models of the folds grow in the same jobs, so
-five folds cost no more rounds of jobs than one model. Blocks are settled every ``SETTLE`` rounds with the margins so far.
-Rows that fill one block at most lie in one task, which takes the same steps without asking, many rounds a job.
+of all models), dealt evenly over tasks. Up to ``TASK_ROWS`` rows a model is one task, models of the folds side by side. Beyond,
+a level of a tree is one short job for the models of all folds: each task adds the gradients and curvatures of its blocks up
+per open node, feature and bin, and the driver adds the tasks' sums, whose size follows from nodes and bins, not from rows.
+Where those sums are wide, those of one feature meet in one task instead, which returns that feature's best split per node. No
+row is shuffled once the blocks are dealt; margins are carried from round to round in executors' memory and settled every
+``SETTLE`` rounds.
 """
 
 from __future__ import annotations
@@ -14,21 +15,24 @@ import json
 import pickle
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import RDD, StorageLevel, keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.session import materialised
+from plumbline.session import materialised, side_by_side
 
 BLOCK_ROWS = 1 << 16
-SETTLE = 8                 # rounds between writing margins; a pass applies at most that many trees to a row
+TASK_ROWS = 1 << 18        # a model of at most so many rows grows in one task
+GATHERED_BYTES = 32 << 20  # of sums that the driver adds up per level
+SETTLE = 16                # rounds between writing margins
 SKETCH = 100_000           # accuracy of the quantile sketch: exact ranks for up to about that many distinct values
 
 
@@ -88,15 +92,15 @@ class Trees:
 
 def leaf_of(feature: np.ndarray, cut: np.ndarray, bins: np.ndarray) -> np.ndarray:
     """The node where each row stops."""
-    at = np.zeros(bins.shape[1], np.int64)
-    rows = np.arange(bins.shape[1])
-    if feature[0] < 0:
-        return at
-    while len(rows):
-        here = at[rows]
-        here = 2 * here + 1 + (bins[feature[here], rows] > cut[here])
-        at[rows] = here
-        rows = rows[feature[here] >= 0]
+    rows, nodes = bins.shape[1], np.arange(len(feature))
+    at, place = np.zeros(rows, np.int64), np.arange(rows)
+    inner = feature >= 0
+    following = np.where(inner, [2 * nodes + 1, 2 * nodes + 2], nodes).T.ravel()     # of a leaf itself
+    start, flat = np.where(inner, feature, 0).astype(np.int64) * rows, np.ascontiguousarray(bins).ravel()
+    level = nodes[:1]
+    while inner[level].any():
+        at = following.take(2 * at + (flat.take(start.take(at) + place) > cut.take(at)))
+        level = np.unique(following[2 * level[inner[level], None] + [0, 1]])
     return at
 
 
@@ -257,26 +261,16 @@ def _sampled(settings: BoostSettings, round_: int, block: int, rows: int) -> np.
     return np.random.default_rng([settings.seed, round_, block]).random(rows) < settings.subsample
 
 
-def _add_sums(total: dict[tuple[int, int], np.ndarray], number: int, block: Block, recent: list[Trees] | None,
-              growing: list[_Growing], round_: int, settings: BoostSettings, folds: bool) -> None:
+def _add_sums(total: dict[tuple[int, int], np.ndarray], number: int, block: Block, growing: list[_Growing], round_: int,
+              settings: BoostSettings, folds: bool, widths: list[int]) -> None:
     """Add a block's gradients and curvatures per open node and bin, [2, open, bins] by (model, feature), to ``total``."""
-    rows, width = _sampled(settings, round_, number, len(block.y)), settings.bins
     for m, tree in enumerate(growing):
-        if not tree.open:
-            continue
-        use = np.flatnonzero(rows & (block.fold != m) if folds and m else rows)
-        part = Block(block.bins[:, use], block.y[use], block.fold[use], block.margins[m:m + 1, use])
-        g, h = gradients(part, part.margins + recent[m].margins(part.bins) if recent else part.margins, settings.loss)
-        place = np.full(len(tree.feature), -1)
-        place[tree.open] = np.arange(len(tree.open))
-        at = place[leaf_of(tree.feature, tree.bin, part.bins)]
-        inside = at >= 0
-        at, g, h = at[inside] * width, g[0, inside], h[0, inside]
-        size, shape = len(tree.open) * width, (2, len(tree.open), width)
-        for f in tree.columns:
-            cell = at + part.bins[f, inside]
-            sums = np.stack((np.bincount(cell, g, size), np.bincount(cell, h, size))).reshape(shape)
-            total[m, f] = total[m, f] + sums if (m, f) in total else sums
+        if tree.open:
+            rows = _ModelRows(number, block, m, folds)
+            rows.sample(round_, tree.columns, settings)
+            rows.find(tree)
+            sums = [total.setdefault((m, f), np.zeros((2, len(tree.open), widths[f]))) for f in tree.columns]
+            rows.add(sums, settings)
 
 
 def _best_of(m: int, f: int, sums: np.ndarray, settings: BoostSettings) -> dict:
@@ -293,38 +287,48 @@ def _best_of(m: int, f: int, sums: np.ndarray, settings: BoostSettings) -> dict:
             "hl": hl[row, best].tolist(), "gt": gt[:, 0].tolist(), "ht": ht[:, 0].tolist()}
 
 
-SPLIT_COLUMNS = ("gain", "bin", "gl", "hl", "gt", "ht")
-SPLITS = pa.schema([("model", pa.int64()), ("feature", pa.int64()), *[(c, pa.list_(pa.float64())) for c in SPLIT_COLUMNS]])
+def _level_sums(kept: RDD, features: int, growing: list[_Growing], round_: int, settings: BoostSettings, folds: bool,
+                widths: list[int]) -> RDD:
+    """((model, feature), sums) of each task's blocks."""
+    def sums(rows):
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for number, blob in sorted(rows):
+            _add_sums(total, number, Block.unpack(blob, features), growing, round_, settings, folds, widths)
+        yield from ((key, s.tobytes()) for key, s in total.items())
+
+    return kept.mapPartitions(sums)
+
+
+def _added(growing: list[_Growing], widths: list[int]) -> Callable:
+    def add(total: dict[tuple[int, int], np.ndarray], key: tuple[int, int], sums: bytes) -> None:
+        s = np.frombuffer(sums).reshape(2, len(growing[key[0]].open), widths[key[1]])
+        total[key] = total[key] + s if key in total else s
+
+    return add
 
 
-def _best_splits(blocks: DataFrame, features: int, recent: list[Trees], growing: list[_Growing], round_: int,
-                 settings: BoostSettings, folds: bool) -> list:
+def _sums_to_driver(kept: RDD, features: int, growing: list[_Growing], round_: int, settings: BoostSettings, folds: bool,
+                    widths: list[int]) -> list:
     """One job: what :func:`_best_of` finds over all blocks, per model and feature."""
-    opened = [len(t.open) for t in growing]
+    total, add = {}, _added(growing, widths)
+    for key, sums in _level_sums(kept, features, growing, round_, settings, folds, widths).collect():    # at most GATHERED_BYTES
+        add(total, key, sums)
+    return [_best_of(m, f, s, settings) for (m, f), s in total.items()]
 
-    def sums(batches):
-        total: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for number, blob in zip(batch.column("block").to_pylist(), batch.column("blob").to_pylist(), strict=True):
-                _add_sums(total, number, Block.unpack(blob, features), recent, growing, round_, settings, folds)
-        if total:
-            keys = np.array(list(total))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]),
-                                              pa.array([_packed(s=s) for s in total.values()], pa.binary())],
-                                             names=["model", "feature", "sums"])
-
-    def best(batches):
+
+def _sums_meet(kept: RDD, features: int, growing: list[_Growing], round_: int, settings: BoostSettings, folds: bool,
+               widths: list[int]) -> list:
+    """The same for wide sums: those of a model and feature are added in one task, which returns its best splits."""
+    add = _added(growing, widths)
+
+    def best(rows):
         total: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for m, f, blob in zip(*(batch.column(c).to_pylist() for c in ("model", "feature", "sums")), strict=True):
-                s = np.frombuffer(pa.ipc.open_stream(blob).read_all().column("s")[0].as_py()).reshape(2, opened[m], settings.bins)
-                total[m, f] = total[m, f] + s if (m, f) in total else s
-        if total:
-            yield pa.RecordBatch.from_pylist([_best_of(m, f, s, settings) for (m, f), s in total.items()], SPLITS)
+        for key, sums in rows:
+            add(total, key, sums)
+        return [_best_of(m, f, s, settings) for (m, f), s in total.items()]
 
-    columns = ", ".join(f"{c} array<double>" for c in SPLIT_COLUMNS)
-    partial = blocks.mapInArrow(sums, "model long, feature long, sums binary")
-    return partial.repartition("model", "feature").mapInArrow(best, f"model long, feature long, {columns}").collect()
+    return _level_sums(kept, features, growing, round_, settings, folds, widths).partitionBy(
+        max(1, min(kept.getNumPartitions(), len(growing) * features))).mapPartitions(best).collect()
 
 
 def _split_level(tree: _Growing, rows: list, settings: BoostSettings, last: bool) -> None:
@@ -372,28 +376,74 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str, settings: Bo
     parts = max(1, -(-rows // BLOCK_ROWS))
     dealt = df.coalesce(parts) if df.rdd.getNumPartitions() > parts else df
     blocks = materialised(_blocks(dealt, features, label, fold, cuts, base), spread=False)
-    trees = [Trees.empty(settings.depth) for _ in range(models)]
-    if blocks.rdd.getNumPartitions() == 1:      # at most a block or so of rows: one task sees them all and need not ask
-        for start in range(0, settings.rounds, SETTLE * 4):
-            trees = _rounds_in_a_task(blocks, len(features), trees, start, min(settings.rounds, start + SETTLE * 4), settings, folds > 0)
-        return [Ensemble(features, cuts, float(b), settings.loss, t) for b, t in zip(base, trees, strict=True)]
-    recent = 0
+    ensembles = lambda found: [Ensemble(features, cuts, float(b), settings.loss, t) for b, t in zip(base, found, strict=True)]     # noqa: E731
+    widths = [len(c) + 1 for c in cuts]
+    if rows <= TASK_ROWS:
+        one = blocks.coalesce(1)
+        return ensembles(side_by_side([partial(_in_a_task, one, len(features), m, settings, folds > 0, widths) for m in range(models)], df,
+                                      max(1, min(models, df.sparkSession.sparkContext.defaultParallelism))))
+    held = sorted((r["block"], r["bytes"]) for r in blocks.select("block", F.length("blob").alias("bytes")).collect())   # two numbers a block
+    tasks = max(1, min(len(held), df.sparkSession.sparkContext.defaultParallelism))
+    kept = _dealt(blocks, held, tasks).rdd.map(lambda r: (r["block"], bytes(r["blob"]))).persist(StorageLevel.MEMORY_AND_DISK)
+    widest = sum(sorted(widths, reverse=True)[:_count(settings, len(cuts))])
+    narrow = tasks * models * 2 ** max(0, settings.depth - 1) * widest * 16 <= GATHERED_BYTES
+    best = _sums_to_driver if narrow else _sums_meet
+    trees, first = [Trees.empty(settings.depth) for _ in range(models)], kept
     for round_ in range(settings.rounds):
-        late = [t.last(recent) for t in trees]
-        trees = _grown(trees, round_, settings, len(features), lambda growing: _best_splits(
-            blocks, len(features), late, growing, round_, settings, folds > 0))
-        recent += 1
-        if recent == SETTLE and round_ + 1 < settings.rounds:
-            blocks, recent = materialised(_advanced(blocks, len(features), [t.last(recent) for t in trees]), spread=False), 0
-    return [Ensemble(features, cuts, float(b), settings.loss, t) for b, t in zip(base, trees, strict=True)]
+        before = kept
+        if round_:
+            kept = _carried(first, kept, len(features), trees, round_)
+        trees = _grown(trees, round_, settings, len(features), lambda growing, kept=kept, round_=round_: best(
+            kept, len(features), growing, round_, settings, folds > 0, widths))
+        if before is not kept and before is not first:
+            before.unpersist()
+    kept.unpersist()
+    first.unpersist()
+    return ensembles(trees)
+
+
+def _carried(first: RDD, kept: RDD, features: int, trees: list[Trees], round_: int) -> RDD:
+    """The blocks with the margins after the newest trees, computed by the next job; now and then written or made from the first ones."""
+    settle, folder = round_ % SETTLE == 0, first.context.getCheckpointDir()
+    start, more = (first, trees) if settle and folder is None else (kept, [t.last(1) for t in trees])
+
+    def run(rows):
+        for number, blob in rows:
+            block = Block.unpack(blob, features)
+            block.margins = block.margins + np.stack([t.margins(block.bins) for t in more])
+            yield number, block.pack()
+
+    out = start.mapPartitions(run).persist(StorageLevel.MEMORY_AND_DISK)
+    if settle and folder is not None:
+        out.checkpoint()
+    return out
+
+
+def _dealt(blocks: DataFrame, held: list[tuple[int, int]], tasks: int) -> DataFrame:
+    """The blocks in ``tasks`` partitions of about the same size."""
+    load, task_of = [0] * tasks, {}
+    for block, size in sorted(held, key=lambda b: (-b[1], b[0])):
+        task_of[block] = load.index(min(load))
+        load[task_of[block]] += size
+    numbers = F.create_map(*[F.lit(x) for pair in task_of.items() for x in pair])
+    return blocks.repartitionById(tasks, F.element_at(numbers, F.col("block")))
+
+
+def _count(settings: BoostSettings, features: int) -> int:
+    """Features that a tree may use."""
+    return max(1, int(settings.columns * features))
+
+
+def _seedling(settings: BoostSettings, round_: int, model: int, features: int) -> _Growing:
+    """A tree of its root, with the features it may use."""
+    nodes = 2 ** (settings.depth + 1) - 1
+    chosen = np.random.default_rng([settings.seed, round_, model]).choice(features, _count(settings, features), replace=False)
+    return _Growing(np.full(nodes, -1, np.int32), np.zeros(nodes, np.int32), np.zeros(nodes), sorted(chosen.tolist()), [0])
 
 
 def _grown(trees: list[Trees], round_: int, settings: BoostSettings, features: int, best: Callable[[list[_Growing]], list]) -> list[Trees]:
     """Every model's trees and one more each, split level by level by what ``best`` finds."""
-    nodes, count = 2 ** (settings.depth + 1) - 1, max(1, int(settings.columns * features))
-    growing = [_Growing(np.full(nodes, -1, np.int32), np.zeros(nodes, np.int32), np.zeros(nodes),
-                        sorted(np.random.default_rng([settings.seed, round_, m]).choice(features, count, replace=False).tolist()), [0])
-               for m in range(len(trees))]
+    growing = [_seedling(settings, round_, m, features) for m in range(len(trees))]
     for level in range(settings.depth):
         if not any(t.open for t in growing):
             break
@@ -403,39 +453,87 @@ def _grown(trees: list[Trees], round_: int, settings: BoostSettings, features: i
     return [t.with_tree(g.feature, g.bin, g.value) for t, g in zip(trees, growing, strict=True)]
 
 
-def _rounds_in_a_task(blocks: DataFrame, features: int, trees: list[Trees], start: int, end: int, settings: BoostSettings,
-                      folds: bool) -> list[Trees]:
-    """Some rounds over blocks that lie in one partition, by the same steps, in one job."""
-    def run(batches):
-        held = [(n, Block.unpack(b, features)) for batch in batches
-                for n, b in zip(batch.column("block").to_pylist(), batch.column("blob").to_pylist(), strict=True)]
-        found = trees
-        for _, block in held:
-            block.margins = block.margins + np.stack([t.margins(block.bins) for t in found])
-        for round_ in range(start, end):
-            def best(growing, round_=round_):
-                total: dict[tuple[int, int], np.ndarray] = {}
-                for number, block in held:
-                    _add_sums(total, number, block, None, growing, round_, settings, folds)
-                return [_best_of(m, f, s, settings) for (m, f), s in total.items()]
-
-            found = _grown(found, round_, settings, features, best)
-            for _, block in held:
-                block.margins += np.stack([t.last(1).margins(block.bins) for t in found])
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(found)], pa.binary())], names=["trees"])
-
-    return pickle.loads(blocks.mapInArrow(run, "trees binary").head()["trees"])
-
-
-def _advanced(blocks: DataFrame, features: int, recent: list[Trees]) -> DataFrame:
-    """Blocks with the margins after some more trees."""
+def _in_a_task(one: DataFrame, features: int, model: int, settings: BoostSettings, folds: bool, widths: list[int]) -> Trees:
+    """A model's trees from one task over blocks in one partition, by the same steps."""
     def run(batches):
-        for batch in batches:
-            packed = []
-            for blob in batch.column("blob").to_pylist():
-                block = Block.unpack(blob, features)
-                block.margins = block.margins + np.stack([t.margins(block.bins) for t in recent])
-                packed.append(block.pack())
-            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(packed, pa.binary())], names=["block", "blob"])
-
-    return blocks.mapInArrow(run, BLOCK_SCHEMA)
+        held = sorted(((n, Block.unpack(b, features)) for batch in batches
+                       for n, b in zip(batch.column("block").to_pylist(), batch.column("blob").to_pylist(), strict=True)), key=lambda x: x[0])
+        rows = [_ModelRows(n, b, model, folds) for n, b in held]
+        found = []
+        for round_ in range(settings.rounds):
+            tree = _seedling(settings, round_, model, features)
+            for r in rows:
+                r.sample(round_, tree.columns, settings)
+            for level in range(settings.depth):
+                if not tree.open:
+                    break
+                sums = [np.zeros((2, len(tree.open), widths[f])) for f in tree.columns]
+                for r in rows:
+                    r.add(sums, settings)
+                opened = tree.open
+                _split_level(tree, [_best_of(model, f, s, settings) for f, s in zip(tree.columns, sums, strict=True)],
+                             settings, level == settings.depth - 1)
+                for r in rows:
+                    r.follow(tree, opened)
+            for r in rows:
+                r.margin += tree.value[leaf_of(tree.feature, tree.bin, r.block.bins)]
+            found.append((tree.feature, tree.bin, tree.value))
+        trees = Trees(*(np.stack(x) for x in zip(*found, strict=True))) if found else Trees.empty(settings.depth)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(trees)], pa.binary())], names=["trees"])
+
+    return pickle.loads(one.mapInArrow(run, "trees binary").head()["trees"])
+
+
+class _ModelRows:
+    """A block's rows for one model; of the tree that grows, the sampled rows that lie in open nodes."""
+
+    def __init__(self, number: int, block: Block, model: int, folds: bool):
+        self.number, self.block, self.margin = number, block, block.margins[model].copy()
+        self.inside = block.fold != model if folds and model else None
+
+    def sample(self, round_: int, columns: list[int], settings: BoostSettings) -> None:
+        rows = _sampled(settings, round_, self.number, len(self.block.y))
+        use = np.flatnonzero(rows if self.inside is None else rows & self.inside)
+        self.bins = [self.block.bins[f].take(use) for f in columns]
+        part = Block(self.block.bins[:0], self.block.y[use], self.block.fold[:0], self.margin[None, use])
+        (self.g,), (self.h,) = gradients(part, part.margins, settings.loss)
+        self.at = np.zeros(len(use), np.int64)
+
+    def find(self, tree: _Growing) -> None:
+        """The open nodes of a tree that has grown some levels already."""
+        if tree.feature[0] < 0:
+            return
+        local = np.where(tree.feature >= 0, np.searchsorted(tree.columns, tree.feature), -1)
+        place = np.full(len(tree.feature), -1)
+        place[tree.open] = np.arange(len(tree.open))
+        self.at = place[leaf_of(local, tree.bin, np.stack(self.bins))]
+        self._stay()
+
+    def add(self, sums: list[np.ndarray], settings: BoostSettings) -> None:
+        """Gradients and curvatures per open node and bin, added to the ``sums`` of each column."""
+        for bins, total in zip(self.bins, sums, strict=True):
+            _, opened, width = total.shape
+            cell = self.at * width + bins
+            total[0] += np.bincount(cell, self.g, opened * width).reshape(opened, width)
+            total[1] += np.bincount(cell, None if settings.loss == "squared" else self.h, opened * width).reshape(opened, width)
+
+    def follow(self, tree: _Growing, opened: list[int]) -> None:
+        """Rows of the nodes that were ``opened`` go on to the nodes that are open now; others leave."""
+        place = np.full(len(tree.feature), -1)
+        place[tree.open] = np.arange(len(tree.open))
+        nodes = np.array(opened)
+        split = tree.feature[nodes] >= 0
+        following = np.where(split, place[np.minimum([2 * nodes + 1, 2 * nodes + 2], len(place) - 1)], -1).T.ravel()
+        column = np.where(split, np.searchsorted(tree.columns, tree.feature[nodes]), -1)
+        bins, cut, side = np.zeros(len(self.at), np.uint8), tree.bin[nodes], column.take(self.at)
+        for i, values in enumerate(self.bins):
+            np.copyto(bins, values, where=side == i)
+        self.at = following.take(2 * self.at + (bins > cut.take(self.at)))
+        if (following < 0).any():
+            self._stay()
+
+    def _stay(self) -> None:
+        stay = np.flatnonzero(self.at >= 0)
+        if len(stay) < len(self.at):
+            self.at, self.g, self.h = self.at[stay], self.g[stay], self.h[stay]
+            self.bins = [b[stay] for b in self.bins]

@@ -6,13 +6,10 @@ it can be saved, loaded and applied on its own.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -27,9 +24,8 @@ from plumbline.operators.knn import NeighbourIndex, build_index
 from plumbline.operators.ordering import modes
 from plumbline.operators.scale import Scaler, fit_standard
 from plumbline.operators.split import fit_folds
-from plumbline.session import materialised
+from plumbline.session import materialised, side_by_side
 
-IN_FLIGHT = 4    # models that are fitted at the same time
 MAX_DEPTH = 30   # the deepest tree Spark builds: stands for "no depth limit"
 
 
@@ -254,34 +250,6 @@ def fit_neighbours(train: DataFrame, spec: ModelSpec, features: Sequence[str], l
     return Neighbours(scaler, build_index(scaled, features, key, label), int(spec.params.get("k", 15)))
 
 
-def side_by_side(jobs: Sequence[Callable[[], object]], df: DataFrame, most: int = IN_FLIGHT) -> list:
-    """Results of ``jobs`` in order, at most ``most`` of them running at once, each in a scheduler pool of its own.
-
-    The first failure cancels what still runs on the cluster, and is raised.
-    """
-    context = df.sparkSession.sparkContext
-    tag = f"side-by-side-{uuid.uuid4().hex}"
-
-    def start(number: int, job: Callable[[], object]):
-        context.setLocalProperty("spark.scheduler.pool", f"model-{number % most}")
-        context.addJobTag(tag)
-        try:
-            return job()
-        finally:
-            context.removeJobTag(tag)
-            context.setLocalProperty("spark.scheduler.pool", None)
-
-    with ThreadPoolExecutor(max(1, min(most, len(jobs)))) as pool:
-        running = [pool.submit(inheritable_thread_target(df.sparkSession)(start), i, job) for i, job in enumerate(jobs)]
-        done, _ = wait(running, return_when=FIRST_EXCEPTION)
-        if any(r.exception() for r in done):
-            for r in running:
-                r.cancel()
-            context.cancelJobsWithTag(tag)
-            raise next(r.exception() for r in done if r.exception())
-        return [r.result() for r in running]
-
-
 def _inverted(scored: DataFrame, target_transform: str) -> DataFrame:
     return scored.withColumn("prediction", target_inverse(F.col("prediction"), target_transform))
 

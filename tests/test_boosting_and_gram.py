@@ -175,3 +175,21 @@ def test_models_side_by_side_stop_at_a_failure(spark):
         models.side_by_side([slow, bad, slow], spark.range(1), most=3)
     assert time.monotonic() - start < 60
     assert models.side_by_side([lambda: 1, lambda: 2, lambda: 3], spark.range(1), most=2) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("gathered", [1 << 20, 0])
+def test_a_level_is_one_job_and_gives_the_trees_of_one_task(table, spark, monkeypatch, gathered):
+    df, x, y, _ = table
+    s = BoostSettings(rounds=5, rate=0.3, depth=3, subsample=0.7, columns=0.75, loss="logistic")
+    once = fit_boosted(df, FEATURES, "t", s, "fold", 3)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 100)
+    monkeypatch.setattr(boosting, "SETTLE", 2)
+    monkeypatch.setattr(boosting, "GATHERED_BYTES", gathered)
+    tag = f"levels-{gathered}"
+    spark.sparkContext.setJobGroup(tag, tag)
+    again = fit_boosted(df, FEATURES, "t", s, "fold", 3)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(tag)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= s.rounds * s.depth + 12        # levels, and what cuts and settles the blocks
+    for a, b in zip(once, again, strict=True):
+        assert (a.trees.feature == b.trees.feature).all() and (a.trees.bin == b.trees.bin).all() and np.allclose(a.trees.value, b.trees.value)
