@@ -15,8 +15,11 @@ from plumbline.operators.profile import bin_ranges, describe, histogram
 from plumbline.operators.tables import as_doubles, shared_numeric_columns, small_table
 
 STATS = ("mean", "sd", "min", "p50", "p95", "max")
-CUTS = 256                 # cut values per pass over a column
-FEW_ROWS = 20_000          # rows that may be looked at one by one
+CUTS = 1_024               # cut values per pass over a column, at least
+CUTS_EACH = 16             # and for each open stretch,
+MOST_CUTS = 32_768         # but not more than these
+SAMPLED = 8                # rows that are looked at for each cut value
+FEW_ROWS = 20_000          # rows whose values are all cuts
 
 
 def compare_stats(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -63,17 +66,23 @@ class _Steps:
                      max(self.gap(s[2] + s[4], s[3]), self.gap(s[2], s[3] + s[5])) > self.best]
 
 
-def _inside(c: str, stretches: list, most: int = 8) -> Column:
-    """Whether a value lies strictly inside a stretch; many stretches are looked at only where a few intervals around them hold."""
-    between = lambda low, high: (F.col(c) > low) & (F.col(c) < high)         # noqa: E731
-    step = -(-len(stretches) // most)
-    near = F.lit(False)
-    for i in range(0, len(stretches), step):
-        near = near | between(F.lit(stretches[i][0]), F.lit(stretches[min(i + step, len(stretches)) - 1][1]))
-    if step == 1:
-        return near
-    edges = F.array(*[F.lit(float(x)) for s in stretches for x in s[:2]])
-    return near & F.exists(F.sequence(F.lit(0), F.lit(len(stretches) - 1)), lambda i: between(F.get(edges, 2 * i), F.get(edges, 2 * i + 1)))
+def _inner_values(both: DataFrame, stretches: dict[str, list], share: float, seed: int) -> dict[str, np.ndarray]:
+    """Ascending values strictly inside the stretches of each column, of a random ``share`` of the rows (all at 1)."""
+    columns = list(stretches)
+    lows, highs = ({c: np.array([x[side] for x in stretches[c]]) for c in columns} for side in (0, 1))
+
+    def run(batches):
+        for batch in batches:
+            for i, c in enumerate(columns):
+                x = np.asarray(batch.column(c).drop_null(), np.float64)
+                at = np.searchsorted(lows[c], x, side="left") - 1         # the last stretch that begins below the value
+                x = x[(at >= 0) & (x < highs[c][at])]
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([x.tobytes()], pa.binary())], names=["i", "x"])
+
+    rows = both.select(*columns)
+    rows = (rows.sample(share, seed) if share < 1 else rows).mapInArrow(run, "i long, x binary").collect()     # some ten thousand values
+    return {c: np.sort(np.concatenate([np.empty(0), *[np.frombuffer(r["x"]) for r in rows if r["i"] == i]])) for i, c in enumerate(columns)}
 
 
 def _side_counts(both: DataFrame, edges: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -87,11 +96,10 @@ def _side_counts(both: DataFrame, edges: dict[str, np.ndarray]) -> dict[str, np.
             for i, c in enumerate(columns):
                 x = np.asarray(batch.column(c).fill_null(np.nan), np.float64)
                 known = ~np.isnan(x)
-                at = np.searchsorted(edges[c], x[known], side="left")
-                hit = (at < len(edges[c])) & (edges[c][np.minimum(at, len(edges[c]) - 1)] == x[known])
-                place = 2 * at + hit
-                for s in (0, 1):
-                    total[c][s] += np.bincount(place[side[known] == s], minlength=total[c].shape[1])
+                x, width = x[known], total[c].shape[1]
+                at = np.searchsorted(edges[c], x, side="left")
+                hit = (at < len(edges[c])) & (edges[c][np.minimum(at, len(edges[c]) - 1)] == x)
+                total[c] += np.bincount(side[known] * width + 2 * at + hit, minlength=2 * width).reshape(2, width)
         for i, c in enumerate(columns):
             s, place = np.nonzero(total[c])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), i)), pa.array(s), pa.array(place), pa.array(total[c][s, place])],
@@ -99,17 +107,21 @@ def _side_counts(both: DataFrame, edges: dict[str, np.ndarray]) -> dict[str, np.
 
     rows = both.select(*columns, "_ref").mapInArrow(run, "i long, side long, place long, n long").groupBy("i", "side", "place").agg(F.sum("n").alias("n"))
     out = {c: np.zeros((2, 2 * len(e) + 1), np.int64) for c, e in edges.items()}
-    for i, side, place, n in rows.collect():         # two numbers per edge and side
-        out[columns[i]][side, place] = n
+    found = rows.toArrow()                           # two numbers per edge and side
+    i, side, place, n = (np.asarray(found.column(c)) for c in ("i", "side", "place", "n"))
+    for at, c in enumerate(columns):
+        mine = i == at
+        out[c][side[mine], place[mine]] = n[mine]
     return out
 
 
 def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic per column, over all distinct values: ``column, ks, ks_p_asymptotic``.
 
-    Counts at a few hundred cut values give the gap there and bound it in between; only stretches that can hold a greater
-    gap are cut again, until few rows lie in them, which are then looked at one by one. Every pass is an aggregate, so what
-    is shuffled depends on the cuts, not on the rows or their distinct values. A side without values gives nulls.
+    Counts at some cut values give the gap there and bound it in between; only stretches that can hold a greater gap are cut
+    again, each by several values from inside it, until few rows lie in them, which then are all cuts. The cuts come from a
+    random sample of the rows inside, the counts from every row, so the result is exact whatever the cuts. What a pass shuffles
+    depends on the cuts, not on the rows or their distinct values. A side without values gives nulls.
     """
     columns = list(columns or shared_numeric_columns(reference, current))
     both = (as_doubles(reference, columns).withColumn("_ref", F.lit(1))
@@ -120,21 +132,22 @@ def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str
     for s in steps.values():
         if s.n and s.m:
             s.open = [(-math.inf, math.inf, 0, 0, s.n, s.m)]
+    seed, lift = 0, 1
     while any(s.open for s in steps.values()):
-        busy = [c for c in columns if steps[c].open]
-        if sum(sum(x[4] + x[5] for x in steps[c].open) for c in busy) <= FEW_ROWS:
-            _finish(both, {c: steps[c] for c in busy})
-            break
-        points = [i / CUTS for i in range(CUTS + 1)]
-        row = both.agg(*[F.percentile_approx(F.when(_inside(c, steps[c].open), F.col(c)), points, 100 * CUTS).alias(f"q{i}")
-                         for i, c in enumerate(busy)]).first()
+        stretches = {c: s.open for c, s in steps.items() if s.open}
+        inner = max(sum(x[4] + x[5] for x in found) for found in stretches.values())
+        most = max(CUTS, min(MOST_CUTS, CUTS_EACH * max(map(len, stretches.values()))))
+        share = min(1.0, lift * SAMPLED * most / inner) if inner > FEW_ROWS else 1.0
+        values = _inner_values(both, stretches, share, seed)
         edges = {}
-        for i, c in enumerate(busy):
-            borders = {x for s in steps[c].open for x in s[:2] if math.isfinite(x)}
-            edges[c] = np.array(sorted(borders | set(row[f"q{i}"] or ())), float)
+        for c, found in stretches.items():
+            x = np.unique(values[c] if share == 1 else values[c][::max(1, len(values[c]) // most)])
+            edges[c] = np.union1d([b for s in found for b in s[:2] if math.isfinite(b)], x)
         counts = _side_counts(both, edges)
-        for c in busy:
-            steps[c].take(_cut(steps[c].open, edges[c], counts[c]))
+        for c, found in stretches.items():
+            steps[c].take(_cut(found, edges[c], counts[c]))
+        lift = lift if any(map(len, values.values())) else 2 * lift       # a sample may miss them
+        seed += 1
     rows = [(c, s.best if s.n and s.m else None, float(s.n), float(s.m)) for c, s in steps.items()]
     table = small_table(both.sparkSession, rows, "column string, ks double, n_ref double, n_cur double")
     return table.select("column", "ks", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("ks_p_asymptotic"))
@@ -156,21 +169,6 @@ def _cut(stretches: list, edges: np.ndarray, counts: np.ndarray) -> list[tuple[f
     return out
 
 
-def _finish(both: DataFrame, steps: dict[str, _Steps]) -> None:
-    """Look at the values of the last stretches, ``FEW_ROWS`` rows at most, one by one."""
-    columns = list(steps)
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.when(_inside(c, steps[c].open), F.col(c)).alias("value")) for c in columns])
-    found = both.select(F.inline(cells), "_ref").filter("value is not null").groupBy("column", "value").agg(
-        F.sum("_ref").alias("r"), F.sum(1 - F.col("_ref")).alias("c")).collect()
-    for c, s in steps.items():
-        values = sorted((row["value"], row["r"], row["c"]) for row in found if row["column"] == c)
-        for low, high, r, k, _, _ in s.open:
-            for _, more, other in (v for v in values if low < v[0] < high):
-                r, k = r + more, k + other
-                s.best = max(s.best, s.gap(r, k))
-        s.open = []
-
-
 def ks_exact_p(ks: float, n: int, m: int) -> float:
     """Exact two-sided p-value of the two-sample statistic without ties: the share of lattice paths from (0, 0) to (n, m)
     that somewhere come as far from the diagonal as ``ks``. Integer arithmetic, n * m steps."""

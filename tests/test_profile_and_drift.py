@@ -118,3 +118,19 @@ def test_exact_p_values_equal_enumeration():
             for ks in set(gaps):
                 assert drift.ks_exact_p(ks, n, m) == pytest.approx(np.mean([g >= ks - 1e-9 for g in gaps]))
     assert drift.ks_exact_p(1.0, 8, 8) == pytest.approx(2 / 12870)
+
+
+def test_ks_of_like_sides_takes_few_passes(spark, monkeypatch):
+    """Where the gap is as small as the rows between two cuts, nearly every stretch stays open after the first pass."""
+    monkeypatch.setattr(drift, "FEW_ROWS", 400)
+    monkeypatch.setattr(drift, "CUTS", 40)
+    monkeypatch.setattr(drift, "SAMPLED", 2)
+    passes, count = [], drift._side_counts
+    monkeypatch.setattr(drift, "_side_counts", lambda *a: passes.append(1) or count(*a))
+    r = np.random.default_rng(4)
+    x = r.random(12_000)
+    a, b = x[:9_000], x[9_000:]
+    frames = [spark.createDataFrame([(float(v),) for v in side], "x double") for side in (a, b)]
+    got, = drift.ks_statistic(*frames).collect()
+    assert got["ks"] == pytest.approx(plain_ks(a, b), abs=1e-12)
+    assert len(passes) <= 4
