@@ -150,7 +150,16 @@ def fit_model(df: DataFrame, spec: ModelSpec, features: Sequence[str], label: st
     stages.append(VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="error"))
     n = df.count() if spec.kind == "logistic" else None     # its penalty is a share of the rows
     stages.append(_BUILDERS[spec.kind](spec.params, n, label))
-    return Pipeline(stages=stages).fit(df)
+    return _without_summary(Pipeline(stages=stages).fit(df))
+
+
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """Without the training summaries: tasks that score get the model's classifier, and a summary holds the session, which
+    cannot be sent once something was observed in it."""
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._call_java("setSummary", SparkSession.active().sparkContext._jvm.scala.Option.empty())
+    return model
 
 
 def _boosted_model(ensemble: Ensemble) -> PipelineModel:

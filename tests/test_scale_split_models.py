@@ -208,3 +208,16 @@ def test_order_alignment_keeps_large_ids_apart(spark):
     with pytest.raises(ValueError):
         score.align_by_order(ids.withColumn("id", F.when(F.col("target") > 0, F.col("id"))),
                              ids.withColumnRenamed("target", "prediction"), "id")
+
+
+def test_classifiers_score_in_a_session_that_observed_something(spark):
+    """A session that has had an observation cannot be sent to tasks, and a classifier's training summary holds its session."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 5
+    rows = spark.createDataFrame([(float(i % 7), float(i % 3), int(i % 7 > 3)) for i in range(60)], "a double, b double, t int")
+    for kind in ("logistic", "forest_classifier"):
+        model = models.fit_model(rows, ModelSpec("m", kind, {"trees": 3, "depth": 3, "iterations": 20}, scaled=kind == "logistic"), ["a", "b"], "t")
+        assert models.accuracy(models.predict(model, rows), "t").first()["accuracy"] == 1.0
