@@ -221,3 +221,11 @@ def test_classifiers_score_in_a_session_that_observed_something(spark):
     for kind in ("logistic", "forest_classifier"):
         model = models.fit_model(rows, ModelSpec("m", kind, {"trees": 3, "depth": 3, "iterations": 20}, scaled=kind == "logistic"), ["a", "b"], "t")
         assert models.accuracy(models.predict(model, rows), "t").first()["accuracy"] == 1.0
+
+
+def test_rows_are_few_at_once_where_centres_are_many():
+    pdf = pd.DataFrame({"tid": range(10)}, index=range(5, 15))
+    parts = list(knn._in_slices([pdf, pdf[:0]], knn.DISTANCES_AT_ONCE // 3))
+    assert [len(p) for p in parts] == [3, 3, 3, 1] and [i for p in parts for i in p["tid"]] == list(range(10))
+    assert all(list(p.index) == list(range(len(p))) for p in parts)
+    assert [len(p) for p in knn._in_slices([pdf], 2 * knn.DISTANCES_AT_ONCE)] == [1] * 10
