@@ -15,6 +15,9 @@ from plumbline.session import checkpoint_dir
 from plumbline.sources import files, runs
 
 
+FILE_BYTES = 512 << 20     # of text that one task writes
+
+
 def scratch(spark) -> str:
     """A fresh folder beside the checkpoints, which every executor can reach."""
     return f"{checkpoint_dir(spark)}/plumbline-{uuid.uuid4().hex}"
@@ -70,13 +73,14 @@ def csv_text_round_trip(spark, folder):
 @query("""SELECT doc_id AS id, k.k::INT AS copy, CASE k.k WHEN 0 THEN text WHEN 1 THEN chr(10) || text || '"' ELSE '"' || source || '",' || chr(10) || text END AS text
 FROM documents, (SELECT unnest(range(3)) AS k) k""")
 def csv_split_round_trip(spark, folder):
-    """One file of quoted cells with line breaks, read by as many tasks as it has splits."""
+    """Quoted cells with line breaks in a file of up to ``FILE_BYTES``, or as many as it takes, each read by as many tasks as it has splits."""
     path = f"{scratch(spark)}/copies.csv"
     docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("copy"),
                                                     "source", "text")
     text = (F.when(F.col("copy") == 0, F.col("text")).when(F.col("copy") == 1, F.concat(F.lit("\n"), "text", F.lit('"')))
             .otherwise(F.concat(F.lit('"'), "source", F.lit('",\n'), "text")))
-    files.write_table(docs.select("id", "copy", text.alias("text")).coalesce(1), path)
+    size = table(spark, folder, "documents").agg(F.sum(3 * F.octet_length("text"))).first()[0] or 0
+    files.write_table(docs.select("id", "copy", text.alias("text")).coalesce(1 + size // FILE_BYTES), path)
     return files.read_table(spark, path, missing=()).select(
         F.col("id").cast("bigint").alias("id"), F.col("copy").cast("int").alias("copy"), "text")
 

@@ -82,3 +82,19 @@ def test_very_many_quotes_in_a_cell_and_other_separators(spark, tmp_path):
     semi.write_text("id;a\n1;'x;\ny'\n")
     assert cells(files.read_table(spark, str(semi), sep=";", quote="'", escape="'")) == [("1", "x;\ny")]
     assert not quoted.understood({**files.CSV_FORM, "encoding": "latin1"})
+
+
+def test_no_task_writes_more_than_a_bounded_file(spark, tmp_path, monkeypatch):
+    from plumbline.catalog import storage
+
+    texts = [f'{i} "x",\n' * 20 for i in range(40)]
+    rows = spark.createDataFrame([(i, t, "web") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    rows.repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    written, write = [], storage.files.write_table
+    monkeypatch.setattr(storage.files, "write_table", lambda df, *a, **k: written.append(df.rdd.getNumPartitions()) or write(df, *a, **k))
+    monkeypatch.setattr(storage, "FILE_BYTES", sum(map(len, texts)))
+    got = {(r["id"], r["copy"]): r["text"] for r in storage.csv_split_round_trip(spark, str(tmp_path)).collect()}
+    assert written[0] > 1
+    for i, t in enumerate(texts):
+        assert got[i, 0] == t and got[i, 1] == f'\n{t}"' and got[i, 2] == f'"web",\n{t}'
+    assert len(got) == 120
