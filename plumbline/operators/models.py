@@ -96,8 +96,9 @@ def _picked(by_task: Mapping[str, list[ModelSpec]], task: str, names: Sequence[s
 # ------------------------------------------------------------------- fitting
 
 def _tree_params(p):
+    # each row's node is kept from level to level: without it every row walks all trees from the top at every level
     return {"maxDepth": int(p.get("depth", MAX_DEPTH)), "minInstancesPerNode": int(p.get("min_leaf", 1)),
-            "seed": int(p.get("seed", 42))}
+            "seed": int(p.get("seed", 42)), "cacheNodeIds": True}
 
 
 BOOSTED = {"boosted": "squared", "boosted_classifier": "logistic"}

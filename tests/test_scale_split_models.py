@@ -229,3 +229,14 @@ def test_rows_are_few_at_once_where_centres_are_many():
     assert [len(p) for p in parts] == [3, 3, 3, 1] and [i for p in parts for i in p["tid"]] == list(range(10))
     assert all(list(p.index) == list(range(len(p))) for p in parts)
     assert [len(p) for p in knn._in_slices([pdf], 2 * knn.DISTANCES_AT_ONCE)] == [1] * 10
+
+
+def test_trees_keep_each_rows_node_between_levels(spark):
+    """Otherwise every row walks every tree from its root at every level; what is grown is the same."""
+    rows = spark.createDataFrame([(float(i % 17), float(i * 7 % 29), i * 5 % 11 // 6) for i in range(300)], "a double, b double, t int")
+    for kind in ("forest_classifier", "forest", "tree"):
+        spec = ModelSpec("m", kind, {"trees": 5})
+        kept = models.fit_model(rows, spec, ["a", "b"], "t")
+        assert kept.stages[-1].getCacheNodeIds()
+        plain = models._BUILDERS[kind](spec.params, None, "t").setCacheNodeIds(False).fit(kept.stages[0].transform(rows))
+        assert plain.toDebugString.split("\n")[1:] == kept.stages[-1].toDebugString.split("\n")[1:]
