@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import (clip_range, gaps, groups, pack, pack_documents, power_of_two, settled, total_bytes, undo_gaps,
-                                  unpack, unpack_documents, whole_groups)
+from plumbline.llm.common import (clip_range, gaps, groups, pack, pack_documents, power_of_two, release_memory, settled, total_bytes,
+                                  undo_gaps, unpack, unpack_documents, whole_groups)
 from plumbline.llm.near import _class_key, components, shingle_sets
 
 SHINGLE = 4
@@ -36,6 +36,7 @@ MOST = 65_535              # larger counts are alike in the order
 SALTS = 32
 BLOCK_TOKENS = 2 << 20     # shingles of a block
 HUBS = 16                  # sets that every block of a large cluster sees
+SET_BYTES = 1 << 20        # text whose sets a task makes at once
 EDGE = 64                  # shingles of a path that are looked at before the bound is tested again
 
 
@@ -183,11 +184,12 @@ def join_sets(sets: list[np.ndarray], percent: int, stored: list[int] | None = N
     values, inverse, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     # one order for the cluster: what most sets hold comes first, so that beginnings are shared. A shingle of one set alone
     # overlaps with nothing: it counts in the set's size and needs no place in the trie
-    place = np.full(len(values), -1, np.int64)
+    place = np.full(len(values), -1, np.int32)
     shared = np.flatnonzero(times > 1)
     place[shared[np.argsort(-times[shared], kind="stable")]] = np.arange(len(shared))
     cut = np.cumsum(np.concatenate(([0], sizes)))
     numbers = place[inverse]
+    del values, inverse, times, place
     paths = []
     for a, b in zip(cut[:-1], cut[1:], strict=True):
         path = numbers[a:b]
@@ -198,7 +200,7 @@ def join_sets(sets: list[np.ndarray], percent: int, stored: list[int] | None = N
         for i, k in enumerate(known):
             links.join(first.setdefault(k, i), i)
     trie = Trie(paths, sizes, stored)
-    scratch = np.zeros(len(shared) + 1, np.int64)
+    scratch = np.zeros(len(shared) + 1, np.uint8)
     return [(m, i) for i in asking for m in trie.connect(i, paths[i], int(sizes[i]), scratch, percent, links)]
 
 
@@ -215,6 +217,8 @@ def _classes(chunks: DataFrame, width: int) -> DataFrame:
                      pa.array(np.fromiter(map(len, sets), np.int64, len(sets))),
                      pa.array([_class_key(s) if len(s) else None for s in sets], pa.binary())],
                     names=["chunk", "at", "doc", "n", "class"])
+                del ids, sets
+        release_memory()
 
     return chunks.select("chunk", "blob").mapInArrow(run, "chunk long, at int, doc long, n long, class binary")
 
@@ -229,8 +233,8 @@ def _sets(blob: bytes, width: int, wanted: set[int] | None = None) -> tuple[list
     return ids, _in_runs([buffer.data[a:b].tobytes() for a, b in zip(buffer.starts, ends, strict=True)], width)
 
 
-def _in_runs(texts: list[bytes], width: int, most: int = 4 << 20) -> list[np.ndarray]:
-    """Sets of texts, a few megabytes of them at once."""
+def _in_runs(texts: list[bytes], width: int, most: int = SET_BYTES) -> list[np.ndarray]:
+    """Sets of texts, a megabyte of them at once: hashing takes tens of bytes a character."""
     out, held, size = [], [], 0
     for t in texts:
         if held and size + len(t) > most:
@@ -261,6 +265,8 @@ def _counted(chunks: DataFrame, width: int, bits: int) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(
                         [{"range": at, "chunk": chunk, "blob": pack(k=gaps(unique[part]), c=count[part].astype(np.uint32))}],
                         pa.schema([("range", pa.int64()), ("chunk", pa.int64()), ("blob", pa.binary())]))
+                del sets, unique, count
+        release_memory()
 
     def answer(batches):
         for group in groups(batches, "range"):
@@ -273,6 +279,8 @@ def _counted(chunks: DataFrame, width: int, bits: int) -> DataFrame:
             for i, (chunk, range_) in enumerate(zip(group.column("chunk").to_pylist(), group.column("range").to_pylist(), strict=True)):
                 yield pa.RecordBatch.from_pylist([{"chunk": chunk, "range": range_, "blob": pack(c=total[at[cut[i]:cut[i + 1]]])}],
                                                  pa.schema([("chunk", pa.int64()), ("range", pa.int64()), ("blob", pa.binary())]))
+            del asked, held, unique, at, total
+        release_memory()
 
     questions = chunks.select("chunk", "blob", "rows").mapInArrow(ask, "range long, chunk long, blob binary")
     return whole_groups(questions, "range", "chunk").mapInArrow(answer, "chunk long, range long, blob binary")
@@ -302,6 +310,8 @@ def _leading(chunks: DataFrame, answers: DataFrame, width: int, percent: int) ->
             yield pa.RecordBatch.from_arrays(
                 [pa.array(flat[use].view(np.int64)), pa.array(np.full(len(use), group.column("chunk")[0].as_py(), np.int64)),
                  pa.array(np.array(rows, np.int32)[owner[use]]), pa.array(n[owner[use]])], names=["token", "chunk", "at", "n"])
+            del blobs, sets, flat, unique, at, owner, times, order, place, use
+        release_memory()
 
     return whole_groups(both, "chunk", "range").mapInArrow(run, "token long, chunk long, at int, n long")
 
@@ -336,6 +346,8 @@ def _member_sets(chunks: DataFrame, members: DataFrame, width: int) -> DataFrame
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(rows[a:a + 256]), chunk)), pa.array(rows[a:a + 256], pa.int32()),
                          pa.array([s.tobytes() for s in sets[a:a + 256]], pa.binary())], names=["chunk", "at", "values"])
+                del rows, sets
+        release_memory()
 
     return _with_rows(chunks, members).select("chunk", "blob", "rows").mapInArrow(run, "chunk long, at int, values binary")
 
@@ -350,12 +362,15 @@ def _joined(tasks: DataFrame, percent: int) -> DataFrame:
             stored, asking = (np.flatnonzero(np.asarray(group.column(c))).tolist() for c in ("stored", "asking"))
             known = group.column("known").to_pylist()
             found = join_sets(sets, percent, stored, asking, [k if k is not None else ~i for i, k in enumerate(known)])
+            del sets
             if found:
                 chunk, at = np.asarray(group.column("chunk")), np.asarray(group.column("at"))
                 i, j = np.array(found).T
                 yield pa.RecordBatch.from_arrays(
                     [pa.StructArray.from_arrays([pa.array(chunk[k]), pa.array(at[k])], fields=list(node)) for k in (i, j)],
                     names=["a", "b"])
+            del group, found
+        release_memory()
 
     return whole_groups(tasks, "task", "chunk", "at").mapInArrow(
         run, "a struct<chunk: bigint, at: int>, b struct<chunk: bigint, at: int>")

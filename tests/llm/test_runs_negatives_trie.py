@@ -224,3 +224,15 @@ def test_prefix_tree_join_equals_brute_force(make, texts, block):
 
 def test_prefix_tree_join_of_an_empty_table(make):
     assert trie.joined(make([])).count() == 0
+
+
+def test_sets_of_long_chunks_are_made_a_megabyte_at_once():
+    """What hashing holds follows the text hashed at once, and stays with the task; the sets are the same."""
+    from plumbline.llm import common
+    from plumbline.llm.near import shingle_sets
+
+    common.release_memory()
+    texts = [(f"word{i} other{i % 7} " * 5000).encode() for i in range(40)]
+    runs = trie._in_runs(texts, 4)
+    assert len(common._POWERS["up"]) <= 2 << 20
+    assert all((a == b).all() for a, b in zip(runs, shingle_sets(texts, 4), strict=True))
