@@ -14,14 +14,14 @@ of a range adds up what all chunks hold and answers each chunk's question; a chu
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import (Buffer, clip_range, gaps, groups, mix, pack, pack_documents, power_of_two, settled,
+from plumbline.llm.common import (Buffer, clip_range, gaps, groups, mix, pack, pack_documents, power_of_two, release_memory, settled,
                                   sequence_hashes, total_bytes, undo_gaps, unpack, unpack_documents, whole_groups, words_of)
 
 ORDER = 2
@@ -34,6 +34,8 @@ BUCKETS = 24
 STEP = 8                                # component probabilities per octave in the EM table
 LEVELS = 512
 ROUNDS = 60
+WORD_BYTES = 1 << 20                    # text whose words are hashed at once
+TOKENS_AT_ONCE = 1 << 18                # tokens whose components a task holds at once
 EM_CELLS = 1 << 17                      # cells that a task turns into arrays at once
 
 
@@ -43,20 +45,34 @@ def role(id_column: str) -> Column:
     return F.when(rest == 0, HELD_OUT).when(rest == 1, DELETED).otherwise(KEPT).cast("int")
 
 
+def _words(buffer: Buffer) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and how many words each text has. A few texts are hashed at once, as that takes
+    tens of bytes a character; a hash does not depend on the place of its word."""
+    ends = buffer.starts + buffer.lengths + 1
+    hashes, counts, a = [], [], 0
+    while a < len(ends):
+        at = buffer.starts[a]
+        b = max(a + 1, int(np.searchsorted(ends, at + WORD_BYTES, side="right")))
+        words = words_of(Buffer(buffer.data[at:ends[b - 1]], buffer.starts[a:b] - at, buffer.lengths[a:b]))
+        hashes.append(words.hashes)
+        counts.append(np.diff(words.first))
+        a = b
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
 class Grams:
     """The tokens of some texts and, per order, the key of the n-gram that ends at each token."""
 
     def __init__(self, buffer: Buffer, order: int):
-        words = words_of(buffer)
-        n = np.diff(words.first)
+        hashes, n = _words(buffer)
         texts, pads = len(n), order - 1
         self.first = np.zeros(texts + 1, np.int64)              # first token of each text
         np.cumsum(n + 1, out=self.first[1:])
         stride = np.arange(texts) * (pads + 1)
-        line = np.full(len(words.hashes) + texts * (pads + 1), START, np.uint64)
+        line = np.full(len(hashes) + texts * (pads + 1), START, np.uint64)
         owner = np.repeat(np.arange(texts), n)
-        line[np.arange(len(words.hashes)) + stride[owner] + pads] = words.hashes
-        line[words.first[1:] + stride + pads] = END
+        line[np.arange(len(hashes)) + stride[owner] + pads] = hashes
+        line[np.cumsum(n) + stride + pads] = END
         where = np.arange(self.first[-1]) + np.repeat((np.arange(texts) + 1) * pads, n + 1)
         self.keys = [mix(sequence_hashes(line, k)[where - k + 1] + np.uint64(k)) & KEY_BITS for k in range(1, order + 1)]
         #: token before each token, or the text's end where there is none: starts are as many as ends
@@ -81,6 +97,8 @@ def _questions(chunks: DataFrame, order: int, bits: int) -> DataFrame:
                 for at, arrays in rows.items():
                     yield pa.RecordBatch.from_pylist([{"range": at, "chunk": chunk, "role": role_, "blob": pack(**arrays)}],
                                                      schema)
+                del rows
+        release_memory()
 
     schema = pa.schema([("range", pa.int64()), ("chunk", pa.int64()), ("role", pa.int32()), ("blob", pa.binary())])
     return chunks.mapInArrow(run, "range long, chunk long, role int, blob binary")
@@ -110,8 +128,11 @@ def _answers(questions: DataFrame, order: int) -> DataFrame:
                     totals = {"tokens": int(kept.sum() + gone.sum()), "kept": int(kept.sum()),
                               "distinct": int(((kept + gone) > 0).sum())}
             yield pa.RecordBatch.from_pylist([{"chunk": None, "role": None, "range": rows[0][0], "blob": None, **totals}], schema)
+            del asked
             for r, reply in zip(rows, replies, strict=True):
                 yield pa.RecordBatch.from_pylist([{"chunk": r[1], "role": r[2], "range": r[0], "blob": pack(**reply)}], schema)
+            del rows, replies, held, count, unique, at, kept, gone
+        release_memory()
 
     schema = pa.schema([("chunk", pa.int64()), ("role", pa.int32()), ("range", pa.int64()), ("blob", pa.binary()),
                         ("tokens", pa.int64()), ("kept", pa.int64()), ("distinct", pa.int64())])
@@ -139,23 +160,35 @@ def _counts(group: pa.Table, order: int) -> tuple[int, list, Grams, list[tuple[n
                  for kind in "kd"]
         if len(parts[0]) != len(unique):
             raise ValueError("a chunk's answers do not cover its n-grams")
-        out.append((parts[0][at].astype(np.float64), parts[1][at].astype(np.float64)))
+        out.append((parts[0][at], parts[1][at]))
     return group.column("role")[0].as_py(), ids, grams, out
 
 
-def _components(grams: Grams, counts: list[np.ndarray], tokens: float, distinct: int) -> tuple[np.ndarray, np.ndarray]:
-    """Context bucket of each token, and its probabilities [orders from long to short, then uniform; tokens]."""
+def _some_tokens(grams: Grams, most: int) -> Iterator[tuple[slice, slice]]:
+    """Texts, so many at once that they have at most ``most`` tokens (a longer one alone), and their tokens."""
+    a = 0
+    while a < len(grams.first) - 1:
+        b = max(a + 1, int(np.searchsorted(grams.first, grams.first[a] + most, side="right")) - 1)
+        yield slice(a, b), slice(int(grams.first[a]), int(grams.first[b]))
+        a = b
+
+
+def _components(grams: Grams, counts: list[np.ndarray], tokens: float, distinct: int, part: slice) -> tuple[np.ndarray, np.ndarray]:
+    """Context bucket of each token of ``part``, and its probabilities [orders from long to short, then uniform; tokens].
+
+    A text's tokens are in one part; ``counts`` are those of the part's tokens."""
     order = len(counts)
-    rows, context = [], np.full(len(counts[0]), tokens)
+    before, starts = grams.before[part] - part.start, grams.starts[part]
+    rows, context = [], np.full(len(before), tokens)
     for k in range(order - 1, 0, -1):
-        seen = counts[k - 1][grams.before]
+        seen = counts[k - 1][before]
         # at a text's start every context is that of the start itself, which occurs once per text, as the end does
-        seen = np.where(grams.starts, counts[0][grams.before], seen)
+        seen = np.where(starts, counts[0][before], seen)
         rows.append(np.divide(counts[k], seen, out=np.zeros(len(seen)), where=seen > 0))
         if k == order - 1:
             context = seen
     rows.append(counts[0] / max(tokens, 1))
-    rows.append(np.full(len(counts[0]), 1 / (distinct + 1)))
+    rows.append(np.full(len(before), 1 / (distinct + 1)))
     bucket = np.minimum(np.where(context > 0, np.floor(np.log2(np.maximum(context, 1))) + 1, 0), BUCKETS - 1).astype(np.int64)
     return bucket, np.minimum(np.stack(rows), 1.0)
 
@@ -164,13 +197,17 @@ def _em_table(joined: DataFrame, order: int, tokens: float, distinct: int) -> Da
     def run(batches):
         for group in groups(batches, "chunk"):
             _, _, grams, counts = _counts(group, order)
-            bucket, p = _components(grams, [c[0] for c in counts], tokens, distinct)
-            cell = bucket
-            for row in p[:-1]:
-                level = np.where(row > 0, np.clip(np.rint(-STEP * np.log2(np.maximum(row, 1e-300))), 0, LEVELS - 2), LEVELS - 1)
-                cell = cell * LEVELS + level.astype(np.int64)
-            values, n = np.unique(cell, return_counts=True)
+            cells = []
+            for _, part in _some_tokens(grams, TOKENS_AT_ONCE):
+                cell, p = _components(grams, [c[0][part].astype(np.float64) for c in counts], tokens, distinct, part)
+                for row in p[:-1]:
+                    level = np.where(row > 0, np.clip(np.rint(-STEP * np.log2(np.maximum(row, 1e-300))), 0, LEVELS - 2), LEVELS - 1)
+                    cell = cell * LEVELS + level.astype(np.int64)
+                cells.append(cell)
+            values, n = np.unique(np.concatenate(cells), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n)], names=["cell", "n"])
+            del grams, counts, cells, values, n
+        release_memory()
 
     return joined.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
 
@@ -248,16 +285,20 @@ def scored(docs: DataFrame, id_column: str = "doc_id", text: str = "text", order
     def run(batches):
         for group in groups(batches, "chunk"):
             role_, ids, grams, counts = _counts(group, order)
-            every = [c[0] + c[1] for c in counts]
-            bucket, p = _components(grams, every, float(tokens), distinct)
-            log = np.log10((weights[bucket].T * p).sum(axis=0))
-            base = np.log10((every[0] + 0.1) / (tokens + 0.1 * (distinct + 1)))
-            n, first = np.diff(grams.first), grams.first[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(np.full(len(n), role_ == HELD_OUT)), pa.array(n),
-                 pa.array(np.add.reduceat((every[0] > 0).astype(np.int64), first)), pa.array(np.full(len(n), tokens, np.int64)),
-                 pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(log, first))],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            for texts, part in _some_tokens(grams, TOKENS_AT_ONCE):
+                every = [c[0][part].astype(np.float64) + c[1][part] for c in counts]
+                bucket, p = _components(grams, every, float(tokens), distinct, part)
+                log = np.log10((weights[bucket].T * p).sum(axis=0))
+                base = np.log10((every[0] + 0.1) / (tokens + 0.1 * (distinct + 1)))
+                first = grams.first[texts] - part.start
+                n = np.diff(first, append=part.stop - part.start)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[texts], pa.int64()), pa.array(np.full(len(n), role_ == HELD_OUT)), pa.array(n),
+                     pa.array(np.add.reduceat((every[0] > 0).astype(np.int64), first)), pa.array(np.full(len(n), tokens, np.int64)),
+                     pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(log, first))],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            del ids, grams, counts
+        release_memory()
 
     return _with_answers(chunks, answers).mapInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

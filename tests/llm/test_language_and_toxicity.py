@@ -156,3 +156,15 @@ def test_windows_cover_every_word():
         text, start = toxicity.windows(np.array([0, n]))
         seen = {i for s in start for i in range(s, min(n, s + toxicity.WINDOW))}
         assert seen == set(range(n)) and len(text) >= 1
+
+
+def test_words_of_long_chunks_are_hashed_a_megabyte_at_once():
+    """What hashing holds follows the text hashed at once, and stays with the task; hashes and counts are the same."""
+    from plumbline.llm import common
+
+    common.release_memory()
+    buffer = common.Buffer.of([(f"Word{i} other{i % 7} " * 5000).encode() if i % 3 else b"" for i in range(40)])
+    hashes, counts = language._words(buffer)
+    assert len(common._POWERS["up"]) <= 2 << 20
+    words = common.words_of(buffer)
+    assert (hashes == words.hashes).all() and (counts == np.diff(words.first)).all()
