@@ -203,7 +203,7 @@ def _fit_all(folded: DataFrame, spec: ModelSpec, features: Sequence[str], label:
     """The model of all rows (if ``whole``) and, with ``k`` folds, every row's prediction by the model of the other folds.
 
     Linear models take all fits from one pass over the rows, boosted trees grow all folds in the same jobs; other models are
-    fitted once per fold.
+    fitted once per fold, single trees side by side.
     """
     if spec.kind in SOLVERS:
         lines = fit_lines(folded, features, label, spec.kind, spec.params, spec.scaled, "_fold" if k else None, k, moments)
@@ -212,12 +212,16 @@ def _fit_all(folded: DataFrame, spec: ModelSpec, features: Sequence[str], label:
         found = [_boosted_model(e) for e in fit_boosted(folded, features, label, boost_settings(spec), "_fold" if k else None, k)]
         parts = [predict(m, folded.filter(F.col("_fold") == i)) for i, m in enumerate(found[1:], 1)]
         return found[0], union_boards(parts) if parts else None
-    parts = [_held_out(folded.filter(F.col("_fold") != i), folded.filter(F.col("_fold") == i), spec, features, label, key)[0]
-             for i in range(1, k + 1)]
-    model = None
-    if whole:
-        model = fit_neighbours(folded, spec, features, label, key) if spec.kind == "knn" else fit_model(folded, spec, features, label)
-    return model, union_boards(parts) if parts else None
+    def held(i: int) -> DataFrame:
+        return _held_out(folded.filter(F.col("_fold") != i), folded.filter(F.col("_fold") == i), spec, features, label, key)[0]
+
+    def all_rows() -> PipelineModel | Neighbours:
+        return fit_neighbours(folded, spec, features, label, key) if spec.kind == "knn" else fit_model(folded, spec, features, label)
+
+    fits = [partial(held, i) for i in range(1, k + 1)] + ([all_rows] if whole else [])
+    # a single tree is a chain of short jobs, one per level; other models fill the cluster or its memory with one fit
+    done = side_by_side(fits, folded) if spec.kind == "tree" else [fit() for fit in fits]
+    return done[k] if whole else None, union_boards(done[:k]) if k else None
 
 
 def _held_out(train: DataFrame, rows: DataFrame, spec: ModelSpec, features: Sequence[str], label: str,

@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -240,3 +242,24 @@ def test_trees_keep_each_rows_node_between_levels(spark):
         assert kept.stages[-1].getCacheNodeIds()
         plain = models._BUILDERS[kind](spec.params, None, "t").setCacheNodeIds(False).fit(kept.stages[0].transform(rows))
         assert plain.toDebugString.split("\n")[1:] == kept.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_single_trees_of_all_folds_are_fitted_side_by_side(spark, monkeypatch):
+    """Each fit is a chain of short jobs; one fold after the other was most of a sweep's time."""
+    df = spark.createDataFrame([(i, float(i % 13), float(i % 13 > 6) + i % 3) for i in range(90)], "id long, a double, y double")
+    together, fit = threading.Barrier(3), models.fit_model
+
+    def waits(*args):
+        together.wait(60)      # breaks unless all three fits are under way
+        return fit(*args)
+
+    folded = df.withColumn("_fold", F.col("id") % 2 + 1)
+    spec = ModelSpec("tree", "tree", {"depth": 2})
+    monkeypatch.setattr(models, "fit_model", waits)
+    model, oof = models._fit_all(folded, spec, ["a"], "y", "id", 2)
+    monkeypatch.undo()
+    want = {r["id"]: r["prediction"] for i in (1, 2) for r in models.predict(
+        fit(folded.filter(F.col("_fold") != i), spec, ["a"], "y"), folded.filter(F.col("_fold") == i)).collect()}
+    assert {r["id"]: r["prediction"] for r in oof.collect()} == want and len(want) == 90
+    assert [r["prediction"] for r in models.predict(model, df).orderBy("id").collect()] == [
+        r["prediction"] for r in models.predict(fit(folded, spec, ["a"], "y"), df).orderBy("id").collect()]
