@@ -2,6 +2,7 @@ import threading
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -263,3 +264,53 @@ def test_single_trees_of_all_folds_are_fitted_side_by_side(spark, monkeypatch):
     assert {r["id"]: r["prediction"] for r in oof.collect()} == want and len(want) == 90
     assert [r["prediction"] for r in models.predict(model, df).orderBy("id").collect()] == [
         r["prediction"] for r in models.predict(fit(folded, spec, ["a"], "y"), df).orderBy("id").collect()]
+
+
+def test_a_blocks_nearest_rows_are_exact_whatever_the_product_rounds():
+    """Copies, far offsets, a reach, ids that occur twice and values whose squares overflow, against all distances."""
+    rng = np.random.default_rng(8)
+    for scale, shift in ((1, 0), (1e-3, 1e6), (1, 1e9), (1e200, 0)):
+        rows = (rng.integers(0, 9, (700, 3)) * 1.0 + shift) * scale
+        queries = (rng.integers(0, 9, (40, 3)) + 0.25 + shift) * scale
+        numbers = rng.permutation(700)
+        with np.errstate(over="ignore"):
+            d = knn._distances(queries, rows)
+            shelf = knn._Shelf.of([(pa.array(numbers[:300]), rows[:300], None), (pa.array(numbers[300:]), rows[300:], None)], 0, False)
+            near = [np.lexsort((numbers, line))[:15] for line in d]
+            reach = np.array([np.nan if i % 4 == 0 else line[n[i % 15]] for i, (line, n) in enumerate(zip(d, near))])
+            for limit in (None, reach):
+                row, pick, gap = shelf.closest(queries, 15, limit, None)
+                for i, n in enumerate(near):
+                    want = n if limit is None or np.isnan(limit[i]) else n[d[i][n] <= limit[i]]
+                    assert pick[row == i].tolist() == want.tolist() and gap[row == i].tolist() == d[i][want].tolist()
+            twice = knn._Shelf.of([(pa.array(numbers // 2), rows, None)], 0, True)
+            row, pick, _ = twice.closest(queries, 15, None, None)
+            for i, line in enumerate(d):
+                least = pd.Series(line).groupby(numbers // 2).min().reset_index().sort_values([0, "index"])[:15]
+                assert (numbers[pick[row == i]] // 2).tolist() == least["index"].tolist()
+
+
+@pytest.mark.parametrize("tables, bits, probes, cells", [(6, 3, 3, 1), (6, 2, 1, 1), (3, 7, 2, 9)])
+def test_projections_look_at_no_more_pairs_than_there_are(spark, monkeypatch, tables, bits, probes, cells):
+    """Dense keys: each pair once instead of once per shared key; the rows found are those that share a key."""
+    rng = np.random.default_rng(9)
+    points, k = rng.normal(size=(400, 5)), 6
+    t = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], "tid bigint, " + ", ".join(f"f{i} double" for i in range(5)))
+    q, search, asked = t.filter("tid % 8 = 0").withColumnRenamed("tid", "qid"), knn._search, []
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(knn, "_search", lambda queries, *rest, **more: asked.append(
+        queries.select(F.max(F.size("cells"))).head()[0]) or search(queries, *rest, **more))
+    got = {(r["qid"], r["tid"]): r["distance"] for r in knn.approximate_join(
+        q, t, [f"f{i}" for i in range(5)], "qid", "tid", k, tables, bits, probes, 3).collect()}
+    assert asked == [cells]
+    planes, want = np.random.default_rng(3).normal(size=(tables, 5, bits)), {}
+    for i in range(0, 400, 8):
+        shares = np.zeros(400, bool)
+        for plane in planes:
+            side = (points - points.mean(0)) @ plane
+            differ = (side > 0) != (side[i] > 0)
+            probed = np.isin(np.arange(bits), np.argsort(np.abs(side[i]))[:probes])
+            shares |= (differ.sum(1) == 0) | ((differ.sum(1) == 1) & (differ & probed).any(1))
+        d = np.linalg.norm(points - points[i], axis=1)
+        want |= {(i, j): d[j] for j in sorted(np.flatnonzero(shares).tolist(), key=lambda j: (d[j], j))[:k]}
+    assert got == pytest.approx(want)
