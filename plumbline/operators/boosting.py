@@ -11,6 +11,7 @@ row is shuffled once the blocks are dealt; margins are carried from round to rou
 
 from __future__ import annotations
 
+import gc
 import json
 import pickle
 from collections.abc import Callable, Sequence
@@ -291,6 +292,7 @@ def _level_sums(kept: RDD, features: int, growing: list[_Growing], round_: int,
                 widths: list[int]) -> RDD:
     """((model, feature), sums) of each task's blocks."""
     def sums(rows):
+        _set_aside()
         total: dict[tuple[int, int], np.ndarray] = {}
         for number, blob in sorted(rows):
             _add_sums(total, number, Block.unpack(blob, features), growing, round_, settings, folds, widths)
@@ -299,6 +301,13 @@ def _level_sums(kept: RDD, features: int, growing: list[_Growing], round_: int,
     return kept.mapPartitions(sums)
 
 
+def _set_aside() -> None:
+    """What a worker has loaded is left out of the sweep for cycles that follows each of its tasks: levels are many short jobs."""
+    if not gc.get_freeze_count():
+        gc.collect()
+        gc.freeze()
+
+
 def _added(growing: list[_Growing], widths: list[int]) -> Callable:
     def add(total: dict[tuple[int, int], np.ndarray], key: tuple[int, int], sums: bytes) -> None:
         s = np.frombuffer(sums).reshape(2, len(growing[key[0]].open), widths[key[1]])

@@ -1,5 +1,7 @@
 """Histogram boosting and fold-wise moments against plain numpy."""
 
+import gc
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -193,3 +195,12 @@ def test_a_level_is_one_job_and_gives_the_trees_of_one_task(table, spark, monkey
     assert len(jobs) <= s.rounds * s.depth + 12        # levels, and what cuts and settles the blocks
     for a, b in zip(once, again, strict=True):
         assert (a.trees.feature == b.trees.feature).all() and (a.trees.bin == b.trees.bin).all() and np.allclose(a.trees.value, b.trees.value)
+
+
+def test_workers_of_level_jobs_set_aside_what_they_loaded(spark, monkeypatch):
+    """Thousands of short jobs: a sweep of everything loaded after each task was much of their time."""
+    monkeypatch.setattr(boosting, "TASK_ROWS", 10)
+    df = spark.createDataFrame([(float(i % 7), float(i % 7 > 3)) for i in range(200)], "a double, y double").repartition(4)
+    boosting.fit_boosted(df, ["a"], "y", boosting.BoostSettings(rounds=2, depth=2))
+    frozen = spark.sparkContext.parallelize(range(4), 4).mapPartitions(lambda _: [gc.get_freeze_count()]).collect()
+    assert max(frozen) > 0
