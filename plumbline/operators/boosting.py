@@ -5,8 +5,8 @@ of all models), dealt evenly over tasks. Up to ``TASK_ROWS`` rows a model is one
 a level of a tree is one short job for the models of all folds: each task adds the gradients and curvatures of its blocks up
 per open node, feature and bin, and the driver adds the tasks' sums, whose size follows from nodes and bins, not from rows.
 Where those sums are wide, those of one feature meet in one task instead, which returns that feature's best split per node. No
-row is shuffled once the blocks are dealt; margins are carried from round to round in executors' memory and settled every
-``SETTLE`` rounds.
+row is shuffled once the blocks are dealt; margins are carried from round to round in executors' memory, as arrays that a task
+takes as they are, and settled every ``SETTLE`` rounds.
 """
 
 from __future__ import annotations
@@ -34,6 +34,10 @@ BLOCK_ROWS = 1 << 16
 TASK_ROWS = 1 << 18        # a model of at most so many rows grows in one task
 GATHERED_BYTES = 32 << 20  # of sums that the driver adds up per level
 SETTLE = 16                # rounds between writing margins
+# Blocks are read by every level job: they are held neither compressed nor serialised again, which a read would undo each time.
+AS_ARRAYS = StorageLevel.MEMORY_AND_DISK_DESER
+MASKED_LEAVES = 64         # of a tree whose rows are placed by masks of one word
+MASKED_FEATURES = 16
 SKETCH = 100_000           # accuracy of the quantile sketch: exact ranks for up to about that many distinct values
 
 
@@ -93,6 +97,8 @@ class Trees:
 
 def leaf_of(feature: np.ndarray, cut: np.ndarray, bins: np.ndarray) -> np.ndarray:
     """The node where each row stops."""
+    if len(feature) < 2 * MASKED_LEAVES and len(np.unique(feature[feature >= 0])) <= MASKED_FEATURES:
+        return _leaf_by_masks(feature, cut, bins)
     rows, nodes = bins.shape[1], np.arange(len(feature))
     at, place = np.zeros(rows, np.int64), np.arange(rows)
     inner = feature >= 0
@@ -105,6 +111,35 @@ def leaf_of(feature: np.ndarray, cut: np.ndarray, bins: np.ndarray) -> np.ndarra
     return at
 
 
+def _leaf_by_masks(feature: np.ndarray, cut: np.ndarray, bins: np.ndarray) -> np.ndarray:
+    """The same for few leaves and features: bit i of a row's mask tells that it can still reach the i-th leaf from the left; a
+    bin above a node's cut rules out the leaves on its left. The first leaf left is the one, so depth costs nothing per row."""
+    spans, leaves = {}, []
+
+    def walk(node: int) -> None:
+        start = len(leaves)
+        if feature[node] < 0:
+            leaves.append(node)
+        else:
+            walk(2 * node + 1)
+            spans[node] = (start, len(leaves))
+            walk(2 * node + 2)
+
+    walk(0)
+    if not spans:
+        return np.zeros(bins.shape[1], np.int64)
+    found = None
+    for f in sorted({int(feature[n]) for n in spans}):
+        table = np.full(256, 2**len(leaves) - 1, np.uint64)
+        for n, (start, end) in spans.items():
+            if feature[n] == f:
+                table[max(0, int(cut[n]) + 1):] &= np.uint64((2**64 - 1) ^ (2**end - 2**start))
+        mask = table.take(bins[f])
+        found = mask if found is None else np.bitwise_and(found, mask, out=found)
+    first = (found & (~found + np.uint64(1))).astype(np.float64).view(np.int64)      # a power of two: its exponent is the place
+    return np.array(leaves).take((first >> 52) - 1023)
+
+
 @dataclass
 class Ensemble:
     """A fitted model: cuts per feature (a value's bin is the number of cuts below it), trees and the starting margin."""
@@ -257,6 +292,7 @@ class _Growing:
 
 
 def _sampled(settings: BoostSettings, round_: int, block: int, rows: int) -> np.ndarray:
+    """The rows of a block that the trees of a round see; the same ones for all models."""
     if settings.subsample >= 1:
         return np.ones(rows, bool)
     return np.random.default_rng([settings.seed, round_, block]).random(rows) < settings.subsample
@@ -265,10 +301,11 @@ def _sampled(settings: BoostSettings, round_: int, block: int, rows: int) -> np.
 def _add_sums(total: dict[tuple[int, int], np.ndarray], number: int, block: Block, growing: list[_Growing], round_: int,
               settings: BoostSettings, folds: bool, widths: list[int]) -> None:
     """Add a block's gradients and curvatures per open node and bin, [2, open, bins] by (model, feature), to ``total``."""
+    sampled = _sampled(settings, round_, number, len(block.y))
     for m, tree in enumerate(growing):
         if tree.open:
             rows = _ModelRows(number, block, m, folds)
-            rows.sample(round_, tree.columns, settings)
+            rows.sample(sampled, tree.columns, settings)
             rows.find(tree)
             sums = [total.setdefault((m, f), np.zeros((2, len(tree.open), widths[f]))) for f in tree.columns]
             rows.add(sums, settings)
@@ -288,14 +325,14 @@ def _best_of(m: int, f: int, sums: np.ndarray, settings: BoostSettings) -> dict:
             "hl": hl[row, best].tolist(), "gt": gt[:, 0].tolist(), "ht": ht[:, 0].tolist()}
 
 
-def _level_sums(kept: RDD, features: int, growing: list[_Growing], round_: int, settings: BoostSettings, folds: bool,
+def _level_sums(kept: RDD, growing: list[_Growing], round_: int, settings: BoostSettings, folds: bool,
                 widths: list[int]) -> RDD:
     """((model, feature), sums) of each task's blocks."""
     def sums(rows):
         _set_aside()
         total: dict[tuple[int, int], np.ndarray] = {}
-        for number, blob in sorted(rows):
-            _add_sums(total, number, Block.unpack(blob, features), growing, round_, settings, folds, widths)
+        for number, block in rows:
+            _add_sums(total, number, block, growing, round_, settings, folds, widths)
         yield from ((key, s.tobytes()) for key, s in total.items())
 
     return kept.mapPartitions(sums)
@@ -316,17 +353,15 @@ def _added(growing: list[_Growing], widths: list[int]) -> Callable:
     return add
 
 
-def _sums_to_driver(kept: RDD, features: int, growing: list[_Growing], round_: int, settings: BoostSettings, folds: bool,
-                    widths: list[int]) -> list:
+def _sums_to_driver(kept: RDD, growing: list[_Growing], round_: int, settings: BoostSettings, folds: bool, widths: list[int]) -> list:
     """One job: what :func:`_best_of` finds over all blocks, per model and feature."""
     total, add = {}, _added(growing, widths)
-    for key, sums in _level_sums(kept, features, growing, round_, settings, folds, widths).collect():    # at most GATHERED_BYTES
+    for key, sums in _level_sums(kept, growing, round_, settings, folds, widths).collect():    # at most GATHERED_BYTES
         add(total, key, sums)
     return [_best_of(m, f, s, settings) for (m, f), s in total.items()]
 
 
-def _sums_meet(kept: RDD, features: int, growing: list[_Growing], round_: int, settings: BoostSettings, folds: bool,
-               widths: list[int]) -> list:
+def _sums_meet(kept: RDD, growing: list[_Growing], round_: int, settings: BoostSettings, folds: bool, widths: list[int]) -> list:
     """The same for wide sums: those of a model and feature are added in one task, which returns its best splits."""
     add = _added(growing, widths)
 
@@ -336,8 +371,8 @@ def _sums_meet(kept: RDD, features: int, growing: list[_Growing], round_: int, s
             add(total, key, sums)
         return [_best_of(m, f, s, settings) for (m, f), s in total.items()]
 
-    return _level_sums(kept, features, growing, round_, settings, folds, widths).partitionBy(
-        max(1, min(kept.getNumPartitions(), len(growing) * features))).mapPartitions(best).collect()
+    return _level_sums(kept, growing, round_, settings, folds, widths).partitionBy(
+        max(1, min(kept.getNumPartitions(), len(growing) * len(widths)))).mapPartitions(best).collect()
 
 
 def _split_level(tree: _Growing, rows: list, settings: BoostSettings, last: bool) -> None:
@@ -393,7 +428,7 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str, settings: Bo
                                       max(1, min(models, df.sparkSession.sparkContext.defaultParallelism))))
     held = sorted((r["block"], r["bytes"]) for r in blocks.select("block", F.length("blob").alias("bytes")).collect())   # two numbers a block
     tasks = max(1, min(len(held), df.sparkSession.sparkContext.defaultParallelism))
-    kept = _dealt(blocks, held, tasks).rdd.map(lambda r: (r["block"], bytes(r["blob"]))).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = _unpacked(_dealt(blocks, held, tasks), len(features)).persist(AS_ARRAYS)
     widest = sum(sorted(widths, reverse=True)[:_count(settings, len(cuts))])
     narrow = tasks * models * 2 ** max(0, settings.depth - 1) * widest * 16 <= GATHERED_BYTES
     best = _sums_to_driver if narrow else _sums_meet
@@ -401,9 +436,9 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str, settings: Bo
     for round_ in range(settings.rounds):
         before = kept
         if round_:
-            kept = _carried(first, kept, len(features), trees, round_)
+            kept = _carried(first, kept, trees, round_)
         trees = _grown(trees, round_, settings, len(features), lambda growing, kept=kept, round_=round_: best(
-            kept, len(features), growing, round_, settings, folds > 0, widths))
+            kept, growing, round_, settings, folds > 0, widths))
         if before is not kept and before is not first:
             before.unpersist()
     kept.unpersist()
@@ -411,18 +446,26 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str, settings: Bo
     return ensembles(trees)
 
 
-def _carried(first: RDD, kept: RDD, features: int, trees: list[Trees], round_: int) -> RDD:
+def _unpacked(dealt: DataFrame, features: int) -> RDD:
+    """(number, block) by number in each task."""
+    def run(rows):
+        for number, blob in sorted((r["block"], bytes(r["blob"])) for r in rows):
+            yield number, Block.unpack(blob, features)
+
+    return dealt.rdd.mapPartitions(run)
+
+
+def _carried(first: RDD, kept: RDD, trees: list[Trees], round_: int) -> RDD:
     """The blocks with the margins after the newest trees, computed by the next job; now and then written or made from the first ones."""
     settle, folder = round_ % SETTLE == 0, first.context.getCheckpointDir()
     start, more = (first, trees) if settle and folder is None else (kept, [t.last(1) for t in trees])
 
     def run(rows):
-        for number, blob in rows:
-            block = Block.unpack(blob, features)
+        for number, block in rows:
             block.margins = block.margins + np.stack([t.margins(block.bins) for t in more])
-            yield number, block.pack()
+            yield number, block
 
-    out = start.mapPartitions(run).persist(StorageLevel.MEMORY_AND_DISK)
+    out = start.mapPartitions(run).persist(AS_ARRAYS)
     if settle and folder is not None:
         out.checkpoint()
     return out
@@ -472,7 +515,7 @@ def _in_a_task(one: DataFrame, features: int, model: int, settings: BoostSetting
         for round_ in range(settings.rounds):
             tree = _seedling(settings, round_, model, features)
             for r in rows:
-                r.sample(round_, tree.columns, settings)
+                r.sample(_sampled(settings, round_, r.number, len(r.block.y)), tree.columns, settings)
             for level in range(settings.depth):
                 if not tree.open:
                     break
@@ -500,8 +543,8 @@ class _ModelRows:
         self.number, self.block, self.margin = number, block, block.margins[model].copy()
         self.inside = block.fold != model if folds and model else None
 
-    def sample(self, round_: int, columns: list[int], settings: BoostSettings) -> None:
-        rows = _sampled(settings, round_, self.number, len(self.block.y))
+    def sample(self, rows: np.ndarray, columns: list[int], settings: BoostSettings) -> None:
+        """Take the ``rows`` that the model is fitted on."""
         use = np.flatnonzero(rows if self.inside is None else rows & self.inside)
         self.bins = [self.block.bins[f].take(use) for f in columns]
         part = Block(self.block.bins[:0], self.block.y[use], self.block.fold[:0], self.margin[None, use])

@@ -204,3 +204,55 @@ def test_workers_of_level_jobs_set_aside_what_they_loaded(spark, monkeypatch):
     boosting.fit_boosted(df, ["a"], "y", boosting.BoostSettings(rounds=2, depth=2))
     frozen = spark.sparkContext.parallelize(range(4), 4).mapPartitions(lambda _: [gc.get_freeze_count()]).collect()
     assert max(frozen) > 0
+
+
+def test_a_level_draws_the_rows_of_a_block_once_for_all_models(monkeypatch):
+    r = np.random.default_rng(5)
+    block = boosting.Block(r.integers(0, 9, (2, 300)).astype(np.uint8), r.normal(size=300), r.integers(1, 4, 300).astype(np.int32), np.zeros((4, 300)))
+    s, drawn = BoostSettings(subsample=0.6, columns=1, depth=2), []
+    take = boosting._sampled
+    monkeypatch.setattr(boosting, "_sampled", lambda *a: drawn.append(a) or take(*a))
+    growing, total = [boosting._seedling(s, 3, m, 2) for m in range(4)], {}
+    boosting._add_sums(total, 7, block, growing, 3, s, True, [9, 9])
+    assert len(drawn) == 1
+    rows = take(s, 3, 7, 300)
+    for m in range(4):
+        inside = rows & (block.fold != m) if m else rows
+        for f in range(2):
+            g, h = total[m, f]
+            assert np.allclose(g[0], np.bincount(block.bins[f][inside], -block.y[inside], 9)) and h.sum() == inside.sum()
+
+
+def test_level_jobs_take_blocks_as_arrays(spark):
+    """Every level of every tree reads all blocks: unpacking them each time was much of a level's work."""
+    y = np.arange(6.0)
+    block = boosting.Block(np.zeros((1, 6), np.uint8), y, np.zeros(6, np.int32), np.zeros((1, 6)))
+    blocks = spark.createDataFrame([(2, bytearray(block.pack())), (1, bytearray(block.pack()))], boosting.BLOCK_SCHEMA).coalesce(1)
+    first = boosting._unpacked(blocks, 1).persist(boosting.AS_ARRAYS)
+    trees = [boosting.Trees.empty(0).with_tree(np.array([-1]), np.array([0]), np.array([0.5]))]
+    carried = boosting._carried(first, first, trees, 1)
+    held = carried.collect()
+    assert first.getStorageLevel().deserialized and carried.getStorageLevel().deserialized
+    assert [n for n, _ in held] == [1, 2]
+    assert all(isinstance(b, boosting.Block) and (b.margins == 0.5).all() and (b.y == y).all() for _, b in held)
+
+
+@pytest.mark.parametrize("depth", [0, 1, 3, 6, 7])
+def test_rows_are_placed_alike_by_masks_and_by_steps(monkeypatch, depth):
+    r = np.random.default_rng(depth)
+    nodes = 2**(depth + 1) - 1
+    feature, cut = np.full(nodes, -1, np.int32), r.integers(0, 256, nodes).astype(np.int32)
+    for i in range(nodes // 2):      # inner nodes of a tree that may end early
+        if (i == 0 or feature[(i - 1) // 2] >= 0) and (depth > 5 or r.random() < 0.8 or i == 0):
+            feature[i] = r.integers(0, 4)
+    bins = r.integers(0, 256, (4, 2_000)).astype(np.uint8)
+    at = np.zeros(2_000, int)
+    for _ in range(depth):
+        inner = feature[at] >= 0
+        right = bins[feature[at], np.arange(2_000)] > cut[at]
+        at = np.where(inner, 2 * at + 1 + right, at)
+    calls, by_masks = [], boosting._leaf_by_masks
+    monkeypatch.setattr(boosting, "_leaf_by_masks", lambda *a: calls.append(a) or by_masks(*a))
+    assert (boosting.leaf_of(feature, cut, bins) == at).all() and len(calls) == (depth < 7)
+    monkeypatch.setattr(boosting, "MASKED_FEATURES", -1)
+    assert (boosting.leaf_of(feature, cut, bins) == at).all() and len(calls) == (depth < 7)
