@@ -213,7 +213,9 @@ def _fit_all(folded: DataFrame, spec: ModelSpec, features: Sequence[str], label:
         parts = [predict(m, folded.filter(F.col("_fold") == i)) for i, m in enumerate(found[1:], 1)]
         return found[0], union_boards(parts) if parts else None
     def held(i: int) -> DataFrame:
-        return _held_out(folded.filter(F.col("_fold") != i), folded.filter(F.col("_fold") == i), spec, features, label, key)[0]
+        scored = _held_out(folded.filter(F.col("_fold") != i), folded.filter(F.col("_fold") == i), spec, features, label, key)[0]
+        # a search is a long plan: those of all folds in one query would be planned, sent and held by the driver together
+        return materialised(scored) if spec.kind == "knn" else scored
 
     def all_rows() -> PipelineModel | Neighbours:
         return fit_neighbours(folded, spec, features, label, key) if spec.kind == "knn" else fit_model(folded, spec, features, label)
@@ -244,7 +246,7 @@ class Neighbours:
 
     def predict(self, rows: DataFrame, key: str) -> DataFrame:
         near = self.index.regress(self.scaler.transform(rows.select(key, *self.index.features)), key, self.k)
-        return rows.join(near, key)
+        return rows.join(near.hint("merge"), key)
 
     def save(self, path: str) -> None:
         self.index.save(f"{path}/index")

@@ -314,3 +314,27 @@ def test_projections_look_at_no_more_pairs_than_there_are(spark, monkeypatch, ta
         d = np.linalg.norm(points - points[i], axis=1)
         want |= {(i, j): d[j] for j in sorted(np.flatnonzero(shares).tolist(), key=lambda j: (d[j], j))[:k]}
     assert got == pytest.approx(want)
+
+
+def test_neighbours_send_no_table_of_rows_through_the_driver(spark, tmp_path):
+    """Read from a small file, all rows pass for small: joins by their ids were broadcasts of the whole table."""
+    x = np.random.default_rng(12).normal(size=(600, 2)) * [1, 9]
+    rows = spark.createDataFrame([(i, *map(float, p), float(i % 5)) for i, p in enumerate(x)], "id bigint, a double, b double, y double")
+    rows.write.parquet(str(tmp_path / "rows"))
+    read = spark.read.parquet(str(tmp_path / "rows")).withColumn("_fold", (F.col("id") % 3).cast("int") + 1)
+    spec, features = ModelSpec("knn", "knn", {"k": 4}), ["a", "b"]
+    scored = models.fit_neighbours(read.filter("_fold != 1"), spec, features, "y", "id").predict(read.filter("_fold = 1"), "id")
+    got = {r["id"]: r["prediction"] for r in scored.collect()}
+    plan = scored._jdf.queryExecution().executedPlan().toString()       # as it was run
+    joins = [line for line in plan.split("\n") if "HashJoin" in line]
+    assert joins and all("cell#" in line for line in joins) and plan.count("SortMergeJoin") >= 3
+    _, oof = models._fit_all(read, spec, features, "y", "id", 3, whole=False)
+    assert "Join" not in oof._jdf.queryExecution().executedPlan().toString()        # each fold's search has been run by itself
+    held = {r["id"]: r["prediction"] for r in oof.collect()}
+    assert len(held) == 600 and {i: held[i] for i in got} == pytest.approx(got)
+    for fold in range(3):
+        train = np.array([i for i in range(600) if i % 3 != fold])
+        near = brute(x[fold::3] / x[train].std(0), x[train] / x[train].std(0), train, 4)
+        for i, n in zip(range(fold, 600, 3), near, strict=True):
+            d = np.linalg.norm((x[n] - x[i]) / x[train].std(0), axis=1)
+            assert held[i] == pytest.approx(np.average(np.array(n) % 5, weights=1 / d))
